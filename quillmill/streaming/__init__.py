@@ -1,0 +1 @@
+"""Empty on purpose: blog archives are finite files, so every operator is a batch one."""
