@@ -95,6 +95,12 @@ def url(base_url: Column) -> Column:
     return F.coalesce(canonical, F.concat(base, path), path, other)
 
 
+def content_html() -> Column:
+    """Content as it stands, not stripped."""
+    texts = F.transform(F.coalesce(F.col("content"), F.array()), lambda c: F.coalesce(c["_VALUE"], F.lit("")))
+    return F.coalesce(_last(texts), F.lit(""))
+
+
 def parse_entries(raw: DataFrame) -> DataFrame:
     """Typed entries from raw ones that carry `feed_path`, `entry_index` and `base_url`.
 
@@ -122,10 +128,7 @@ def parse_entries(raw: DataFrame) -> DataFrame:
         _last(_texts("updated")).alias("updated"),
         url(F.col("base_url")).alias("url"),
         labels().alias("labels"),
-        *(
-            [F.coalesce(_last(F.transform("content", lambda c: F.coalesce(c["_VALUE"], F.lit("")))), F.lit("")).alias("content_html")]
-            if "content" in raw.columns else []
-        ),
+        *([content_html().alias("content_html")] if "content" in raw.columns else []),
         author("name").alias("author_name"),
         author("email").alias("author_email"),
         (

@@ -43,10 +43,7 @@ XML_OPTIONS = {
     "ignoreSurroundingSpaces": "false",
     "mode": "FAILFAST",
 }
-POSITION = {
-    "feed_path": F.col("_metadata.file_path"),
-    "block": F.col("_metadata.file_block_start"),
-}
+POSITION = ["_metadata.file_path AS feed_path", "_metadata.file_block_start AS block"]
 
 
 def read_feeds(spark: SparkSession, paths: str | list[str], *, splittable: bool = True) -> DataFrame:
@@ -57,7 +54,7 @@ def read_feeds(spark: SparkSession, paths: str | list[str], *, splittable: bool
 def _read_whole(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     raw = spark.read.format("xml").options(**XML_OPTIONS).schema(RAW_ENTRY).load(paths)
     return raw.select(
-        *[c.alias(name) for name, c in POSITION.items()],
+        *map(F.expr, POSITION),
         F.monotonically_increasing_id().alias("row_id"),
         *[F.col(f"`{c}`") for c in raw.columns],
     )
@@ -67,7 +64,7 @@ def _read_split(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     pieces = spark.read.option("lineSep", "</entry>").text(paths)
     start = r"(?s)<entry(?=[\s>]).*"
     cut = (
-        pieces.select(*[c.alias(name) for name, c in POSITION.items()], _checked("value").alias("value"))
+        pieces.select(*map(F.expr, POSITION), _checked("value").alias("value"))
         .where(F.col("value").rlike(r"<entry[\s>]"))
         .withColumn("fragment", F.concat(F.regexp_extract("value", start, 0), F.lit("</entry>")))
     )
