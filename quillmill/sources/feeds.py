@@ -12,6 +12,9 @@ it would matter. Content made of child elements keeps only what Spark reads as i
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from quillmill.operators.skew import keyed_join
@@ -77,17 +80,15 @@ def _read_split(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 def _checked(name: str) -> Column:
     """The piece itself, or an error where an entry tag may sit in a comment or CDATA section."""
     value = F.col(name)
-    bare = F.regexp_replace(value, r"(?s)<!\[CDATA\[.*?\]\]>", "")
-    bare = F.regexp_replace(bare, r"(?s)<!--.*?-->", "")
-    before_entry = F.regexp_extract(value, r"(?s)\A(.*?)<entry[\s>]", 1)
-    hidden = (
-        bare.contains("<!--")
-        | bare.contains("<![CDATA[")
-        | (bare.contains("-->") & ~value.contains("<!--"))
-        | (F.regexp_count(before_entry, F.lit("<!--")) != F.regexp_count(before_entry, F.lit("-->")))
-        | before_entry.contains("<![CDATA[")
-    )
-    marked = value.contains("<!--") | value.contains("<![CDATA[") | value.contains("-->")
+
+    def without_pairs(c: Column) -> Column:
+        return F.regexp_replace(F.regexp_replace(c, r"(?s)<!\[CDATA\[.*?\]\]>", ""), r"(?s)<!--.*?-->", "")
+
+    # A section cut at an entry tag is left without its end: in the piece, or before its first entry tag.
+    parts = [without_pairs(value), without_pairs(F.regexp_extract(value, r"(?s)\A(.*?)<entry[\s>]", 1))]
+    openings = ["<!--", "<![CDATA["]
+    hidden = reduce(or_, [part.contains(opening) for part in parts for opening in openings])
+    marked = reduce(or_, [value.contains(opening) for opening in openings])
     message = F.concat(
         F.lit("An entry tag may sit inside a comment or CDATA section; read this feed with splittable=False: "),
         F.col("_metadata.file_path"),
@@ -95,14 +96,15 @@ def _checked(name: str) -> Column:
     return F.when(marked & hidden, F.raise_error(message).cast("string")).otherwise(value)
 
 
-def with_entry_index(entries: DataFrame, total: int, positions: DataFrame | None = None) -> DataFrame:
+def with_entry_index(entries: DataFrame, total: int) -> DataFrame:
     """1-based ordinal of each entry in its feed.
 
     Only per-block counts are summed in order (a feed has one block per scan split), so no
-    task ever sorts a whole feed. `positions` may hand in the (narrow) source of the counts.
+    task ever sorts a whole feed. Hand in narrow columns: they are shuffled if the counts
+    are too many for Spark to broadcast.
     """
     place = ["feed_path", "block"]
-    blocks = (positions or entries).groupBy(place).agg(
+    blocks = entries.groupBy(place).agg(
         F.min("row_id").alias("_first"), F.count("*").alias("_rows")
     )
     before = Window.partitionBy("feed_path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
