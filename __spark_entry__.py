@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quillmill.functions import text
 from quillmill.operators import documents as docs, entries as ops, nodes
@@ -18,13 +18,14 @@ from quillmill.operators.markdown import html_to_markdown
 from quillmill.operators.names import file_names, with_base_name
 from quillmill.plans import ingest as job, report
 from quillmill.session import ship
-from quillmill.sources.discovery import with_base_url
+from quillmill.sources.discovery import candidates, with_base_url
 from quillmill.sources.feeds import RAW_ENTRY, read_feeds, with_entry_index
 from quillmill.sources.fingerprint import compare_fingerprints, fingerprints
 from quillmill.staging import stage, staging_path
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 FEED = "archive/feed.atom"
+FEED_SPAN = 64
 BASE = "https://notes.blogspot.com"
 LABEL_SCHEME = "http://www.blogger.com/atom/ns#"
 
@@ -116,16 +117,21 @@ def parsed_entries(spark: SparkSession, sf_dir: str, *, content: bool = False) -
 
 
 def written_feeds(spark: SparkSession, sf_dir: str) -> str:
-    """The entries as feed files, in ranges of the entry order, written by Spark's XML writer."""
-    raw = raw_elements(feed_entries(spark, sf_dir)).repartitionByRange(4, "entry_index")
+    """The entries as feed files, `FEED_SPAN` consecutive ones each, by Spark's XML writer."""
+    raw = raw_elements(feed_entries(spark, sf_dir)).withColumn("feed", F.expr(f"(entry_index - 1) DIV {FEED_SPAN}"))
     path = staging_path(spark, "feeds")
     (
-        raw.sortWithinPartitions("entry_index").drop("entry_index")
-        .write.format("xml").options(rowTag="entry", rootTag="feed", arrayElementName="item").save(path)
+        raw.repartitionByRange("feed").sortWithinPartitions("feed", "entry_index").drop("entry_index")
+        .write.partitionBy("feed").format("xml").options(rowTag="entry", rootTag="feed", arrayElementName="item")
+        .save(path)
     )
     return path
 
 
+def feed_number(path: str) -> Column:
+    return F.regexp_extract(path, "/feed=([0-9]+)/", 1).cast("bigint")
+
+
 def decided_entries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, job.Decided]:
     entries = stage(parsed_entries(spark, sf_dir), "entries")
     return entries, job.decide(entries)
@@ -205,14 +211,9 @@ def q_feed_scan(splittable: bool) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw = read_feeds(spark, written_feeds(spark, sf_dir), splittable=splittable)
         scanned = stage(raw.drop("content"), "scanned")
-        indexed = stage(with_entry_index(scanned, scanned.count()), "indexed")
-        # The feeds hold consecutive ranges: their sizes (one row per feed) place each on the whole line.
-        sizes = indexed.groupBy("feed_path").agg(F.count("*").alias("size"))
-        earlier = Window.orderBy("feed_path").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = sizes.select("feed_path", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("offset"))
-        entries = ops.parse_entries(indexed.withColumn("base_url", F.lit(BASE))).join(offsets, "feed_path")
-        return entries.select(
-            (F.col("offset") + F.col("entry_index")).alias("entry_index"), "kind", "route",
+        indexed = with_entry_index(scanned, scanned.count()).withColumn("base_url", F.lit(BASE))
+        return ops.parse_entries(indexed).select(
+            feed_number("feed_path").alias("feed"), "entry_index", "id", "title", "kind", "route",
             "published", "url", F.array_join("labels", "|").alias("labels"))
 
     return query
@@ -239,8 +240,6 @@ def q_feed_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
             WHEN 4 THEN concat('Blogs/', page_id, '.xml') WHEN 5 THEN 'sub/atom.feed'
             ELSE concat('notes/', page_id, '.txt') END AS inner
         FROM pages""").selectExpr("archive", "inner", "concat(archive, '/', inner) AS path")
-    from quillmill.sources.discovery import candidates
-
     return candidates(files).groupBy("archive").agg(F.min("rank").alias("best")).select(
         "archive", F.col("best.path").alias("feed_path"))
 
@@ -358,10 +357,23 @@ def q_json_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.json_lines(**parts, total=total).select("section", "sort", "entry_index", "seq", "line")
 
 
-def q_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole job over written feeds, from the scan to the converted records."""
-    done = job.ingest(spark, written_feeds(spark, sf_dir) + "/part-*", "output/posts", base_url=BASE, dry_run=True)
-    return done.documents.select("title", "file_name", "markdown")
+def _ingested(spark: SparkSession, sf_dir: str) -> job.Ingested:
+    return job.ingest(
+        spark, written_feeds(spark, sf_dir), "output/posts", depth=1, base_url=BASE, dry_run=True)
+
+
+def q_ingest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job over written feeds: counts per feed."""
+    return _ingested(spark, sf_dir).summary.select(
+        feed_number("input_file").alias("feed"), "total_entries", "published_posts_found", "converted_count",
+        "skipped_count", "duplicate_count", "issue_count", "input_file_unmodified")
+
+
+def q_ingest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job over written feeds: the frontmatter of every document (its body is checked elsewhere)."""
+    front = F.regexp_extract("document", r"(?s)\A(---\n.*?\n---\n)", 1)
+    return _ingested(spark, sf_dir).documents.select(
+        feed_number("feed_path").alias("feed"), "entry_index", "file_name", front.alias("frontmatter"))
 
 
 # Inputs that both engines derive by the same SQL.
@@ -375,7 +387,7 @@ SELECT page_id, concat('<h2>Part ', CAST(page_id AS STRING), '</h2><p>', t, ' <b
   '</b> and <a href="/p/', CAST(page_id AS STRING), '">link</a>.</p><ul><li>one</li><li>two</li></ul><blockquote><p>', u,
   '</p></blockquote><pre class="brush: sql">select ', CAST(page_id AS STRING), '</pre><table><tr><th>A</th><th>B</th></tr><tr><td>',
   CAST(page_id AS STRING), '</td><td>x</td></tr></table><div><br></div><p>H<sub>2</sub>O</p><!-- gone -->') AS html
-FROM (SELECT page_id, trim(regexp_replace(regexp_extract(html, '<title>(.*?)</title>', 1), '[^A-Za-z]+', '-')) AS t,
+FROM (SELECT page_id, concat('Text ', trim(regexp_extract(html, '<title>([A-Za-z ]+)', 1))) AS t,
   concat('u', CAST(page_id * 7 AS STRING)) AS u FROM pages) AS known
 """
 
@@ -429,7 +441,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "summary_counts": q_summary_counts,
         "report_lines": q_report_lines,
         "json_report": q_json_report,
-        "ingest": q_ingest,
+        "ingest_summary": q_ingest_summary,
+        "ingest_documents": q_ingest_documents,
     }
 
 
@@ -447,25 +460,28 @@ def _slug_sql(title: str) -> str:
 
 
 def _walk_names(name: str, source: str) -> str:
-    """CTEs that hand out names one row of `source` (entry_index, base) after the other."""
+    """CTEs that hand out names one row of `source` (g, feed, base) after the other."""
     return f"""
-{name}_line AS (SELECT row_number() OVER (ORDER BY entry_index) AS rn, entry_index, base FROM {source}),
+{name}_line AS (SELECT row_number() OVER (ORDER BY g) AS rn, g, feed || '/' || base AS base FROM {source}),
 {name}_walk AS (
-  SELECT CAST(0 AS BIGINT) AS rn, CAST(NULL AS BIGINT) AS entry_index, CAST(NULL AS VARCHAR) AS file_name, CAST([] AS VARCHAR[]) AS used
+  SELECT CAST(0 AS BIGINT) AS rn, CAST(NULL AS BIGINT) AS g, CAST(NULL AS VARCHAR) AS file_name, CAST([] AS VARCHAR[]) AS used
   UNION ALL
-  SELECT rn, entry_index, file_name, list_append(used, file_name) FROM (
-    SELECT l.rn, l.entry_index, w.used,
+  SELECT rn, g, file_name, list_append(used, file_name) FROM (
+    SELECT l.rn, l.g, w.used,
       CASE WHEN NOT list_contains(w.used, l.base || '.md') THEN l.base || '.md'
            ELSE list_filter(list_transform(range(2, l.rn + 2), lambda n: l.base || '-' || CAST(n AS VARCHAR) || '.md'),
                             lambda f: NOT list_contains(w.used, f))[1] END AS file_name
     FROM {name}_walk w JOIN {name}_line l ON l.rn = w.rn + 1)),
-{name} AS (SELECT entry_index, file_name FROM {name}_walk WHERE rn > 0)"""
+{name} AS (SELECT g, regexp_replace(file_name, '^[0-9]+/', '') AS file_name FROM {name}_walk WHERE rn > 0)"""
 
 
-_CTES = f"""WITH RECURSIVE fe AS ({FEED_ENTRIES}),
+def _ctes(span: int) -> str:
+    """Entries and all decisions on them, for feeds of `span` entries; `g` is the place over all feeds."""
+    return f"""WITH RECURSIVE fe AS ({FEED_ENTRIES}),
 e1 AS (
-  SELECT entry_index, trim(id) AS raw_id, trim(title) AS raw_title, coalesce(published, created, '') AS published,
-    updated, author AS author_name, content,
+  SELECT entry_index AS g, (entry_index - 1) // {span} AS feed, (entry_index - 1) % {span} + 1 AS entry_index,
+    trim(id) AS raw_id, trim(title) AS raw_title, coalesce(published, created, '') AS published,
+    updated, author AS author_name,
     coalesce(alternate_url, '{BASE}' || filename, other_url) AS url,
     list_filter(string_split(labels_csv, ','), lambda x, i: list_position(string_split(labels_csv, ','), x) = i) AS labels,
     status = 'DRAFT' OR coalesce(draft = 'yes', false) AS is_draft,
@@ -485,47 +501,57 @@ e AS (
     CASE WHEN published = '' THEN 'undated' ELSE left(published, 10) END AS date_prefix
   FROM e1),
 ei AS (
-  SELECT entry_index, 'warning' AS severity, 'unfamiliar_entry_type' AS issue_type, raw_id AS post_id, raw_title AS post_title,
+  SELECT feed, entry_index, 'warning' AS severity, 'unfamiliar_entry_type' AS issue_type, raw_id AS post_id, raw_title AS post_title,
     'Encountered unfamiliar entry type ''' || kind || ''' at index ' || entry_index || '.' AS message
   FROM e WHERE kind NOT IN ('post', 'comment', 'page', 'template', 'settings')
-  UNION ALL SELECT entry_index, 'warning', 'missing_id', id, raw_title,
+  UNION ALL SELECT feed, entry_index, 'warning', 'missing_id', id, raw_title,
     'Entry at index ' || entry_index || ' is missing an <id> tag. Assigned fallback: ' || id FROM e WHERE raw_id = ''
-  UNION ALL SELECT entry_index, 'warning', 'missing_title', id, title,
+  UNION ALL SELECT feed, entry_index, 'warning', 'missing_title', id, title,
     'Post ''' || id || ''' has no title. Assigned fallback: ''' || title || '''' FROM e WHERE kind = 'post' AND raw_title = ''
-  UNION ALL SELECT entry_index, 'warning', 'missing_publication_date', id, title,
+  UNION ALL SELECT feed, entry_index, 'warning', 'missing_publication_date', id, title,
     'Post ''' || title || ''' (' || id || ') is missing a published date.' FROM e WHERE kind = 'post' AND published = ''
-  UNION ALL SELECT entry_index, 'warning', 'missing_url', id, title,
+  UNION ALL SELECT feed, entry_index, 'warning', 'missing_url', id, title,
     'Published post ''' || title || ''' (' || id || ') does not have an alternate html URL link or filename.'
   FROM e WHERE kind = 'post' AND NOT is_draft AND NOT is_trashed AND url IS NULL),
-posts AS (SELECT row_number() OVER (ORDER BY entry_index) AS rn, entry_index, id, url FROM e WHERE skip_kind IS NULL),
+posts AS (
+  SELECT row_number() OVER (ORDER BY g) AS rn, g, feed || '/' || id AS id, feed || '/' || url AS url
+  FROM e WHERE skip_kind IS NULL),
 walk AS (
-  SELECT CAST(0 AS BIGINT) AS rn, CAST(NULL AS BIGINT) AS entry_index, false AS stays, CAST([] AS VARCHAR[]) AS ids, CAST([] AS VARCHAR[]) AS urls
+  SELECT CAST(0 AS BIGINT) AS rn, CAST(NULL AS BIGINT) AS g, false AS stays, CAST([] AS VARCHAR[]) AS ids, CAST([] AS VARCHAR[]) AS urls
   UNION ALL
-  SELECT rn, entry_index, stays, CASE WHEN stays THEN list_append(ids, id) ELSE ids END,
+  SELECT rn, g, stays, CASE WHEN stays THEN list_append(ids, id) ELSE ids END,
     CASE WHEN stays AND url IS NOT NULL THEN list_append(urls, url) ELSE urls END
-  FROM (SELECT p.rn, p.entry_index, p.id, p.url, w.ids, w.urls,
+  FROM (SELECT p.rn, p.g, p.id, p.url, w.ids, w.urls,
           NOT list_contains(w.ids, p.id) AND NOT coalesce(list_contains(w.urls, p.url), false) AS stays
         FROM walk w JOIN posts p ON p.rn = w.rn + 1)),
-kept AS (SELECT e.* FROM e JOIN walk USING (entry_index) WHERE stays),
-kept_base AS (SELECT entry_index, date_prefix || '-' || {_slug_sql('title')} AS base FROM kept),{_walk_names('names', 'kept_base')},
-named AS (SELECT kept.*, file_name FROM kept JOIN names USING (entry_index)),
+kept AS (SELECT e.* FROM e JOIN walk USING (g) WHERE stays),
+kept_base AS (SELECT g, feed, date_prefix || '-' || {_slug_sql('title')} AS base FROM kept),{_walk_names('names', 'kept_base')},
+named AS (SELECT kept.*, file_name FROM kept JOIN names USING (g)),
 dups AS (
-  SELECT d.entry_index, d.id AS post_id, d.title, d.url,
+  SELECT d.feed, d.entry_index, d.id AS post_id, d.title, d.url,
     CASE WHEN i.file_name IS NOT NULL THEN 'Duplicate post ID encountered: ''' || d.id || ''' (already seen as ''' || i.file_name || ''')'
          ELSE 'Duplicate canonical URL encountered: ''' || d.url || ''' (already seen as ''' || u.file_name || ''')' END AS reason,
     coalesce(i.file_name, u.file_name) AS first_seen_file
-  FROM e d LEFT JOIN named i ON i.id = d.id AND i.entry_index < d.entry_index
-    LEFT JOIN named u ON u.url = d.url AND u.entry_index < d.entry_index
-  WHERE d.skip_kind IS NULL AND d.entry_index NOT IN (SELECT entry_index FROM kept)),
+  FROM e d LEFT JOIN named i ON i.feed = d.feed AND i.id = d.id AND i.g < d.g
+    LEFT JOIN named u ON u.feed = d.feed AND u.url = d.url AND u.g < d.g
+  WHERE d.skip_kind IS NULL AND d.g NOT IN (SELECT g FROM kept)),
 iss AS (
   SELECT * FROM ei
-  UNION ALL SELECT entry_index, 'warning', 'duplicate_post', post_id, title, reason FROM dups),
+  UNION ALL SELECT feed, entry_index, 'warning', 'duplicate_post', post_id, title, reason FROM dups),
 brk AS (SELECT skip_kind AS kind, count(*) AS count FROM e WHERE skip_kind IS NOT NULL GROUP BY 1),
 total AS (
-  SELECT (SELECT count(*) FROM e) AS total_entries, (SELECT count(*) FROM e WHERE skip_kind IS NULL) AS published_posts_found,
-    (SELECT count(*) FROM named) AS converted_count, (SELECT count(*) FROM e WHERE skip_kind IS NOT NULL) AS skipped_count,
-    (SELECT count(*) FROM dups) AS duplicate_count, (SELECT count(*) FROM iss) AS issue_count)
+  SELECT feed, total_entries, published_posts_found, coalesce(converted_count, 0) AS converted_count, skipped_count,
+    coalesce(duplicate_count, 0) AS duplicate_count, coalesce(issue_count, 0) AS issue_count
+  FROM (SELECT feed, count(*) AS total_entries, count(*) FILTER (skip_kind IS NULL) AS published_posts_found,
+          count(*) FILTER (skip_kind IS NOT NULL) AS skipped_count FROM e GROUP BY feed)
+    LEFT JOIN (SELECT feed, count(*) AS converted_count FROM named GROUP BY feed) USING (feed)
+    LEFT JOIN (SELECT feed, count(*) AS duplicate_count FROM dups GROUP BY feed) USING (feed)
+    LEFT JOIN (SELECT feed, count(*) AS issue_count FROM iss GROUP BY feed) USING (feed))
 """
+
+
+_CTES = _ctes(2**40)
+_FEEDS = _ctes(FEED_SPAN)
 _RICH = f"WITH rich AS ({PAGES_RICH})\n"
 _TABLES = _RICH.rstrip() + r""",
 tables AS (SELECT page_id, unnest(regexp_extract_all(html, '(?s)<table.*?</table>')) AS t FROM rich),
@@ -583,7 +609,7 @@ def oracle_sql() -> dict[str, str]:
     link = '(?s)<a href="([^"]*)">(.*?)</a>'
     image = '(?:<a href="([^"]*)">)?<img src="([^"]*)"(?: alt="([^"]*)")?/>'
     heading = "(?s)<h([1-6])>(.*?)</h[1-6]>"
-    scan = _CTES + """SELECT entry_index, kind, CASE WHEN skip_kind IS NULL THEN 'published' ELSE 'skipped' END AS route,
+    scan = _FEEDS + """SELECT feed, entry_index, id, title, kind, CASE WHEN skip_kind IS NULL THEN 'published' ELSE 'skipped' END AS route,
         published, url, array_to_string(labels, '|') AS labels FROM e"""
     notes = "CASE entry_index % 6 WHEN 0 THEN 'notes' WHEN 1 THEN 'notes-2' WHEN 2 THEN 'notes-3' WHEN 3 THEN 'notes' " \
             "WHEN 4 THEN 'notes-' || entry_index % 40 ELSE 'notes-2-2' END"
@@ -616,15 +642,15 @@ def oracle_sql() -> dict[str, str]:
         "route_breakdown": _CTES + "SELECT kind, count FROM brk",
         "totals": _CTES + f"""SELECT f AS feed_path, total_entries, published_posts_found, skipped_count
             FROM total, (VALUES ('{FEED}'), (NULL)) AS feeds(f)""",
-        "entry_issues": _CTES + "SELECT * FROM ei",
+        "entry_issues": _CTES + "SELECT * EXCLUDE (feed) FROM ei",
         "dedup_kept": _CTES + "SELECT entry_index, id, url FROM kept",
-        "dedup_duplicates": _CTES + "SELECT * FROM dups",
+        "dedup_duplicates": _CTES + "SELECT * EXCLUDE (feed) FROM dups",
         "file_names": _CTES + "SELECT entry_index, file_name FROM named",
         "all_file_names": _CTES.rstrip() + f""",
-            free AS (SELECT entry_index, date_prefix || '-' || {notes} AS base FROM e),{_walk_names('freed', 'free')}
-            SELECT entry_index, file_name FROM freed""",
+            free AS (SELECT g, feed, date_prefix || '-' || {notes} AS base FROM e),{_walk_names('freed', 'free')}
+            SELECT g AS entry_index, file_name FROM freed""",
         "links": _RICH + f"SELECT page_id, {every(link, 1)} AS href, regexp_replace({every(link, 2)}, '<[^>]*>', '', 'g') AS text FROM rich",
-        "images": _RICH + f"""SELECT page_id, {every(image, 2)} AS src, {every(image, 3)} AS alt,
+        "images": _RICH + f"""SELECT page_id, {every(image, 2)} AS src, coalesce({every(image, 3)}, '') AS alt,
             nullif({every(image, 1)}, '') AS href FROM rich""",
         "headings": _RICH + rf"""SELECT page_id, CAST(level AS INT) AS level,
             replace({_TEXT.format(x="x")}, '&amp;', '&') AS text
@@ -650,7 +676,7 @@ def oracle_sql() -> dict[str, str]:
         "embeds": _RICH + r"""SELECT page_id, regexp_extract(x, '<(\w+)', 1) AS tag, x AS outer_html FROM (SELECT page_id,
             unnest(regexp_extract_all(html, '(?s)<(?:iframe|video|details).*?</(?:iframe|video|details)>')) AS x FROM rich)""",
         "markdown_of_known_html": f"WITH k AS ({KNOWN_HTML})" + r""" SELECT page_id, array_to_string(['## Part ' || page_id, '',
-            regexp_extract(html, '<p>(.*?) ?<b>', 1) || ' **bold ' || page_id % 9 || '** and [link](/p/' || page_id || ').', '',
+            trim(regexp_extract(html, '<p>(.*?)<b>', 1)) || ' **bold ' || page_id % 9 || '** and [link](/p/' || page_id || ').', '',
             '- one', '- two', '', '> u' || page_id * 7, '', '```sql', 'select ' || page_id, '```', '',
             '| A | B |', '| --- | --- |', '| ' || page_id || ' | x |', '', 'H<sub>2</sub>O'], chr(10)) AS markdown,
             CAST(NULL AS VARCHAR) AS error FROM k""",
@@ -667,10 +693,13 @@ def oracle_sql() -> dict[str, str]:
             CASE WHEN entry_index % 5 = 0 THEN '' ELSE '# ' || title || chr(10) END AS document FROM e""",
         "converted": _CTES + """SELECT entry_index, id AS post_id, title, published AS date, url, array_to_string(labels, '|') AS labels,
             'output/posts/' || file_name AS file_path, file_name, 'personal_analysis' AS classification FROM named""",
-        "issues": _CTES + "SELECT * FROM iss",
+        "issues": _CTES + "SELECT * EXCLUDE (feed) FROM iss",
         "summary_counts": _CTES + f"""SELECT '{FEED}' AS input_file, 'output/posts' AS output_dir, total_entries,
             published_posts_found, converted_count, skipped_count,
             (SELECT '{{' || string_agg('"' || kind || '":' || count, ',' ORDER BY kind) || '}}' FROM brk) AS skipped_breakdown,
             duplicate_count, issue_count, CAST(0 AS DOUBLE) AS duration_seconds FROM total""",
         "report_lines": _lines_sql(),
+        "ingest_summary": _FEEDS + "SELECT *, true AS input_file_unmodified FROM total",
+        "ingest_documents": _FEEDS + "SELECT feed, entry_index, file_name, "
+            + _FRONT.format(kind='"personal_analysis"', type=_PLAIN) + " || chr(10) || '---' || chr(10) AS frontmatter FROM named",
     }

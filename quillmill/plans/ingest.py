@@ -59,7 +59,7 @@ def find_feeds(spark: SparkSession, source: str, depth: int = 0) -> tuple[list[s
     settings that go with them."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     try:
-        paths = files.load(source).select("_metadata.file_path")
+        paths = files.load(source).select("path")
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"Input path does not exist: {source}") from error

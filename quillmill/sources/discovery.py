@@ -23,6 +23,7 @@ SUBDOMAIN_COLUMN = "blog_subdomain"
 BASE_URL = "https://{}.blogspot.com"
 
 PATH = "_metadata.file_path"
+FILE_SCHEME = r"\Afile:/+"
 
 
 def _files(spark: SparkSession, root: str, pattern: str) -> DataFrame:
@@ -37,13 +38,15 @@ def discover_feeds(spark: SparkSession, root: str, depth: int = 0) -> DataFrame:
 
     An archive is a folder `depth` levels below `root` (0: the root itself). The first file
     pattern with a match decides; among its matches theme files and comment feeds come last
-    and the smallest path wins. Only paths are read.
+    and the smallest path wins. Only paths are read; `feed_path` is fit for loading.
     """
-    files = _files(spark, root, "{" + ",".join(dict.fromkeys(ANYWHERE)) + "}").select(F.col(PATH).alias("path"))
-    base = F.lit(_normalized(spark, root)) if depth == 0 else None
-    anchor = re.escape(_normalized(spark, root)) + r"(?:/[^/]+)" * depth
-    files = files.withColumn("archive", base if base is not None else F.regexp_extract("path", rf"\A({anchor})/", 1))
-    files = files.where("archive != ''").withColumn("inner", F.expr("substring(path, length(archive) + 2)"))
+    files = _files(spark, root, "{" + ",".join(dict.fromkeys(ANYWHERE)) + "}").select("path")
+    anchor = re.escape(_bare(root.rstrip("/"))) + "(?:/[^/]+)" * depth
+    bare = F.regexp_replace("path", FILE_SCHEME, "/")
+    files = files.withColumns({
+        "archive": F.regexp_extract(bare, rf"\A({anchor})/", 1),
+        "inner": F.regexp_replace(bare, rf"\A{anchor}/", ""),
+    })
     return candidates(files).groupBy("archive").agg(F.min("rank").alias("best")).select(
         "archive", F.col("best.path").alias("feed_path"))
 
@@ -64,12 +67,8 @@ def candidates(files: DataFrame) -> DataFrame:
     )
 
 
-def _normalized(spark: SparkSession, root: str) -> str:
-    """The root as file paths of a scan spell it."""
-    if re.match(r"[a-z][a-z0-9+.-]*:/", root):
-        return re.sub(r"\Afile:/(?=[^/])", "file:///", root).rstrip("/")
-    prefix = "file://" if root.startswith("/") else ""
-    return prefix + root.rstrip("/").replace(" ", "%20")
+def _bare(path: str) -> str:
+    return re.sub(FILE_SCHEME, "/", path)
 
 
 @F.arrow_udf(StringType())

@@ -46,6 +46,8 @@ XML_OPTIONS = {
     "ignoreSurroundingSpaces": "false",
     "mode": "FAILFAST",
 }
+# Folder names are just names, whatever they look like.
+PLAIN_FOLDERS = {"recursiveFileLookup": "true"}
 POSITION = ["_metadata.file_path AS feed_path", "_metadata.file_block_start AS block"]
 
 
@@ -55,7 +57,7 @@ def read_feeds(spark: SparkSession, paths: str | list[str], *, splittable: bool
 
 
 def _read_whole(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    raw = spark.read.format("xml").options(**XML_OPTIONS).schema(RAW_ENTRY).load(paths)
+    raw = spark.read.format("xml").options(**XML_OPTIONS, **PLAIN_FOLDERS).schema(RAW_ENTRY).load(paths)
     return raw.select(
         *map(F.expr, POSITION),
         F.monotonically_increasing_id().alias("row_id"),
@@ -64,7 +66,7 @@ def _read_whole(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def _read_split(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    pieces = spark.read.option("lineSep", "</entry>").text(paths)
+    pieces = spark.read.options(lineSep="</entry>", **PLAIN_FOLDERS).text(paths)
     start = r"(?s)<entry(?=[\s>]).*"
     cut = (
         pieces.select(*map(F.expr, POSITION), _checked("value").alias("value"))

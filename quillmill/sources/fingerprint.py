@@ -11,7 +11,7 @@ MUTATION_MESSAGE = "CRITICAL: Input feed file hash changed during execution! Fil
 
 def fingerprints(spark: SparkSession, paths: str | list[str], max_bytes: int = MAX_HASHED_BYTES) -> DataFrame:
     """`feed_path, sha256, size, changed_at`; `sha256` is null for files too large for a cell."""
-    files = spark.read.format("binaryFile").load(paths)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
     facts = [
         F.col("_metadata.file_path").alias("feed_path"),
         F.col("length").alias("size"), F.col("modificationTime").alias("changed_at"),
