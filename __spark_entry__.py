@@ -21,7 +21,7 @@ from quillmill.session import ship
 from quillmill.sources.discovery import candidates, with_base_url
 from quillmill.sources.feeds import RAW_ENTRY, read_feeds, with_entry_index
 from quillmill.sources.fingerprint import compare_fingerprints, fingerprints
-from quillmill.staging import stage, staging_path
+from quillmill.staging import stage, stage_counted, staging_path
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 FEED = "archive/feed.atom"
@@ -133,8 +133,8 @@ def feed_number(path: str) -> Column:
 
 
 def decided_entries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, job.Decided]:
-    entries = stage(parsed_entries(spark, sf_dir), "entries")
-    return entries, job.decide(entries)
+    entries, total = stage_counted(parsed_entries(spark, sf_dir), "entries")
+    return entries, job.decide(entries, total)
 
 
 def extracted(name: str, *columns: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -150,8 +150,8 @@ def extracted(name: str, *columns: str) -> Callable[[SparkSession, str], DataFra
 
 def entry(spark: SparkSession) -> DataFrame:
     """What a feed holds: entries per route and kind, read from a written feed by the split reader."""
-    scanned = stage(read_feeds(spark, written_feeds(spark, SMOKE_DIR)).drop("content"), "scanned")
-    indexed = with_entry_index(scanned, scanned.count()).withColumn("base_url", F.lit(BASE))
+    scanned, total = stage_counted(read_feeds(spark, written_feeds(spark, SMOKE_DIR)).drop("content"), "scanned")
+    indexed = with_entry_index(scanned, total).withColumn("base_url", F.lit(BASE))
     return (
         ops.parse_entries(indexed).groupBy("route", F.coalesce("skip_kind", "kind").alias("kind"))
         .agg(F.count("*").alias("entries"))
@@ -210,8 +210,8 @@ def q_entry_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_feed_scan(splittable: bool) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw = read_feeds(spark, written_feeds(spark, sf_dir), splittable=splittable)
-        scanned = stage(raw.drop("content"), "scanned")
-        indexed = with_entry_index(scanned, scanned.count()).withColumn("base_url", F.lit(BASE))
+        scanned, total = stage_counted(raw.drop("content"), "scanned")
+        indexed = with_entry_index(scanned, total).withColumn("base_url", F.lit(BASE))
         return ops.parse_entries(indexed).select(
             feed_number("feed_path").alias("feed"), "entry_index", "id", "title", "kind", "route",
             "published", "url", F.array_join("labels", "|").alias("labels"))

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from quillmill.operators.skew import keyed_join
-from quillmill.staging import stage, staging_path
+from quillmill.staging import stage_counted, staging_path
 
 ID = ["feed_path", "id"]
 URL = ["feed_path", "url"]
@@ -28,7 +28,7 @@ FINISH_ROWS = 20_000
 def kept_posts(posts: DataFrame, *, finish_rows: int = FINISH_ROWS, floor: int | None = None) -> DataFrame:
     """`feed_path, entry_index, id, url` of the posts that stay; a blank URL is no key."""
     # Of posts with equal id and URL only the first can ever be kept: copies go before any join.
-    undecided = stage(
+    undecided, left = stage_counted(
         posts.select("feed_path", "entry_index", "id", F.expr("nullif(url, '')").alias("url"))
         .groupBy("feed_path", "id", "url").agg(F.min("entry_index").alias("entry_index")),
         "undecided",
@@ -41,13 +41,13 @@ def kept_posts(posts: DataFrame, *, finish_rows: int = FINISH_ROWS, floor: int |
         keep.select(schema.names).write.parquet(path)
         return spark.read.schema(schema).parquet(path)
 
-    left, number = undecided.count(), 0
-    while left > (finish_rows if number else 0):
+    number = 0
+    while left > finish_rows:
         keep = keep_round(number, _first_on_both(undecided))
         rest = keyed_join(undecided, keep.select(ID), ID, "left_anti", left, floor=floor)
         rest = keyed_join(rest, keep.where("url IS NOT NULL").select(URL), URL, "left_anti", left, floor=floor)
-        undecided = stage(rest, "undecided")
-        left, number = undecided.count(), number + 1
+        undecided, left = stage_counted(rest, "undecided")
+        number += 1
     keep_round(number, _settle(undecided) if left else undecided)
     return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(folder)
 

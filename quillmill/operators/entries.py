@@ -215,7 +215,11 @@ def published(entries: DataFrame) -> DataFrame:
 
 
 def entry_issues(entries: DataFrame) -> DataFrame:
-    """One row per issue found while reading entries; `seq` keeps the order inside an entry."""
+    """One row per issue found while reading entries; `seq` keeps the order inside an entry.
+
+    The outer form keeps Spark from testing the array's size below all the projections that
+    build it, where it would be computed a second time.
+    """
     return entries.select(
-        "feed_path", "entry_index", F.posexplode("issues").alias("seq", "issue")
-    ).select("feed_path", "entry_index", "seq", "issue.*")
+        "feed_path", "entry_index", F.posexplode_outer("issues").alias("seq", "issue")
+    ).where("issue IS NOT NULL").select("feed_path", "entry_index", "seq", "issue.*")

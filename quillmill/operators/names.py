@@ -23,37 +23,41 @@ from pyspark.sql import DataFrame, functions as F
 
 from quillmill.functions.text import date_prefix, slug
 from quillmill.operators.skew import BUCKET_WIDTH, keyed_join, running_total
-from quillmill.staging import stage
+from quillmill.staging import stage, stage_counted
 
 ROW = ["feed_path", "entry_index"]
 BASE = ["feed_path", "base"]
 RIVAL_NAME = r"(?s)\A(.*)-([1-9][0-9]{0,17})\z"
-CONTEST = "feed_path STRING, base STRING, n BIGINT, rival STRING, r BIGINT, m BIGINT"
+SETTLED = "feed_path STRING, base STRING, rival STRING, rank BIGINT"
+# Contests that one task may settle alone.
+FINISH_ROWS = 20_000
 
 
 def with_base_name(posts: DataFrame, published: str = "published", title: str = "title") -> DataFrame:
     return posts.withColumn("base", F.concat(date_prefix(F.col(published)), F.lit("-"), slug(F.col(title))))
 
 
-def file_names(posts: DataFrame, *, floor: int | None = None, width: int = BUCKET_WIDTH) -> DataFrame:
+def file_names(
+    posts: DataFrame, *, floor: int | None = None, width: int = BUCKET_WIDTH, finish_rows: int = FINISH_ROWS
+) -> DataFrame:
     """`feed_path, entry_index, file_name` for kept posts that carry a `base` name."""
-    posts = stage(posts.select(*ROW, "base").withColumn("one", F.lit(1)), "bases")
-    total = posts.count()
+    posts, total = stage_counted(posts.select(*ROW, "base").withColumn("one", F.lit(1)), "bases")
     ranked = running_total(posts, BASE, "entry_index", "one", "rank", width=width).drop("one")
-    contests = stage(_contests(posts, total, floor, width), "contests")
-    if contests.isEmpty():
-        numbered = ranked.withColumn("number", F.col("rank"))
-    else:
-        ranked = stage(ranked, "ranked")
-        lost, starts = _settle(contests, total, floor, width)
+    close, number = stage_counted(_close_contests(posts, total, floor), "contests")
+    if number:
+        contests = _with_posts_before(close, posts, total, floor, width)
+        settle = _settle_in_one_pass if number <= finish_rows else _settle
+        lost, starts = settle(contests, total, floor, width)
         numbered = _with_numbers(ranked, lost, starts, total, floor, width)
+    else:
+        numbered = ranked.withColumn("number", F.col("rank"))
     suffix = F.when(F.col("number") == 1, "").otherwise(F.concat(F.lit("-"), F.col("number").cast("string")))
     return numbered.select(*ROW, F.concat("base", suffix, F.lit(".md")).alias("file_name"))
 
 
-def _contests(posts: DataFrame, total: int, floor: int | None, width: int) -> DataFrame:
-    """Pairs (base, rival spelled `{base}-n`) that can meet, with the counts that decide them."""
-    bases = stage(posts.groupBy(BASE).agg(F.count("*").alias("m"), F.min("entry_index").alias("first")), "base_counts")
+def _close_contests(posts: DataFrame, total: int, floor: int | None) -> DataFrame:
+    """Pairs (base, rival spelled `{base}-n`) near enough to meet."""
+    bases = posts.groupBy(BASE).agg(F.count("*").alias("m"), F.min("entry_index").alias("first"))
     rivals = (
         bases.select(
             "feed_path", F.col("base").alias("rival"), "first",
@@ -64,12 +68,16 @@ def _contests(posts: DataFrame, total: int, floor: int | None, width: int) -> Da
     )
     paired = keyed_join(rivals, bases.drop("first"), BASE, "left", total, floor=floor).where("m IS NOT NULL")
     rival_counts = paired.groupBy(BASE).agg(F.count("*").alias("rivals"))
-    close = stage(
+    return (
         keyed_join(paired, rival_counts, BASE, "left", total, floor=floor)
-        .where("n <= m + rivals + 1").drop("rivals"),
-        "close_contests",
+        .where("n <= m + rivals + 1").drop("rivals")
     )
-    # Posts of the base before the rival's first one: both on one line, posts counted along it.
+
+
+def _with_posts_before(
+    close: DataFrame, posts: DataFrame, total: int, floor: int | None, width: int
+) -> DataFrame:
+    """Adds `r`: both kinds are put on one line, and the posts counted along it."""
     contested = keyed_join(posts, close.select(BASE).distinct(), BASE, "left_semi", total, floor=floor)
     line = contested.select(*BASE, "entry_index", "one").unionByName(
         close.select(*BASE, F.col("first").alias("entry_index"), F.lit(0).alias("one"), "n", "rival", "m"),
@@ -81,6 +89,26 @@ def _contests(posts: DataFrame, total: int, floor: int | None, width: int) -> Da
     )
 
 
+def _settled_parts(settled: DataFrame) -> tuple[DataFrame, DataFrame]:
+    lost = settled.where("rank IS NOT NULL").select(*BASE, "rank")
+    return lost, settled.where("rival IS NOT NULL").select("feed_path", F.col("rival").alias("base"))
+
+
+def _settle_in_one_pass(contests: DataFrame, *_) -> tuple[DataFrame, DataFrame]:
+    """`_settle` for a counted handful of contests: shorter spellings first, in one task."""
+
+    def settle_all(rows: pd.DataFrame) -> pd.DataFrame:
+        without_first, settled = set(), []
+        shorter_first = sorted(rows.groupby(BASE), key=lambda group: len(group[0][1]))
+        for key, group in shorter_first:
+            settled.append(_settle_base(group.assign(c=int(key in without_first))))
+            won = settled[-1]["rival"].dropna()
+            without_first.update((key[0], rival) for rival in won)
+        return pd.concat(settled)
+
+    return _settled_parts(stage(contests.groupBy().applyInPandas(settle_all, SETTLED), "settled"))
+
+
 def _settle(contests: DataFrame, total: int, floor: int | None, width: int) -> tuple[DataFrame, DataFrame]:
     """Names lost (`feed_path, base, rank`: posts from `rank` on move up) and bases that lost
     their first name (`feed_path, base`).
@@ -91,8 +119,8 @@ def _settle(contests: DataFrame, total: int, floor: int | None, width: int) -> t
     spark = contests.sparkSession
     lost = spark.createDataFrame([], "feed_path STRING, base STRING, rank BIGINT")
     starts = spark.createDataFrame([], "feed_path STRING, base STRING")
-    pending = contests
-    while not pending.isEmpty():
+    pending, left = stage_counted(contests, "pending")
+    while left:
         open_rivals = pending.select("feed_path", F.col("rival").alias("base"))
         ready = pending.select(BASE).distinct().join(open_rivals, BASE, "left_anti")
         ready = stage(
@@ -102,16 +130,14 @@ def _settle(contests: DataFrame, total: int, floor: int | None, width: int) -> t
         carry = ready
         for part in _parts(level, width):
             current = level.where(F.expr(f"n DIV {width}") == part).join(carry, BASE)
-            settled = stage(current.groupBy(BASE).applyInPandas(
-                _settle_base, "feed_path STRING, base STRING, rival STRING, rank BIGINT"), "settled")
-            starts = starts.unionByName(
-                settled.where("rival IS NOT NULL").select("feed_path", F.col("rival").alias("base")))
-            moved = settled.where("rank IS NOT NULL").select(*BASE, "rank")
-            lost = lost.unionByName(moved)
+            settled = stage(current.groupBy(BASE).applyInPandas(_settle_base, SETTLED), "settled")
+            moved, won = _settled_parts(settled)
+            lost, starts = lost.unionByName(moved), starts.unionByName(won)
             carry = stage(
                 carry.unionByName(moved.groupBy(BASE).agg(F.count("*").alias("c")))
                 .groupBy(BASE).agg(F.sum("c").alias("c")), "carry")
-        pending = stage(keyed_join(pending, ready.select(BASE), BASE, "left_anti", total, floor=floor), "pending")
+        pending, left = stage_counted(
+            keyed_join(pending, ready.select(BASE), BASE, "left_anti", total, floor=floor), "pending")
     return lost, starts
 
 
@@ -140,7 +166,7 @@ def _with_numbers(
 ) -> DataFrame:
     """`number` = rank + names lost up to that rank (+ 1 if the base lost its first name)."""
     moves = lost.unionByName(starts.withColumn("rank", F.lit(1).cast("bigint")))
-    moves = stage(moves.groupBy(*BASE, "rank").agg(F.count("*").alias("step")), "moves")
+    moves = moves.groupBy(*BASE, "rank").agg(F.count("*").alias("step"))
     moved_bases = moves.select(BASE).distinct()
     quiet = keyed_join(ranked, moved_bases, BASE, "left_anti", total, floor=floor)
     moving = keyed_join(ranked, moved_bases, BASE, "left_semi", total, floor=floor)

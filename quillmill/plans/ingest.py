@@ -22,11 +22,11 @@ from quillmill.operators.names import file_names, with_base_name
 from quillmill.operators.skew import keyed_join
 from quillmill.plans import report
 from quillmill.session import ship
-from quillmill.sources.discovery import discover_feeds, read_settings, read_settings_at, with_base_url
+from quillmill.sources.discovery import bare_path, discover_feeds, read_settings, read_settings_at, with_base_url
 from quillmill.sources.feeds import read_feeds, with_entry_index
 from quillmill.sources.fingerprint import compare_fingerprints, fingerprints, mutation_issues
 from quillmill.sources.sinks import export_files, write_documents, write_issues, write_lines
-from quillmill.staging import stage
+from quillmill.staging import stage, stage_counted
 
 ROW = ["feed_path", "entry_index"]
 
@@ -54,25 +54,29 @@ class Ingested:
             self.summary, self.breakdown, self.duplicates, self.issues, self.converted, self.skipped, total)
 
 
-def find_feeds(spark: SparkSession, source: str, depth: int = 0) -> tuple[list[str], DataFrame]:
-    """Feed files of a file, an archive folder or (`depth` > 0) a folder of archives, and the
-    settings that go with them."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+def find_feeds(spark: SparkSession, source: str, depth: int = 0) -> list[str]:
+    """Feed files of a file, an archive folder or (`depth` > 0) a folder of archives."""
     try:
-        paths = files.load(source).select("path")
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(source)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"Input path does not exist: {source}") from error
         raise
-    first = paths.first()
-    if first is not None and first[0].rstrip("/").endswith("/" + source.rstrip("/").rsplit("/", 1)[-1]):
-        folder = PurePosixPath(source).parent
-        return [source], read_settings_at(spark, [str(folder), str(folder.parent)])
+    first = files.select("path").first()
+    if first is not None and bare_path(first.path) == bare_path(source):
+        return [source]
     feeds = [row.feed_path for row in discover_feeds(spark, source, depth).select("feed_path").toLocalIterator()]
     if not feeds:
         raise FileNotFoundError(f"No feed.atom, atom.feed, or XML archive found inside directory: {source}")
-    above = read_settings_at(spark, [str(PurePosixPath(source).parent)])
-    return sorted(feeds), read_settings(spark, source).unionByName(above)
+    return sorted(feeds)
+
+
+def find_settings(spark: SparkSession, source: str, paths: list[str]) -> DataFrame:
+    """Settings that may go with the feeds: beside or above a single file, or within a folder."""
+    above = str(PurePosixPath(source).parent)
+    if paths == [source]:
+        return read_settings_at(spark, [above, str(PurePosixPath(above).parent)])
+    return read_settings(spark, source).unionByName(read_settings_at(spark, [above]))
 
 
 def ingest(
@@ -85,18 +89,22 @@ def ingest(
     `documents` (parquet), `reports/json`, `reports/markdown` and, on demand, one file per post.
     """
     ship(spark)
-    paths, settings = find_feeds(spark, source, depth)
+    paths = find_feeds(spark, source, depth)
     before = stage(fingerprints(spark, paths), "before")
 
     raw = read_feeds(spark, paths, splittable=splittable)
-    scanned = stage(raw.withColumn("content_html", ops.content_html()).drop("content"), "scanned")
-    total = scanned.count()
-    feeds = stage(with_base_url(before.select("feed_path"), settings, len(paths), base_url), "feeds")
+    scanned, total = stage_counted(raw.withColumn("content_html", ops.content_html()).drop("content"), "scanned")
+    feeds = before.select("feed_path")
+    if base_url:
+        feeds = feeds.withColumn("base_url", F.lit(base_url))
+    else:
+        feeds = stage(with_base_url(feeds, find_settings(spark, source, paths), len(paths)), "feeds")
     indexed = with_entry_index(scanned.drop("content_html"), total)
     entries = stage(
         ops.parse_entries(keyed_join(indexed, feeds, ["feed_path"], "left", total)), "entries")
 
-    decided = decide(entries)
+    decided = decide(entries, total)
+    duplicates = stage(decided.duplicates, "duplicates")
     documents = convert_posts(
         entries, decided.kept, scanned.select("row_id", "content_html"), classification=classification,
         extra_metadata=extra_metadata, overrides=overrides)
@@ -122,13 +130,13 @@ def ingest(
     breakdown = report.skipped_breakdown(skipped)
     converted = converted_records(written, folder, classification)
     issues = report.all_issues(
-        ops.entry_issues(entries), report.duplicate_issues(decided.duplicates), conversion_issues(documents),
+        ops.entry_issues(entries), report.duplicate_issues(duplicates), conversion_issues(documents),
         mutation_issues(compared), *([failed] if failed is not None else []))
     result = Ingested(
-        entries=entries, skipped=skipped, duplicates=decided.duplicates, documents=written, converted=converted,
+        entries=entries, skipped=skipped, duplicates=duplicates, documents=written, converted=converted,
         issues=issues, breakdown=breakdown,
         summary=report.summary(
-            compared, entries, converted, decided.duplicates, issues, breakdown, output_dir=folder),
+            compared, entries, converted, duplicates, issues, breakdown, output_dir=folder),
     )
     if not dry_run:
         write_lines(result.json_report(), report.LINE_ORDER, f"{output_dir}/reports/json")
@@ -142,13 +150,13 @@ class Decided:
     duplicates: DataFrame
 
 
-def decide(entries: DataFrame) -> Decided:
-    """Which published posts stay and under which name; `entries` must be a staged table."""
+def decide(entries: DataFrame, total: int) -> Decided:
+    """Which published posts stay and under which name; `entries`, `total` of them, are staged."""
     posts = ops.published(entries).select(*ROW, "id", "title", "published", "url")
     stay = kept_posts(posts)
     based = with_base_name(stay.select(ROW).join(posts.select(*ROW, "title", "published"), ROW))
     kept = stage(stay.join(file_names(based), ROW), "named")
-    return Decided(kept=kept, duplicates=stage(duplicate_posts(posts, kept, posts.count()), "duplicates"))
+    return Decided(kept=kept, duplicates=duplicate_posts(posts, kept, total))
 
 
 def convert_posts(

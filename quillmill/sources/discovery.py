@@ -41,7 +41,7 @@ def discover_feeds(spark: SparkSession, root: str, depth: int = 0) -> DataFrame:
     and the smallest path wins. Only paths are read; `feed_path` is fit for loading.
     """
     files = _files(spark, root, "{" + ",".join(dict.fromkeys(ANYWHERE)) + "}").select("path")
-    anchor = re.escape(_bare(root.rstrip("/"))) + "(?:/[^/]+)" * depth
+    anchor = re.escape(bare_path(root.rstrip("/"))) + "(?:/[^/]+)" * depth
     bare = F.regexp_replace("path", FILE_SCHEME, "/")
     files = files.withColumns({
         "archive": F.regexp_extract(bare, rf"\A({anchor})/", 1),
@@ -67,7 +67,8 @@ def candidates(files: DataFrame) -> DataFrame:
     )
 
 
-def _bare(path: str) -> str:
+def bare_path(path: str) -> str:
+    """A local path without its scheme, however that is spelled."""
     return re.sub(FILE_SCHEME, "/", path)
 
 
@@ -111,11 +112,9 @@ def _folder(path: Column) -> Column:
     return F.regexp_replace(path, r"/[^/]*\z", "")
 
 
-def with_base_url(feeds: DataFrame, settings: DataFrame, total: int, base_url: str | None = None) -> DataFrame:
-    """`base_url` per feed: the argument, else the settings file beside the feed, else the one
-    in the folder above. A file that is there but says nothing still hides the one above."""
-    if base_url:
-        return feeds.withColumn("base_url", F.lit(base_url))
+def with_base_url(feeds: DataFrame, settings: DataFrame, total: int) -> DataFrame:
+    """`base_url` per feed from the settings file beside it, else from the one in the folder
+    above. A file that is there but says nothing still hides the one above."""
     placed = feeds.withColumn("near", _folder(F.col("feed_path"))).withColumn("above", _folder(F.col("near")))
 
     def side(key: str) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -36,3 +36,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = staging_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """`stage`, and the number of rows, counted while they were written."""
+    written = Observation()
+    staged = stage(df.observe(written, F.count(F.lit(1)).alias("rows")), name)
+    return staged, written.get["rows"]
