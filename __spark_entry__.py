@@ -16,6 +16,7 @@ from quillmill.operators import documents as docs, entries as ops, nodes
 from quillmill.operators.dedup import duplicate_posts, kept_posts
 from quillmill.operators.markdown import html_to_markdown
 from quillmill.operators.names import file_names, with_base_name
+from quillmill.operators.skew import spread
 from quillmill.plans import ingest as job, report
 from quillmill.session import ship
 from quillmill.sources.discovery import candidates, with_base_url
@@ -78,7 +79,7 @@ def feed_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pages_rich(spark: SparkSession, sf_dir: str) -> DataFrame:
     _pages(spark, sf_dir)
-    return spark.sql(PAGES_RICH)
+    return spread(spark.sql(PAGES_RICH))
 
 
 def raw_elements(rows: DataFrame) -> DataFrame:

@@ -66,3 +66,12 @@ def running_total(
         .withColumn(name, F.col("_local") + F.col("_offset"))
         .drop("_bucket", "_local", "_offset")
     )
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """A plain scan with at least one task per core, for work that is heavy per row.
+
+    Only a scan with fewer splits than cores is shuffled; any large one is left as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
