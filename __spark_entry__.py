@@ -320,15 +320,16 @@ def q_embeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _report_parts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     entries, decided = decided_entries(spark, sf_dir)
+    duplicates = stage(decided.duplicates, "duplicates")
     skipped = ops.skipped(entries)
     breakdown = report.skipped_breakdown(skipped)
     posts = ops.published(entries).join(decided.kept.select("feed_path", "entry_index", "file_name"), ["feed_path", "entry_index"])
     converted = docs.converted_records(posts, "output/posts")
-    issues = report.all_issues(ops.entry_issues(entries), report.duplicate_issues(decided.duplicates))
+    issues = report.all_issues(ops.entry_issues(entries), report.duplicate_issues(duplicates))
     feeds = entries.select("feed_path").distinct().selectExpr("feed_path", "CAST(NULL AS STRING) AS sha256", "true AS unmodified")
     summary = report.summary(
-        feeds, entries, converted, decided.duplicates, issues, breakdown, output_dir="output/posts", duration_seconds=0.0)
-    return dict(summary=summary, breakdown=breakdown, duplicates=decided.duplicates, issues=issues,
+        feeds, entries, converted, duplicates, issues, breakdown, output_dir="output/posts", duration_seconds=0.0)
+    return dict(summary=summary, breakdown=breakdown, duplicates=duplicates, issues=issues,
                 converted=converted, skipped=skipped)
 
 

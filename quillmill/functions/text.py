@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import unicodedata
 from functools import lru_cache
+from typing import Callable
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -23,6 +24,11 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, rf"(?U)\A[{SPACE}]+|[{SPACE}]+\z", "")
 
 
+def once(c: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(c)` with `c` computed a single time, however often `use` mentions it."""
+    return F.transform(F.array(c), use)[0]
+
+
 def blank_to_null(c: Column) -> Column:
     return F.when(c != "", c)
 
@@ -70,8 +76,11 @@ def slug(c: Column, max_length: int = 60) -> Column:
     ascii_only = F.regexp_replace(_decompose(c), r"[^\x00-\x7F]", "")
     words = F.lower(strip(F.regexp_replace(ascii_only, rf"[^\w{SPACE}-]", "")))
     dashed = F.regexp_replace(words, rf"[-{SPACE}]+", "-")
-    cut = F.regexp_replace(F.left(dashed, F.lit(max_length)), r"-+\z", "")
-    return F.when(dashed == "", "post").otherwise(cut)
+
+    def cut(whole: Column) -> Column:
+        return F.when(whole == "", "post").otherwise(F.regexp_replace(F.left(whole, F.lit(max_length)), r"-+\z", ""))
+
+    return once(dashed, cut)
 
 
 def tidy_lines(c: Column) -> Column:

@@ -21,8 +21,8 @@ from quillmill.staging import stage_counted, staging_path
 ID = ["feed_path", "id"]
 URL = ["feed_path", "url"]
 ROW = ["feed_path", "entry_index"]
-# Undecided posts that one task may settle alone.
-FINISH_ROWS = 20_000
+# Posts still undecided after a round that one task may settle alone.
+FINISH_ROWS = 100_000
 
 
 def kept_posts(posts: DataFrame, *, finish_rows: int = FINISH_ROWS, floor: int | None = None) -> DataFrame:
@@ -42,7 +42,7 @@ def kept_posts(posts: DataFrame, *, finish_rows: int = FINISH_ROWS, floor: int |
         return spark.read.schema(schema).parquet(path)
 
     number = 0
-    while left > finish_rows:
+    while left > (finish_rows if number else 0):
         keep = keep_round(number, _first_on_both(undecided))
         rest = keyed_join(undecided, keep.select(ID), ID, "left_anti", left, floor=floor)
         rest = keyed_join(rest, keep.where("url IS NOT NULL").select(URL), URL, "left_anti", left, floor=floor)
@@ -62,9 +62,8 @@ def _first_on_both(posts: DataFrame) -> DataFrame:
         F.min_by(F.struct("entry_index", "url"), "entry_index").alias("first")
     ).select(*ID, "first.*")
     by_url = posts.where("url IS NOT NULL").groupBy(URL).agg(F.min("entry_index").alias("entry_index"))
-    return by_id.where("url IS NULL").unionByName(
-        by_id.where("url IS NOT NULL").join(by_url.select(ROW), ROW, "left_semi").select(by_id.columns)
-    )
+    first_of_url = by_url.select(*ROW, F.lit(True).alias("first_of_url"))
+    return by_id.join(first_of_url, ROW, "left").where("url IS NULL OR first_of_url").drop("first_of_url")
 
 
 def _settle(posts: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from typing import Any, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quillmill.functions.text import blank_to_null, json_scalar, strip
+from quillmill.functions.text import blank_to_null, json_scalar, once, strip
 
 # Fixed value of the document format: the default classification.
 CLASSIFICATION = "personal_analysis"
@@ -71,13 +71,18 @@ def _line(key: str, value: Column) -> Column:
 
 
 def _escape_unprintable(text: Column) -> Column:
-    escaped = reduce(lambda c, point: F.replace(c, F.lit(chr(point)), F.lit(f"\\u{point:04x}")), UNPRINTABLE, text)
-    return F.when(text.rlike(r"[\x7F-\x9F\u2028\u2029\uFFFE\uFFFF]"), escaped).otherwise(text)
+    def escaped(whole: Column) -> Column:
+        replaced = reduce(lambda c, point: F.replace(c, F.lit(chr(point)), F.lit(f"\\u{point:04x}")), UNPRINTABLE, whole)
+        return F.when(whole.rlike(r"[\x7F-\x9F\u2028\u2029\uFFFE\uFFFF]"), replaced).otherwise(whole)
+
+    return once(text, escaped)
 
 
 def document_text(frontmatter: Column, markdown: Column) -> Column:
-    body = strip(F.coalesce(markdown, F.lit("")))
-    return F.concat(frontmatter, F.when(body == "", "\n").otherwise(F.concat(F.lit("\n"), body, F.lit("\n"))))
+    body = once(
+        strip(F.coalesce(markdown, F.lit(""))),
+        lambda text: F.when(text == "", "\n").otherwise(F.concat(F.lit("\n"), text, F.lit("\n"))))
+    return F.concat(frontmatter, body)
 
 
 def with_document(

@@ -95,6 +95,24 @@ def url(base_url: Column) -> Column:
     return F.coalesce(canonical, F.concat(base, path), path, other)
 
 
+def is_draft() -> Column:
+    drafts = F.flatten(F.transform(
+        F.coalesce(F.col("control"), F.array()),
+        lambda c: F.coalesce(c["draft"], F.array(F.lit(None).cast("string"))),
+    ))
+    return (
+        F.exists(_texts("status"), lambda s: F.upper(s) == "DRAFT")
+        | F.exists(drafts, lambda d: F.lower(strip(F.coalesce(d, F.lit("")))).isin(DRAFT_YES))
+    )
+
+
+def is_trashed() -> Column:
+    return (
+        F.exists(_texts("status"), lambda s: F.upper(s) == "TRASHED")
+        | F.exists(_nonblank(_texts("trashed")), lambda t: ~F.lower(t).isin(TRASHED_NO))
+    )
+
+
 def content_html() -> Column:
     """Content as it stands, not stripped."""
     texts = F.transform(F.coalesce(F.col("content"), F.array()), lambda c: F.coalesce(c["_VALUE"], F.lit("")))
@@ -107,17 +125,12 @@ def parse_entries(raw: DataFrame) -> DataFrame:
     Adds `issues` (array, in emission order) and the routing columns `route`, `skip_kind`
     and `skip_reason`.
     """
-    drafts = F.flatten(F.transform(
-        F.coalesce(F.col("control"), F.array()),
-        lambda c: F.coalesce(c["draft"], F.array(F.lit(None).cast("string"))),
-    ))
     authors = F.coalesce(F.col("author"), F.array())
 
     def author(field: str) -> Column:
         values = F.flatten(F.transform(authors, lambda a: F.coalesce(a[field], F.array().cast("array<string>"))))
         return F.when(F.size(values) > 0, strip(F.coalesce(_last(values), F.lit(""))))
 
-    statuses = F.transform(_texts("status"), F.upper)
     fields = raw.select(
         *[c for c in ("feed_path", "row_id", "entry_index") if c in raw.columns],
         F.coalesce(_last(_texts("id")), F.lit("")).alias("raw_id"),
@@ -131,14 +144,8 @@ def parse_entries(raw: DataFrame) -> DataFrame:
         *([content_html().alias("content_html")] if "content" in raw.columns else []),
         author("name").alias("author_name"),
         author("email").alias("author_email"),
-        (
-            F.exists(statuses, lambda s: s == "DRAFT")
-            | F.exists(drafts, lambda d: F.lower(strip(F.coalesce(d, F.lit("")))).isin(DRAFT_YES))
-        ).alias("is_draft"),
-        (
-            F.exists(statuses, lambda s: s == "TRASHED")
-            | F.exists(_nonblank(_texts("trashed")), lambda t: ~F.lower(t).isin(TRASHED_NO))
-        ).alias("is_trashed"),
+        is_draft().alias("is_draft"),
+        is_trashed().alias("is_trashed"),
         kind().alias("kind"),
     )
     return with_route(with_issues(with_fallbacks(fields))).drop("raw_id", "raw_title")

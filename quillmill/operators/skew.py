@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window, functions as F
 
+from quillmill.staging import stage_counted
+
 # A key is hot above this share of the rows, so there are never more than 10,000 hot keys.
 HOT_SHARE = 10_000
 # Below this many rows no key is worth splitting off.
@@ -17,31 +22,34 @@ def keyed_join(
 ) -> DataFrame:
     """Join `rows` (of which there are `total`) to `keys`, which is unique on `on`.
 
-    Hot keys are found by counting and answered from a broadcast of their own at most 10,000
-    `keys` rows; the others go through an ordinary shuffle join. Rows with a null key match
-    nothing and skip the shuffle, where they would all land in one task. `how`: left,
-    left_semi or left_anti.
+    Hot keys are found by counting, once, into a staged list of at most 10,000. Their rows are
+    answered from a broadcast of their own few `keys` rows; all others go through an ordinary
+    shuffle join. Rows with a null key match nothing and skip the shuffle, where they would
+    all land in one task. `how`: left, left_semi or left_anti.
     """
-    present = F.lit(True)
-    for name in on:
-        present = present & F.col(name).isNotNull()
-    nullable = any(field.nullable for field in rows.schema.fields if field.name in on)
-
     floor = HOT_FLOOR if floor is None else floor
     if total <= floor:
         return rows.join(keys, on, how)
 
-    keyed = rows.where(present) if nullable else rows
-    hot = keyed.groupBy(on).count().where(F.col("count") > max(floor, total // HOT_SHARE)).select(on)
-    flagged = keyed.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), on, "left")
-    hot_keys = keys.join(F.broadcast(hot), on, "left_semi")
-    joined = (
-        flagged.where("_hot").join(F.broadcast(hot_keys), on, how)
-        .unionByName(flagged.where("_hot IS NULL").join(keys, on, how))
-        .drop("_hot")
-    )
-    if nullable and how != "left_semi":
-        joined = joined.unionByName(rows.where(~present), allowMissingColumns=True)
+    keyed, unkeyed = rows, None
+    if any(field.nullable for field in rows.schema.fields if field.name in on):
+        present = reduce(and_, [F.col(name).isNotNull() for name in on])
+        keyed, unkeyed = rows.where(present), rows.where(~present)
+
+    counted = keyed.groupBy(on).count().where(F.col("count") > max(floor, total // HOT_SHARE)).select(on)
+    hot, number = stage_counted(counted, "hot_keys")
+    if number:
+        flagged = keyed.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), on, "left")
+        hot_keys = keys.join(F.broadcast(hot), on, "left_semi")
+        joined = (
+            flagged.where("_hot").join(F.broadcast(hot_keys), on, how)
+            .unionByName(flagged.where("_hot IS NULL").join(keys, on, how))
+            .drop("_hot")
+        )
+    else:
+        joined = keyed.join(keys, on, how)
+    if unkeyed is not None and how != "left_semi":
+        joined = joined.unionByName(unkeyed, allowMissingColumns=True)
     return joined
 
 

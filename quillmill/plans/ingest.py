@@ -93,20 +93,25 @@ def ingest(
     before = stage(fingerprints(spark, paths), "before")
 
     raw = read_feeds(spark, paths, splittable=splittable)
-    scanned, total = stage_counted(raw.withColumn("content_html", ops.content_html()).drop("content"), "scanned")
+    scanned, total = stage_counted(
+        raw.withColumns({
+            "content_html": ops.content_html(),
+            # Lets the HTML of entries that are skipped anyway stay behind before it is shuffled.
+            "is_post": (ops.kind() == "post") & ~ops.is_draft() & ~ops.is_trashed(),
+        }).drop("content"), "scanned")
     feeds = before.select("feed_path")
     if base_url:
         feeds = feeds.withColumn("base_url", F.lit(base_url))
     else:
         feeds = stage(with_base_url(feeds, find_settings(spark, source, paths), len(paths)), "feeds")
-    indexed = with_entry_index(scanned.drop("content_html"), total)
+    indexed = with_entry_index(scanned.drop("content_html", "is_post"), total)
     entries = stage(
         ops.parse_entries(keyed_join(indexed, feeds, ["feed_path"], "left", total)), "entries")
 
     decided = decide(entries, total)
     duplicates = stage(decided.duplicates, "duplicates")
     documents = convert_posts(
-        entries, decided.kept, scanned.select("row_id", "content_html"), classification=classification,
+        entries, decided.kept, scanned.where("is_post").select("row_id", "content_html"), classification=classification,
         extra_metadata=extra_metadata, overrides=overrides)
     folder: str | Column = output_dir.rstrip("/")
     if len(paths) > 1:

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# A binary cell cannot hold more; larger files are compared by size and time of change.
-MAX_HASHED_BYTES = 2**31 - 16
+# What a task holds in memory at once; larger files are compared by size and time of change.
+MAX_HASHED_BYTES = 512 * 2**20
 MUTATION_MESSAGE = "CRITICAL: Input feed file hash changed during execution! File was unexpectedly modified."
 
 
 def fingerprints(spark: SparkSession, paths: str | list[str], max_bytes: int = MAX_HASHED_BYTES) -> DataFrame:
-    """`feed_path, sha256, size, changed_at`; `sha256` is null for files too large for a cell."""
+    """`feed_path, sha256, size, changed_at`; `sha256` is null for files larger than `max_bytes`."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
     facts = [
         F.col("_metadata.file_path").alias("feed_path"),
