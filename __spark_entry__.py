@@ -606,6 +606,46 @@ def _lines_sql() -> str:
     return _CTES + "\nUNION ALL ".join(parts)
 
 
+def _json_sql() -> str:
+    def fixed(section: int, *lines: str) -> str:
+        texts = ", ".join(line[1:] if line.startswith("=") else f"'{line}'" for line in lines)
+        return (f"SELECT {section} AS section, '' AS sort, CAST(0 AS BIGINT) AS entry_index, "
+                f"CAST(unnest(range({len(lines)})) AS INT) AS seq, unnest([{texts}]) AS line FROM total")
+
+    def elements(section: int, source: str, fields: dict[str, str], seq: str = "0") -> str:
+        pairs = ", ".join(f"'{name}', {value}" for name, value in fields.items())
+        return (f"SELECT {section}, '', entry_index, CAST({seq} AS INT), CASE WHEN row_number() OVER (ORDER BY entry_index, {seq}) = 1 "
+                f"THEN '     ' ELSE '    ,' END || json_object({pairs}) FROM {source}")
+
+    numbers = ["total_entries", "published_posts_found", "converted_count", "skipped_count", "duplicate_count", "issue_count"]
+    same = lambda *names: {name: name for name in names}
+    order = ["unfamiliar_entry_type", "missing_id", "missing_title", "missing_publication_date", "missing_url"]
+    # Issues are numbered in the order an entry's are found; a duplicate comes after them.
+    seq = f"""CASE WHEN issue_type = 'duplicate_post' THEN 100 ELSE row_number() OVER (
+        PARTITION BY entry_index ORDER BY list_position({order}, issue_type)) - 1 END"""
+    parts = [
+        fixed(0, "{", '  "summary": {', f'    "input_file": "{FEED}",', '    "output_dir": "output/posts",',
+              '    "input_file_hash_sha256": null,', '    "input_file_unmodified": true,',
+              *[f"""='    "{n}": ' || {n} || ','""" for n in numbers], '    "duration_seconds": 0.0,', '    "skipped_breakdown": {'),
+        """SELECT 10, kind, 0, 0, CASE WHEN row_number() OVER (ORDER BY kind) = 1 THEN '     ' ELSE '    ,' END
+           || to_json(kind) || ': ' || count FROM brk""",
+        fixed(11, "    }", "  },"),
+        fixed(20, '  "converted_posts": ['), fixed(22, "  ],"),
+        elements(21, "named", {"post_id": "id", "title": "title", "date": "published", "url": "url", "labels": "labels",
+                               "file_path": "'output/posts/' || file_name", "file_name": "file_name",
+                               "classification": "'personal_analysis'"}),
+        fixed(30, '  "skipped_entries": ['), fixed(32, "  ],"),
+        elements(31, "(SELECT * FROM e WHERE skip_kind IS NOT NULL)",
+                 {"post_id": "id", "title": "title", "kind": "skip_kind", "reason": "skip_reason"}),
+        fixed(40, '  "duplicates": ['), fixed(42, "  ],"),
+        elements(41, "dups", same("post_id", "title", "url", "reason", "first_seen_file")),
+        fixed(50, '  "issues": ['), fixed(52, "  ]"),
+        elements(51, f"(SELECT *, {seq} AS seq FROM iss)", same("severity", "issue_type", "post_id", "post_title", "message"), "seq"),
+        fixed(60, "}"),
+    ]
+    return _CTES + "\nUNION ALL ".join(parts)
+
+
 def oracle_sql() -> dict[str, str]:
     every = lambda pattern, group: f"unnest(regexp_extract_all(html, '{pattern}', {group}))"
     link = '(?s)<a href="([^"]*)">(.*?)</a>'
@@ -638,6 +678,7 @@ def oracle_sql() -> dict[str, str]:
         "settings_join": """SELECT 'blogs/b' || page_id || '/feed.atom' AS feed_path,
             CASE page_id % 3 WHEN 0 THEN 'https://b' || page_id || '.blogspot.com' WHEN 2 THEN 'https://all.blogspot.com' END AS base_url
             FROM pages""",
+        "input_unmodified": f"""SELECT true AS unmodified, max(page_id) // {FEED_SPAN} + 1 AS feeds, 64 AS hash_length FROM pages""",
         "content_sha": "SELECT page_id, sha256(html) AS sha256 FROM pages",
         "route_rows": _CTES + """SELECT entry_index, id AS post_id, title, skip_kind AS kind, skip_reason AS reason
             FROM e WHERE skip_kind IS NOT NULL""",
@@ -651,6 +692,8 @@ def oracle_sql() -> dict[str, str]:
         "all_file_names": _CTES.rstrip() + f""",
             free AS (SELECT g, feed, date_prefix || '-' || {notes} AS base FROM e),{_walk_names('freed', 'free')}
             SELECT g AS entry_index, file_name FROM freed""",
+        "html_nodes": _RICH + """SELECT page_id, tag, count(*) AS n FROM (SELECT page_id,
+            unnest(regexp_extract_all(html, '<([a-z][a-z0-9-]*)', 1)) AS tag FROM rich) GROUP BY ALL""",
         "links": _RICH + f"SELECT page_id, {every(link, 1)} AS href, regexp_replace({every(link, 2)}, '<[^>]*>', '', 'g') AS text FROM rich",
         "images": _RICH + f"""SELECT page_id, {every(image, 2)} AS src, coalesce({every(image, 3)}, '') AS alt,
             nullif({every(image, 1)}, '') AS href FROM rich""",
@@ -701,6 +744,7 @@ def oracle_sql() -> dict[str, str]:
             (SELECT '{{' || string_agg('"' || kind || '":' || count, ',' ORDER BY kind) || '}}' FROM brk) AS skipped_breakdown,
             duplicate_count, issue_count, CAST(0 AS DOUBLE) AS duration_seconds FROM total""",
         "report_lines": _lines_sql(),
+        "json_report": _json_sql(),
         "ingest_summary": _FEEDS + "SELECT *, true AS input_file_unmodified FROM total",
         "ingest_documents": _FEEDS + "SELECT feed, entry_index, file_name, "
             + _FRONT.format(kind='"personal_analysis"', type=_PLAIN) + " || chr(10) || '---' || chr(10) AS frontmatter FROM named",

@@ -6,8 +6,9 @@ columns of it; the HTML is joined back only for the posts that stay, and convert
 
 from __future__ import annotations
 
+import os.path
+import re
 from dataclasses import dataclass
-from pathlib import PurePosixPath
 from typing import Any, Mapping
 
 from pyspark.errors import AnalysisException
@@ -54,6 +55,11 @@ class Ingested:
             self.summary, self.breakdown, self.duplicates, self.issues, self.converted, self.skipped, total)
 
 
+def absolute(path: str) -> str:
+    """A path Spark and Python understand alike: a URI as it is, a relative path resolved here."""
+    return path if re.match("[a-z][a-z0-9+.-]*:", path) else os.path.abspath(path)
+
+
 def find_feeds(spark: SparkSession, source: str, depth: int = 0) -> list[str]:
     """Feed files of a file, an archive folder or (`depth` > 0) a folder of archives."""
     try:
@@ -73,9 +79,9 @@ def find_feeds(spark: SparkSession, source: str, depth: int = 0) -> list[str]:
 
 def find_settings(spark: SparkSession, source: str, paths: list[str]) -> DataFrame:
     """Settings that may go with the feeds: beside or above a single file, or within a folder."""
-    above = str(PurePosixPath(source).parent)
+    above = source.rstrip("/").rpartition("/")[0]
     if paths == [source]:
-        return read_settings_at(spark, [above, str(PurePosixPath(above).parent)])
+        return read_settings_at(spark, [above, above.rpartition("/")[0]])
     return read_settings(spark, source).unionByName(read_settings_at(spark, [above]))
 
 
@@ -89,6 +95,7 @@ def ingest(
     `documents` (parquet), `reports/json`, `reports/markdown` and, on demand, one file per post.
     """
     ship(spark)
+    source, output_dir = absolute(source), absolute(output_dir)
     paths = find_feeds(spark, source, depth)
     before = stage(fingerprints(spark, paths), "before")
 
@@ -113,12 +120,9 @@ def ingest(
     documents = convert_posts(
         entries, decided.kept, scanned.where("is_post").select("row_id", "content_html"), classification=classification,
         extra_metadata=extra_metadata, overrides=overrides)
-    folder: str | Column = output_dir.rstrip("/")
-    if len(paths) > 1:
-        # One name space per feed: each feed gets a folder of its own.
-        folder = F.concat(F.lit(f"{folder}/"), F.md5("feed_path"))
-    documents = documents.withColumn("file_path", F.concat(F.lit(folder) if isinstance(folder, str) else folder,
-                                                           F.lit("/"), F.col("file_name")))
+    # One name space per feed: among several, each feed gets a folder of its own.
+    folder = F.lit(output_dir) if len(paths) == 1 else F.concat(F.lit(f"{output_dir}/"), F.md5("feed_path"))
+    documents = documents.withColumn("file_path", F.concat(folder, F.lit("/"), F.col("file_name")))
     if dry_run:
         documents = stage(documents, "documents")
     else:

@@ -121,6 +121,16 @@ def test_write_failures_are_issues(spark, tmp_path):
     assert issue.severity == "error" and issue.message.startswith(f"Failed to write markdown file '{out}/2020-01-05-feed-link-only.md': ")
 
 
+def test_relative_paths(spark, tmp_path, monkeypatch):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "old.xml").write_text(LEGACY, encoding="utf-8")
+    monkeypatch.chdir(tmp_path)
+    for source, out in (("in/old.xml", "out1"), ("in", "out2/")):
+        done = ingest(spark, source, out, one_file_per_post=True)
+        assert done.summary.first().converted_count == 2
+        assert len(list((tmp_path / out).glob("*.md"))) == 2
+
+
 def test_missing_input(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         ingest(spark, str(tmp_path / "nothing.xml"))
