@@ -19,8 +19,8 @@ VOID_TAGS = frozenset(
 RAW_TEXT_TAGS = frozenset(["script", "style", "template", "rt", "rp"])
 UNESCAPED_TAGS = frozenset(["script", "style"])
 KEEP_SPACE_TAGS = frozenset(["pre", "textarea"])
-LIST_ATTRIBUTES = {
-    "*": {"class", "accesskey", "dropzone"},
+LIST_ATTRIBUTES = frozenset(["class", "accesskey", "dropzone"])
+LIST_ATTRIBUTES_OF = {
     "a": {"rel", "rev"},
     "link": {"rel", "rev"},
     "td": {"headers"},
@@ -101,22 +101,26 @@ class _Reader(HTMLParser):
         self.open: dict[str, int] = {}
         self.buffer: list[str] = []
 
+    def inside(self, tags: frozenset[str]) -> bool:
+        return not tags.isdisjoint(self.open) and any(self.open.get(tag) for tag in tags)
+
     def flush(self, kind: str = "text") -> None:
         if not self.buffer:
             return
         text = "".join(self.buffer)
         self.buffer.clear()
         if kind == "text":
-            text = fold_blank(text, any(self.open.get(tag) for tag in KEEP_SPACE_TAGS))
-            kind = "raw" if any(self.open.get(tag) for tag in RAW_TEXT_TAGS) else "text"
+            text = fold_blank(text, self.inside(KEEP_SPACE_TAGS))
+            kind = "raw" if self.inside(RAW_TEXT_TAGS) else "text"
         self.here.append(Node(kind, text=text))
 
     def handle_starttag(self, tag, attrs, closed=False):
         self.flush()
-        listed = LIST_ATTRIBUTES["*"] | LIST_ATTRIBUTES.get(tag, set())
-        values = {name: value or "" for name, value in attrs}
-        for name in listed & values.keys():
-            values[name] = " ".join(values[name].split())
+        own_lists = LIST_ATTRIBUTES_OF.get(tag, ())
+        values = {
+            name: " ".join((value or "").split()) if name in LIST_ATTRIBUTES or name in own_lists else value or ""
+            for name, value in attrs
+        }
         node = self.here.append(Node("element", tag, values))
         if not closed and tag not in VOID_TAGS:
             self.here = node
@@ -181,7 +185,7 @@ def _numbered(name: str) -> str:
 
 def fold_blank(text: str, keep_space: bool) -> str:
     """ASCII-blank text becomes one newline or one space, except where spaces are kept."""
-    if not keep_space and not text.strip(ASCII_SPACE):
+    if not keep_space and text[:1] in ASCII_SPACE and not text.strip(ASCII_SPACE):
         return "\n" if "\n" in text else " "
     return text
 

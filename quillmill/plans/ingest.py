@@ -27,7 +27,7 @@ from quillmill.sources.discovery import bare_path, discover_feeds, read_settings
 from quillmill.sources.feeds import read_feeds, with_entry_index
 from quillmill.sources.fingerprint import compare_fingerprints, fingerprints, mutation_issues
 from quillmill.sources.sinks import export_files, write_documents, write_issues, write_lines
-from quillmill.staging import stage, stage_counted
+from quillmill.staging import size_shuffles, stage, stage_counted
 
 ROW = ["feed_path", "entry_index"]
 
@@ -98,6 +98,7 @@ def ingest(
     source, output_dir = absolute(source), absolute(output_dir)
     paths = find_feeds(spark, source, depth)
     before = stage(fingerprints(spark, paths), "before")
+    size_shuffles(spark, before.agg(F.sum("size")).first()[0])
 
     raw = read_feeds(spark, paths, splittable=splittable)
     scanned, total = stage_counted(
@@ -172,8 +173,12 @@ def convert_posts(
     entries: DataFrame, kept: DataFrame, contents: DataFrame, *, classification: str | Column = CLASSIFICATION,
     extra_metadata: Mapping[str, Any] | Column | None = None, overrides: dict[str, str | Rule] | None = None,
 ) -> DataFrame:
-    """Documents of the kept posts; `contents` (`row_id, content_html`) joins last and once."""
+    """Documents of the kept posts; `contents` (`row_id, content_html`) joins last and once.
+
+    Spark's size estimate goes by the number of columns and so takes the HTML for small; the
+    hint keeps it from broadcasting all of it to the few tasks of the other side.
+    """
     fields = ["row_id", *ROW, "id", "title", "published", "updated", "url", "labels", "author_name"]
     posts = ops.published(entries).select(fields).join(kept.select(*ROW, "file_name"), ROW)
-    converted = html_to_markdown(posts.join(contents, "row_id"), overrides=overrides)
+    converted = html_to_markdown(posts.join(contents.hint("merge"), "row_id"), overrides=overrides)
     return with_document(converted, classification, extra_metadata).drop("content_html", "row_id")

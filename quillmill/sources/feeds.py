@@ -95,7 +95,9 @@ def _checked(name: str) -> Column:
         F.lit("An entry tag may sit inside a comment or CDATA section; read this feed with splittable=False: "),
         F.col("_metadata.file_path"),
     )
-    return F.when(marked & hidden, F.raise_error(message).cast("string")).otherwise(value)
+    # Nested, as the two sides of an AND may both be computed up front.
+    judged = F.when(hidden, F.raise_error(message).cast("string")).otherwise(value)
+    return F.when(marked, judged).otherwise(value)
 
 
 def with_entry_index(entries: DataFrame, total: int) -> DataFrame:

@@ -43,3 +43,18 @@ def stage_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     written = Observation()
     staged = stage(df.observe(written, F.count(F.lit(1)).alias("rows")), name)
     return staged, written.get["rows"]
+
+
+# Shuffle input per partition to start from; adaptive execution merges what turns out small.
+BYTES_PER_PARTITION = 64 * 2**20
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> None:
+    """Start shuffles with enough partitions for an input of this size.
+
+    Only ever raises the number, and leaves one that the session sets itself alone.
+    """
+    wanted = input_bytes // BYTES_PER_PARTITION
+    if spark.conf.get(INITIAL_PARTITIONS, None) is None and wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set(INITIAL_PARTITIONS, str(wanted))
