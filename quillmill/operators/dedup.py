@@ -21,6 +21,9 @@ from quillmill.staging import stage_counted, staging_path
 ID = ["feed_path", "id"]
 URL = ["feed_path", "url"]
 ROW = ["feed_path", "entry_index"]
+# Fixed texts of the report format: what is repeated, and the file that has it.
+SAME_ID = "Duplicate post ID encountered: '%s' (already seen as '%s')"
+SAME_URL = "Duplicate canonical URL encountered: '%s' (already seen as '%s')"
 # Posts still undecided after a round that one task may settle alone.
 FINISH_ROWS = 100_000
 
@@ -98,11 +101,8 @@ def duplicate_posts(posts: DataFrame, kept: DataFrame, total: int, *, floor: int
     found = keyed_join(found, holder_of_url, URL, "left", total, floor=floor)
     same_id = F.coalesce(F.col("id_at") < F.col("entry_index"), F.lit(False))
     first_file = F.when(same_id, F.col("id_file")).otherwise(F.col("url_file"))
-    reason = F.concat(
-        F.when(same_id, "Duplicate post ID encountered: '").otherwise("Duplicate canonical URL encountered: '"),
-        F.when(same_id, F.col("id")).otherwise(F.col("url")),
-        F.lit("' (already seen as '"), first_file, F.lit("')"),
-    )
+    reason = F.when(same_id, F.format_string(SAME_ID, "id", first_file)).otherwise(
+        F.format_string(SAME_URL, "url", first_file))
     return found.select(
         *ROW, F.col("id").alias("post_id"), "title", "url",
         reason.alias("reason"), first_file.alias("first_seen_file"),

@@ -18,8 +18,15 @@ CATEGORY_KINDS = ["comment", "page", "template", "settings", "post"]
 KNOWN_KINDS = ["post", "comment", "page", "template", "settings"]
 DRAFT_YES = ["yes", "true", "1"]
 TRASHED_NO = ["false", "0", "none"]
-
-ISSUE = "STRUCT<severity: STRING, issue_type: STRING, post_id: STRING, post_title: STRING, message: STRING>"
+# Fixed texts of the report format; %1$s kind, %2$s id, %3$s title, %4$s index.
+UNFAMILIAR_TYPE = "Encountered unfamiliar entry type '%1$s' at index %4$s."
+MISSING_ID = "Entry at index %4$s is missing an <id> tag. Assigned fallback: %2$s"
+MISSING_TITLE = "Post '%2$s' has no title. Assigned fallback: '%3$s'"
+MISSING_DATE = "Post '%3$s' (%2$s) is missing a published date."
+MISSING_URL = "Published post '%3$s' (%2$s) does not have an alternate html URL link or filename."
+SKIPPED_TRASHED = "Skipped trashed/deleted entry"
+SKIPPED_DRAFT = "Skipped draft post (not published)"
+SKIPPED_KIND = "Skipped non-post entry kind: '%s'"
 
 
 def _texts(tag: str, field: str | None = None) -> Column:
@@ -178,15 +185,15 @@ def with_issues(fields: DataFrame) -> DataFrame:
     live = ~F.col("is_draft") & ~F.col("is_trashed")
     found = F.array(
         issue(~F.col("kind").isin(KNOWN_KINDS), "unfamiliar_entry_type", "raw_id", "raw_title",
-              "Encountered unfamiliar entry type '%1$s' at index %4$s."),
+              UNFAMILIAR_TYPE),
         issue(F.col("raw_id") == "", "missing_id", "id", "raw_title",
-              "Entry at index %4$s is missing an <id> tag. Assigned fallback: %2$s"),
+              MISSING_ID),
         issue(is_post & (F.col("raw_title") == ""), "missing_title", "id", "title",
-              "Post '%2$s' has no title. Assigned fallback: '%3$s'"),
+              MISSING_TITLE),
         issue(is_post & (F.col("published") == ""), "missing_publication_date", "id", "title",
-              "Post '%3$s' (%2$s) is missing a published date."),
+              MISSING_DATE),
         issue(is_post & live & (F.coalesce("url", F.lit("")) == ""), "missing_url", "id", "title",
-              "Published post '%3$s' (%2$s) does not have an alternate html URL link or filename."),
+              MISSING_URL),
     )
     return fields.withColumn("issues", F.filter(found, lambda i: i.isNotNull()))
 
@@ -199,9 +206,9 @@ def with_route(entries: DataFrame) -> DataFrame:
         .when(F.col("is_draft"), "draft")
     )
     reason = (
-        F.when(F.col("is_trashed"), "Skipped trashed/deleted entry")
-        .when(F.col("kind") != "post", F.concat(F.lit("Skipped non-post entry kind: '"), F.col("kind"), F.lit("'")))
-        .when(F.col("is_draft"), "Skipped draft post (not published)")
+        F.when(F.col("is_trashed"), SKIPPED_TRASHED)
+        .when(F.col("kind") != "post", F.format_string(SKIPPED_KIND, "kind"))
+        .when(F.col("is_draft"), SKIPPED_DRAFT)
     )
     return entries.withColumns({
         "route": F.when(skip_kind.isNull(), "published").otherwise("skipped"),

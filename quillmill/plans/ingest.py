@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os.path
 import re
+import time
 from dataclasses import dataclass
 from typing import Any, Mapping
 
@@ -89,18 +90,19 @@ def ingest(
     spark: SparkSession, source: str, output_dir: str = "output/posts", *, depth: int = 0,
     base_url: str | None = None, classification: str = CLASSIFICATION,
     extra_metadata: Mapping[str, Any] | None = None, overrides: dict[str, str | Rule] | None = None,
-    splittable: bool = True, dry_run: bool = False, one_file_per_post: bool = False,
+    splittable: bool = True, encoding: str = "UTF-8", dry_run: bool = False, one_file_per_post: bool = False,
 ) -> Ingested:
     """Run the job on `source` and, unless `dry_run`, write below `output_dir`:
     `documents` (parquet), `reports/json`, `reports/markdown` and, on demand, one file per post.
     """
+    started = time.monotonic()
     ship(spark)
     source, output_dir = absolute(source), absolute(output_dir)
     paths = find_feeds(spark, source, depth)
     before = stage(fingerprints(spark, paths), "before")
     size_shuffles(spark, before.agg(F.sum("size")).first()[0])
 
-    raw = read_feeds(spark, paths, splittable=splittable)
+    raw = read_feeds(spark, paths, splittable=splittable, encoding=encoding)
     scanned, total = stage_counted(
         raw.withColumns({
             "content_html": ops.content_html(),
@@ -146,7 +148,8 @@ def ingest(
         entries=entries, skipped=skipped, duplicates=duplicates, documents=written, converted=converted,
         issues=issues, breakdown=breakdown,
         summary=report.summary(
-            compared, entries, converted, duplicates, issues, breakdown, output_dir=folder),
+            compared, entries, converted, duplicates, issues, breakdown, output_dir=folder,
+            duration_seconds=time.monotonic() - started),
     )
     if not dry_run:
         write_lines(result.json_report(), report.LINE_ORDER, f"{output_dir}/reports/json")

@@ -13,6 +13,20 @@ from quillmill.operators.skew import keyed_join
 
 # An issue without an entry comes last.
 LINE_ORDER = ["feed_path", "section", "sort", f"coalesce(entry_index, {2**63 - 1})", "seq"]
+# Fixed values of the report format.
+TITLE = "# Blogger / Blogspot Ingestion Report"
+METRICS = [
+    ("Total Feed Entries", "total_entries"),
+    ("Published Posts Found", "published_posts_found"),
+    ("Successfully Converted", "converted_count"),
+    ("Skipped Entries", "skipped_count"),
+    ("Duplicate Entries", "duplicate_count"),
+    ("Conversion Issues / Warnings", "issue_count"),
+]
+BREAKDOWN_TABLE = ("### Skipped Entries Breakdown", ["Category", "Count"])
+DUPLICATES_TABLE = ("## Duplicates Detected", ["Title", "Post ID", "Reason"])
+ISSUES_TABLE = ("## Conversion Issues & Warnings", ["Severity", "Issue Type", "Post / Title", "Details"])
+CONVERTED_TABLE = ("## Converted Posts", ["Date", "Title", "Output File", "Labels"])
 # Kinds are free text: a feed with more of them gets no map, only rows of `skipped_breakdown`.
 MAX_MAP_KINDS = 1_000
 
@@ -126,20 +140,14 @@ def markdown_lines(
 ) -> DataFrame:
     """Lines of the Markdown report, to be sorted by `LINE_ORDER`."""
     head = [
-        "# Blogger / Blogspot Ingestion Report", "",
+        TITLE, "",
         *([f"**Generated on:** {generated_on}"] if generated_on else []),
         F.format_string("**Input File:** `%s`", "input_file"),
         F.format_string("**Output Directory:** `%s`", "output_dir"),
         F.format_string("**Execution Duration:** %.2fs", F.coalesce("duration_seconds", F.lit(0.0))),
         F.concat(F.lit("**Original Archive Unmodified:** "), F.when(F.col("input_file_unmodified"), "✅ Yes").otherwise("❌ No")),
         "", "## Summary Metrics", "", "| Metric | Count |", "| :--- | :--- |",
-        *[
-            F.format_string(f"| **{title}** | %d |", name) for title, name in [
-                ("Total Feed Entries", "total_entries"), ("Published Posts Found", "published_posts_found"),
-                ("Successfully Converted", "converted_count"), ("Skipped Entries", "skipped_count"),
-                ("Duplicate Entries", "duplicate_count"), ("Conversion Issues / Warnings", "issue_count"),
-            ]
-        ],
+        *[F.format_string(f"| **{title}** | %d |", name) for title, name in METRICS],
         "",
     ]
 
@@ -151,15 +159,14 @@ def markdown_lines(
     named = F.coalesce(F.expr("nullif(post_title, '')"), F.expr("nullif(post_id, '')"), F.lit("N/A"))
     return _union([
         _fixed(summary, 0, head),
-        *table(10, "### Skipped Entries Breakdown", ["Category", "Count"], F.col("skipped_count") > 0),
+        *table(10, *BREAKDOWN_TABLE, F.col("skipped_count") > 0),
         _rows(breakdown, 11, _bars(capitalized(F.col("kind")), F.col("count").cast("string")), sort="kind"),
-        *table(20, "## Duplicates Detected", ["Title", "Post ID", "Reason"], F.col("duplicate_count") > 0),
+        *table(20, *DUPLICATES_TABLE, F.col("duplicate_count") > 0),
         _rows(duplicates, 21, _bars(escape_bars(F.col("title")), ticked(F.col("post_id")), F.col("reason")), entry="entry_index"),
-        *table(30, "## Conversion Issues & Warnings", ["Severity", "Issue Type", "Post / Title", "Details"],
-               F.col("issue_count") > 0),
+        *table(30, *ISSUES_TABLE, F.col("issue_count") > 0),
         _rows(issues, 31, _bars(F.upper("severity"), ticked(F.col("issue_type")), escape_bars(named),
                                 escape_bars(F.col("message"))), entry="entry_index", seq="seq"),
-        *table(40, "## Converted Posts", ["Date", "Title", "Output File", "Labels"], None),
+        *table(40, *CONVERTED_TABLE, None),
         _rows(converted, 41, _bars(F.left("date", F.lit(10)), escape_bars(F.col("title")), ticked(F.col("file_name")),
                                    F.when(F.size("labels") > 0, F.array_join("labels", ", ")).otherwise("-")), entry="entry_index"),
     ])

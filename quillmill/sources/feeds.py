@@ -51,13 +51,16 @@ PLAIN_FOLDERS = {"recursiveFileLookup": "true"}
 POSITION = ["_metadata.file_path AS feed_path", "_metadata.file_block_start AS block"]
 
 
-def read_feeds(spark: SparkSession, paths: str | list[str], *, splittable: bool = True) -> DataFrame:
+def read_feeds(
+    spark: SparkSession, paths: str | list[str], *, splittable: bool = True, encoding: str = "UTF-8"
+) -> DataFrame:
     """Raw entries with `feed_path`, `block` and the scan-order key `row_id`."""
-    return _read_split(spark, paths) if splittable else _read_whole(spark, paths)
+    return (_read_split if splittable else _read_whole)(spark, paths, encoding)
 
 
-def _read_whole(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    raw = spark.read.format("xml").options(**XML_OPTIONS, **PLAIN_FOLDERS).schema(RAW_ENTRY).load(paths)
+def _read_whole(spark: SparkSession, paths: str | list[str], encoding: str) -> DataFrame:
+    options = {**XML_OPTIONS, **PLAIN_FOLDERS, "encoding": encoding}
+    raw = spark.read.format("xml").options(**options).schema(RAW_ENTRY).load(paths)
     return raw.select(
         *map(F.expr, POSITION),
         F.monotonically_increasing_id().alias("row_id"),
@@ -65,11 +68,16 @@ def _read_whole(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     )
 
 
-def _read_split(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+def _read_split(spark: SparkSession, paths: str | list[str], encoding: str) -> DataFrame:
+    if encoding.upper().startswith(("UTF-16", "UTF-32")):
+        raise ValueError(f"A feed in {encoding} cannot be cut by bytes; read it with splittable=False.")
     pieces = spark.read.options(lineSep="</entry>", **PLAIN_FOLDERS).text(paths)
+    if encoding.upper() != "UTF-8":
+        # The text source hands the bytes on as they are.
+        pieces = pieces.withColumn("value", F.decode(F.col("value").cast("binary"), encoding))
     start = r"(?s)<entry(?=[\s>]).*"
     cut = (
-        pieces.select(*map(F.expr, POSITION), _checked("value").alias("value"))
+        pieces.select(*map(F.expr, POSITION), _checked("value", encoding).alias("value"))
         .where(F.col("value").rlike(r"<entry[\s>]"))
         .withColumn("fragment", F.concat(F.regexp_extract("value", start, 0), F.lit("</entry>")))
     )
@@ -79,9 +87,11 @@ def _read_split(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     ).select("feed_path", "block", "row_id", "entry.*")
 
 
-def _checked(name: str) -> Column:
-    """The piece itself, or an error where an entry tag may sit in a comment or CDATA section."""
+def _checked(name: str, encoding: str) -> Column:
+    """The piece itself, or an error where an entry tag may sit in a comment or CDATA section,
+    or where the feed declares another encoding."""
     value = F.col(name)
+    path = F.col("_metadata.file_path")
 
     def without_pairs(c: Column) -> Column:
         return F.regexp_replace(F.regexp_replace(c, r"(?s)<!\[CDATA\[.*?\]\]>", ""), r"(?s)<!--.*?-->", "")
@@ -91,13 +101,14 @@ def _checked(name: str) -> Column:
     openings = ["<!--", "<![CDATA["]
     hidden = reduce(or_, [part.contains(opening) for part in parts for opening in openings])
     marked = reduce(or_, [value.contains(opening) for opening in openings])
-    message = F.concat(
-        F.lit("An entry tag may sit inside a comment or CDATA section; read this feed with splittable=False: "),
-        F.col("_metadata.file_path"),
-    )
+    message = "An entry tag may sit inside a comment or CDATA section; read this feed with splittable=False: "
     # Nested, as the two sides of an AND may both be computed up front.
-    judged = F.when(hidden, F.raise_error(message).cast("string")).otherwise(value)
-    return F.when(marked, judged).otherwise(value)
+    judged = F.when(hidden, F.raise_error(F.concat(F.lit(message), path)).cast("string")).otherwise(value)
+
+    declared = F.regexp_extract(value, r"""\A\W*<\?xml[^>]*?\sencoding\s*=\s*["']([^"']+)""", 1)
+    other = F.concat(F.lit("The feed declares another encoding; give it as `encoding`: "), declared, F.lit(" "), path)
+    head = F.when(F.upper(declared).isin("", encoding.upper()), judged).otherwise(F.raise_error(other).cast("string"))
+    return F.when(value.contains("<?xml"), head).when(marked, judged).otherwise(value)
 
 
 def with_entry_index(entries: DataFrame, total: int) -> DataFrame:

@@ -27,8 +27,18 @@ def staging_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def _staging_folder(spark: SparkSession) -> str:
+    return f"{staging_root(spark)}/quillmill/{spark.sparkContext.applicationId}"
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
-    return f"{staging_root(spark)}/quillmill/{name}-{uuid.uuid4().hex}"
+    return f"{_staging_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_staging(spark: SparkSession) -> None:
+    """Delete what this application has staged, once nothing that reads it is needed any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_staging_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -77,6 +77,17 @@ def test_split_reader_refuses_hidden_entry_tags(spark, tmp_path, hidden):
     assert [r.id for r in rows] == [["yes"]]
 
 
+@pytest.mark.parametrize("splittable", [True, False])
+def test_other_encoding(spark, tmp_path, splittable):
+    feed = "<?xml version='1.0' encoding=\"ISO-8859-1\"?><feed><entry><title>é</title></entry></feed>"
+    (tmp_path / "feed.atom").write_bytes(feed.encode("latin-1"))
+    rows = read_feeds(spark, str(tmp_path), splittable=splittable, encoding="iso-8859-1").collect()
+    assert rows[0].title[0]._VALUE == "é"
+    if splittable:
+        with pytest.raises(Exception, match="another encoding"):
+            read_feeds(spark, str(tmp_path)).collect()
+
+
 def test_repeated_tags(spark, tmp_path):
     (tmp_path / "feed.atom").write_text(
         "<feed><entry><id>a</id><id>b</id><status>DRAFT</status><status>LIVE</status><created>c1</created>"

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillmill.functions import text
-from quillmill.operators.documents import document_text, frontmatter_text
+from quillmill.operators.documents import document_text, frontmatter_struct, frontmatter_text
 
 
 def values(spark, build, *inputs):
@@ -80,3 +80,12 @@ def test_document_text(spark):
     df = spark.createDataFrame([("---\nx\n---\n", " body \n"), ("---\nx\n---\n", " \n"), ("---\nx\n---\n", None)], "f STRING, m STRING")
     assert [r[0] for r in df.select(document_text(F.col("f"), F.col("m"))).collect()] == [
         "---\nx\n---\n\nbody\n", "---\nx\n---\n\n", "---\nx\n---\n\n"]
+
+
+def test_frontmatter_struct(spark):
+    df = spark.createDataFrame(
+        [("T", "2024", None, None, "i", "", "Ann")],
+        "title STRING, published STRING, url STRING, labels ARRAY<STRING>, id STRING, updated STRING, author_name STRING")
+    assert df.select(frontmatter_struct("note").alias("f")).first().f.asDict() == {
+        "title": "T", "date": "2024", "url": "", "labels": [], "classification": "note", "type": "note", "id": "i",
+        "updated": None, "author": "Ann"}
