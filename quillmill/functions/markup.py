@@ -40,12 +40,13 @@ MARKS = {"comment": ("<!--", "-->"), "doctype": ("<!DOCTYPE ", ">\n"), "cdata":
 class Node:
     """An element, or a leaf of kind text, raw (script and the like) or one of MARKS."""
 
-    __slots__ = ("kind", "tag", "attrs", "text", "parent", "kids")
+    __slots__ = ("kind", "tag", "attrs", "text", "parent", "kids", "rank")
 
     def __init__(self, kind: str, tag: str = "", attrs: dict[str, str] | None = None, text: str = ""):
         self.kind, self.tag, self.attrs, self.text = kind, tag, attrs or {}, text
         self.parent: Node | None = None
         self.kids: list[Node] = []
+        self.rank: int | None = None
 
     def append(self, child: Node) -> Node:
         child.parent = self
@@ -53,7 +54,7 @@ class Node:
         return child
 
     def place(self) -> int:
-        return next(at for at, kid in enumerate(self.parent.kids) if kid is self)
+        return self.parent.kids.index(self)
 
     def detach(self) -> None:
         if self.parent is not None:

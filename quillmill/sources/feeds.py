@@ -88,8 +88,8 @@ def _read_split(spark: SparkSession, paths: str | list[str], encoding: str) -> D
 
 
 def _checked(name: str, encoding: str) -> Column:
-    """The piece itself, or an error where an entry tag may sit in a comment or CDATA section,
-    or where the feed declares another encoding."""
+    """The piece itself, or an error where an entry tag may sit in a comment or CDATA section
+    or is spelled unlike the cut, or where the feed declares another encoding."""
     value = F.col(name)
     path = F.col("_metadata.file_path")
 
@@ -101,14 +101,19 @@ def _checked(name: str, encoding: str) -> Column:
     openings = ["<!--", "<![CDATA["]
     hidden = reduce(or_, [part.contains(opening) for part in parts for opening in openings])
     marked = reduce(or_, [value.contains(opening) for opening in openings])
-    message = "An entry tag may sit inside a comment or CDATA section; read this feed with splittable=False: "
+
+    def refused(why: str) -> Column:
+        return F.raise_error(F.concat(F.lit(f"{why}; read this feed with splittable=False: "), path)).cast("string")
+
+    unlike = value.rlike(r"</[\w.-]+:entry\s*>|</entry\s|<entry(?:\s[^<>]*)?/>")
+    spelled = F.when(unlike, refused("An entry tag has a prefix, a space or no content")).otherwise(value)
     # Nested, as the two sides of an AND may both be computed up front.
-    judged = F.when(hidden, F.raise_error(F.concat(F.lit(message), path)).cast("string")).otherwise(value)
+    judged = F.when(hidden, refused("An entry tag may sit inside a comment or CDATA section")).otherwise(spelled)
 
     declared = F.regexp_extract(value, r"""\A\W*<\?xml[^>]*?\sencoding\s*=\s*["']([^"']+)""", 1)
     other = F.concat(F.lit("The feed declares another encoding; give it as `encoding`: "), declared, F.lit(" "), path)
     head = F.when(F.upper(declared).isin("", encoding.upper()), judged).otherwise(F.raise_error(other).cast("string"))
-    return F.when(value.contains("<?xml"), head).when(marked, judged).otherwise(value)
+    return F.when(value.contains("<?xml"), head).when(marked, judged).otherwise(spelled)
 
 
 def with_entry_index(entries: DataFrame, total: int) -> DataFrame:

@@ -77,6 +77,17 @@ def test_split_reader_refuses_hidden_entry_tags(spark, tmp_path, hidden):
     assert [r.id for r in rows] == [["yes"]]
 
 
+@pytest.mark.parametrize("feed, ids", [
+    ("<a:feed xmlns:a='x'><a:entry><a:id>1</a:id></a:entry></a:feed>", [["1"]]),
+    ("<feed><entry ><id>1</id></entry ><entry><id>2</id></entry\n></feed>", [["1"], ["2"]]),
+    ("<feed><entry/><entry><id>2</id></entry></feed>", [None, ["2"]])])
+def test_split_reader_refuses_other_spellings(spark, tmp_path, feed, ids):
+    (tmp_path / "feed.atom").write_text(feed)
+    assert [r.id for r in read_feeds(spark, str(tmp_path), splittable=False).collect()] == ids
+    with pytest.raises(Exception, match="splittable=False"):
+        read_feeds(spark, str(tmp_path)).collect()
+
+
 @pytest.mark.parametrize("splittable", [True, False])
 def test_other_encoding(spark, tmp_path, splittable):
     feed = "<?xml version='1.0' encoding=\"ISO-8859-1\"?><feed><entry><title>é</title></entry></feed>"
