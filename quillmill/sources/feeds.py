@@ -7,7 +7,8 @@ could hide an entry tag, and such a file must be read whole.
 
 Every element is declared as an array, so a tag given twice keeps all its values. The order
 of *different* tags inside one entry is lost; `operators.entries` fixes a precedence where
-it would matter. Content made of child elements keeps only what Spark reads as its text.
+it would matter. Content made of child elements keeps only what Spark reads as its text, and
+the whole-file reader loses the text before a comment in the middle of a value.
 """
 
 from __future__ import annotations
@@ -81,7 +82,10 @@ def _read_split(spark: SparkSession, paths: str | list[str], encoding: str) -> D
         .where(F.col("value").rlike(r"<entry[\s>]"))
         .withColumn("fragment", F.concat(F.regexp_extract("value", start, 0), F.lit("</entry>")))
     )
-    parsed = F.from_xml("fragment", RAW_ENTRY, XML_OPTIONS)
+    # Spark keeps only the text behind a comment; without comments the text is whole.
+    bare = F.regexp_replace("fragment", r"(?s)(<!\[CDATA\[.*?\]\]>)|<!--.*?-->", "$1")
+    fragment = F.when(F.col("fragment").contains("<!--"), bare).otherwise(F.col("fragment"))
+    parsed = F.from_xml(fragment, RAW_ENTRY, XML_OPTIONS)
     return cut.select(
         "feed_path", "block", F.monotonically_increasing_id().alias("row_id"), parsed.alias("entry")
     ).select("feed_path", "block", "row_id", "entry.*")
