@@ -275,7 +275,7 @@ def q_all_file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = parsed_entries(spark, sf_dir).withColumn(
         "title", F.expr("CASE entry_index % 6 WHEN 0 THEN 'Notes' WHEN 1 THEN 'Notes 2' WHEN 2 THEN 'Notes 3' "
                         "WHEN 3 THEN 'Notes' WHEN 4 THEN concat('Notes ', entry_index % 40) ELSE 'Notes 2 2' END"))
-    return file_names(with_base_name(entries)).select("entry_index", "file_name")
+    return file_names(with_base_name(entries).select("feed_path", "entry_index", "base")).select("entry_index", "file_name")
 
 
 def q_frontmatter(spark: SparkSession, sf_dir: str) -> DataFrame:

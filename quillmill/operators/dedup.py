@@ -51,7 +51,8 @@ def kept_posts(posts: DataFrame, *, finish_rows: int = FINISH_ROWS, floor: int |
         rest = keyed_join(rest, keep.where("url IS NOT NULL").select(URL), URL, "left_anti", left, floor=floor)
         undecided, left = stage_counted(rest, "undecided")
         number += 1
-    keep_round(number, _settle(undecided) if left else undecided)
+    if left or not number:
+        keep_round(number, _settle(undecided) if left else undecided)
     return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(folder)
 
 

@@ -40,8 +40,9 @@ def with_base_name(posts: DataFrame, published: str = "published", title: str =
 def file_names(
     posts: DataFrame, *, floor: int | None = None, width: int = BUCKET_WIDTH, finish_rows: int = FINISH_ROWS
 ) -> DataFrame:
-    """`feed_path, entry_index, file_name` for kept posts that carry a `base` name."""
-    posts, total = stage_counted(posts.select(*ROW, "base").withColumn("one", F.lit(1)), "bases")
+    """Adds `file_name` to kept posts that carry a `base` name, which is dropped."""
+    columns = [name for name in posts.columns if name != "base"]
+    posts, total = stage_counted(posts.withColumn("one", F.lit(1)), "bases")
     ranked = running_total(posts, BASE, "entry_index", "one", "rank", width=width).drop("one")
     close, number = stage_counted(_close_contests(posts, total, floor), "contests")
     if number:
@@ -52,7 +53,7 @@ def file_names(
     else:
         numbered = ranked.withColumn("number", F.col("rank"))
     suffix = F.when(F.col("number") == 1, "").otherwise(F.concat(F.lit("-"), F.col("number").cast("string")))
-    return numbered.select(*ROW, F.concat("base", suffix, F.lit(".md")).alias("file_name"))
+    return numbered.select(*columns, F.concat("base", suffix, F.lit(".md")).alias("file_name"))
 
 
 def _close_contests(posts: DataFrame, total: int, floor: int | None) -> DataFrame:

@@ -166,9 +166,8 @@ class Decided:
 def decide(entries: DataFrame, total: int) -> Decided:
     """Which published posts stay and under which name; `entries`, `total` of them, are staged."""
     posts = ops.published(entries).select(*ROW, "id", "title", "published", "url")
-    stay = kept_posts(posts)
-    based = with_base_name(stay.select(ROW).join(posts.select(*ROW, "title", "published"), ROW))
-    kept = stage(stay.join(file_names(based), ROW), "named")
+    named = with_base_name(kept_posts(posts).join(posts.select(*ROW, "title", "published"), ROW))
+    kept = stage(file_names(named.select(*ROW, "id", "url", "base")), "named")
     return Decided(kept=kept, duplicates=duplicate_posts(posts, kept, total))
 
 
