@@ -7,10 +7,14 @@ covers the whole table.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
 from quillmill.functions import text
 from quillmill.operators import documents as docs, entries as ops, nodes
 from quillmill.operators.dedup import duplicate_posts, kept_posts
