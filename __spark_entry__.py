@@ -28,6 +28,15 @@ from quillmill.sources.feeds import RAW_ENTRY, read_feeds, with_entry_index
 from quillmill.sources.fingerprint import compare_fingerprints, fingerprints
 from quillmill.staging import stage, stage_counted, staging_path
 
+HERE = os.path.dirname(os.path.abspath(__file__))
+try:  # these two may be taken out
+    import corpus_pipeline
+    from quillmill.llm import queries as llm
+except ImportError:
+    if all(os.path.exists(os.path.join(HERE, kept)) for kept in ("corpus_pipeline.py", "quillmill/llm/queries.py")):
+        raise
+    llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 FEED = "archive/feed.atom"
 FEED_SPAN = 64
@@ -399,6 +408,10 @@ FROM (SELECT page_id, concat('Text ', trim(regexp_extract(html, '<title>([A-Za-z
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return _queries() | ({"pipeline": corpus_pipeline.run, **llm.queries()} if llm else {})
+
+
+def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "entry_fields": q_entry_fields,
         "content_html": q_content_html,
@@ -651,6 +664,10 @@ def _json_sql() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    return _oracle_sql() | (llm.oracle_sql() if llm else {})
+
+
+def _oracle_sql() -> dict[str, str]:
     every = lambda pattern, group: f"unnest(regexp_extract_all(html, '{pattern}', {group}))"
     link = '(?s)<a href="([^"]*)">(.*?)</a>'
     image = '(?:<a href="([^"]*)">)?<img src="([^"]*)"(?: alt="([^"]*)")?/>'
