@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from quillmill.staging import stage
 
-SALTS = 16
+SALTS = 8
 
 
 def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread: Column, how: str = "left") -> DataFrame:

@@ -21,7 +21,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from quillmill.llm.common import connected_components, salted_join
 from quillmill.llm.words import grams, hash_words, mix, pieces
@@ -132,28 +132,30 @@ def _longer(bands: int, rows: int):
     return longer
 
 
-def _confirmed(pairs: DataFrame, told: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are alike; sizes and one-bit signatures rule most others out first.
+def _plausible(percent: int) -> Column:
+    """Sizes and one-bit signatures of two documents (n_a, lanes_a, n_b, lanes_b) allow that they are alike.
 
     The bits of two documents at the limit agree in `(1 + limit) / 2` of all lanes; pairs that
-    fall short of that by more than six standard deviations are not looked at. Small sets all are.
+    fall short of that by more than six standard deviations are ruled out. Small sets never are.
     """
-    limit = percent / 100
-    agree = (1 + limit) / 2
+    agree = (1 + percent / 100) / 2
     enough = int(_LANES * agree - 6 * math.sqrt(_LANES * agree * (1 - agree)))
+    apart = reduce(Column.__add__, [F.bit_count(F.col("lanes_a")[k].bitwiseXOR(F.col("lanes_b")[k])) for k in range(_LANES // 64)])
+    return (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent) & ((F.least("n_a", "n_b") < 32) | (apart <= _LANES - enough))
 
-    def side(x: str) -> DataFrame:
-        return told.select(F.col("rep").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("lanes").alias(f"lanes_{x}"))
-
-    near = salted_join(pairs, side("a"), ["a"], F.col("b"), "inner")
-    near = salted_join(near, side("b"), ["b"], F.col("a"), "inner")
-    apart = reduce(lambda x, y: x + y, [F.bit_count(F.col("lanes_a")[k].bitwiseXOR(F.col("lanes_b")[k])) for k in range(_LANES // 64)])
-    near = near.where(
-        (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
-        & ((F.least("n_a", "n_b") < 32) | (apart <= _LANES - enough))
-    ).select("a", "b", "n_a", "n_b")
-    full = salted_join(near, sets.select(F.col("rep").alias("a"), F.col("shingles").alias("set_a")), ["a"], F.col("b"), "inner")
-    full = salted_join(full, sets.select(F.col("rep").alias("b"), F.col("shingles").alias("set_b")), ["b"], F.col("a"), "inner")
+
+def _side(told: DataFrame, x: str) -> DataFrame:
+    return told.select(F.col("rep").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("lanes").alias(f"lanes_{x}"))
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b, n_a, n_b) whose full sets are alike.
+
+    Both joins are plain shuffle joins, whose skewed partitions Spark splits: sets are too wide to be
+    repeated for every salt.
+    """
+    full = pairs.join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("set_b")), "b")
+    full = full.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("set_a")), "a")
     met = F.size(F.array_intersect("set_a", "set_b"))
     return full.where(met * 100 >= (F.col("n_a") + F.col("n_b") - met) * percent).select("a", "b")
 
@@ -200,20 +202,28 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
         large, level = longer.where(F.col("members") > bucket_limit), level + 1
     buckets = reduce(DataFrame.unionByName, parts)
 
-    stars = buckets.where("rep != centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
-    links = stage(_confirmed(stars, told_reps, sets, percent), "links")
+    pairs = buckets.where("rep != centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
+    stars = salted_join(pairs, _side(told_reps, "a"), ["a"], F.col("b"), "inner").join(_side(told_reps, "b"), "b")
+    links = stage(_confirmed(stars.where(_plausible(percent)).select("a", "b", "n_a", "n_b"), sets, percent), "links")
     named = connected_components(links)
-    apart = buckets.select("bucket", "rep").join(named.withColumnRenamed("node", "rep"), "rep", "left")
-    apart = stage(apart.select("bucket", "rep", F.coalesce("component", "rep").alias("component")), "apart")
+    apart = buckets.select("bucket", "rep").join(named.withColumnRenamed("node", "rep"), "rep", "left").join(told_reps.drop("same"), "rep")
+    apart = stage(apart.select("bucket", "rep", F.coalesce("component", "rep").alias("component"), "n_shingles", "lanes"), "apart")
     counted = apart.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
     largest = counted.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("most"), F.count(F.lit(1)).alias("k")).where("k > 1")
     largest = largest.select("bucket", F.col("most.component").alias("largest"))
-    open_ = salted_join(apart, largest, ["bucket"], F.col("rep"), "inner")
-    outside = open_.where("component != largest").select("bucket", F.col("rep").alias("a"), F.col("component").alias("mine"))
-    theirs = open_.select("bucket", F.col("rep").alias("b"), F.col("component").alias("other"), (F.col("component") != F.col("largest")).alias("outside"))
-    left = outside.join(theirs, "bucket").where("mine != other AND (NOT outside OR a < b)")
-    left = left.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    more = stage(_confirmed(left, told_reps, sets, percent), "links")
+    open_ = stage(salted_join(apart, largest, ["bucket"], F.col("rep"), "inner"), "open")
+    outside = open_.where("component != largest").select(
+        "bucket", F.col("rep").alias("a"), F.col("n_shingles").alias("n_a"), F.col("lanes").alias("lanes_a"), F.col("component").alias("mine"))
+    theirs = open_.select(
+        F.col("bucket").alias("place"), F.col("rep").alias("b"), F.col("n_shingles").alias("n_b"), F.col("lanes").alias("lanes_b"),
+        F.col("component").alias("other"), (F.col("component") != F.col("largest")).alias("outside"))
+    # only pairs that may be alike leave the join
+    apart_yet = (F.col("bucket") == F.col("place")) & (F.col("mine") != F.col("other")) & (~F.col("outside") | (F.col("a") < F.col("b")))
+    left = outside.join(theirs, apart_yet & _plausible(percent))
+    low = F.col("a") < F.col("b")
+    left = left.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(low, F.col("n_a")).otherwise(F.col("n_b")).alias("n_a"),
+                       F.when(low, F.col("n_b")).otherwise(F.col("n_a")).alias("n_b")).distinct().join(pairs, ["a", "b"], "left_anti")
+    more = stage(_confirmed(left, sets, percent), "links")
     named = connected_components(links.unionByName(more))
 
     by_class = classes.join(named.withColumnRenamed("node", "rep"), "rep", "left").where("copies > 1 OR component IS NOT NULL")
