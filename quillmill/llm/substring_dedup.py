@@ -23,9 +23,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from quillmill.llm.common import salted_join
-from quillmill.llm.words import grams, hash_words, inside, pieces
+from quillmill.llm.words import grams, hash_words, inside, packed_texts, pieces
 from quillmill.session import ship
 from quillmill.staging import stage
 
@@ -59,6 +60,21 @@ def _anchor_of(words: np.ndarray, at: np.ndarray, window: int, gram: int) -> np.
     return anchors(grams(words, gram), window - gram + 1)[at] if len(at) else np.zeros(0, np.uint64)
 
 
+_NARROW = 6
+"""Bytes of an anchor's hash and of its owner; anchors only tell where to look, so few are enough."""
+_LOW = np.uint64(2 ** (8 * _NARROW) - 1)
+
+
+def _packed(values: np.ndarray, width: int) -> bytes:
+    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def _unpacked(data: bytes, width: int, kind=np.uint64) -> np.ndarray:
+    wide = np.zeros((len(data) // width, 8), np.uint8)
+    wide[:, :width] = np.frombuffer(data, np.uint8).reshape(-1, width)
+    return wide.view(kind).reshape(-1)
+
+
 def _changes(*columns: np.ndarray) -> np.ndarray:
     """True where a row differs from the one before in any column."""
     out = np.ones(len(columns[0]), bool)
@@ -76,6 +92,7 @@ def _ask(hashes: np.ndarray, owners: np.ndarray, blocks: int, both: bool) -> Ite
 
     `both`: a hash with two owners in here is known for both (else only for the larger ones).
     """
+    width = _NARROW if both else 8
     order = np.lexsort((owners, hashes))
     h, o = hashes[order], owners[order]
     fresh = _changes(h, o)
@@ -87,12 +104,12 @@ def _ask(hashes: np.ndarray, owners: np.ndarray, blocks: int, both: bool) -> Ite
     kh, ko = h[known], o[known]
     by = np.argsort(ko, kind="stable")
     kh, ko = kh[by], ko[by]
-    rows += [(int(ko[a] % blocks), int(ko[a]), None, kh[a:b].tobytes(), None) for a, b in _runs(ko)]
+    rows += [(int(ko[a] % blocks), int(ko[a]), None, _packed(kh[a:b], width), None) for a, b in _runs(ko)]
     h, o = h[first], o[first]
     block = (h % np.uint64(blocks)).astype(np.int32)
     by = np.lexsort((many, block))
     h, o, many, block = h[by], o[by], many[by], block[by]
-    rows += [(int(block[a]), None, bool(many[a]), h[a:b].tobytes(), o[a:b].tobytes()) for a, b in _runs(block, many)]
+    rows += [(int(block[a]), None, bool(many[a]), _packed(h[a:b], width), _packed(o[a:b], width)) for a, b in _runs(block, many)]
     if rows:
         kinds = [pa.int32(), pa.int64(), pa.bool_(), pa.binary(), pa.binary()]
         columns = [pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
@@ -105,7 +122,7 @@ def _anchor_entries(window: int, gram: int, blocks: int):
             owner = batch.column("owner").to_numpy()
             for start, texts in pieces(batch):
                 words, at, doc = _windows(texts, window)
-                found = _anchor_of(words, at, window, gram)
+                found = _anchor_of(words, at, window, gram) & _LOW
                 new = _changes(found, doc)  # windows in a row often have the same anchor
                 yield from _ask(found[new], owner[start : start + len(texts)][doc[new]], blocks, both=True)
     return entries
@@ -115,36 +132,38 @@ def _window_entries(window: int, gram: int, blocks: int):
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             owner = batch.column("doc_id").to_numpy()
-            for start, texts in pieces(batch):
+            for start, texts in pieces(batch, packed=True):
                 words, at, doc = _windows(texts, window)
-                found = _anchor_of(words, at, window, gram)
-                look = _listed(found, doc, batch.column("shared").slice(start, len(texts)).to_pylist())
+                found = _anchor_of(words, at, window, gram) & _LOW
+                look = _listed(found, doc, batch.column("shared").slice(start, len(texts)).to_pylist(), _NARROW)
                 hashes = grams(words, window)[at[look]]
                 yield from _ask(hashes, owner[start : start + len(texts)][doc[look]], blocks, both=False)
     return entries
 
 
-def _listed(hashes: np.ndarray, doc: np.ndarray, lists: list[list[bytes] | None]) -> np.ndarray:
+def _listed(hashes: np.ndarray, doc: np.ndarray, lists: list[list[bytes] | None], width: int) -> np.ndarray:
     """Which hashes are in their own document's list."""
     out = np.zeros(len(hashes), bool)
     cuts = np.searchsorted(doc, np.arange(len(lists) + 1))
     for i, listed in enumerate(lists):
         if listed:
             a, b = cuts[i], cuts[i + 1]
-            out[a:b] = np.isin(hashes[a:b], np.frombuffer(b"".join(listed), np.uint64))
+            out[a:b] = np.isin(hashes[a:b], _unpacked(b"".join(listed), width))
     return out
 
 
 def _answer(both: bool):
     """Merge one block of the index; answers go to the owners, one row for each."""
+    width = _NARROW if both else 8
+
     def answer(table: pa.Table) -> pa.Table:
         known = table.filter(pc.is_valid(table.column("owner")))
         rows = set(zip(known.column("owner").to_pylist(), known.column("hashes").to_pylist(), strict=True))
         asked = table.filter(pc.is_null(table.column("owner")))
         parts = asked.column("hashes").to_pylist()
-        h = np.frombuffer(b"".join(parts), np.uint64)
-        o = np.frombuffer(b"".join(asked.column("owners").to_pylist()), np.int64)
-        many = np.repeat(np.array(asked.column("many").to_pylist(), bool), [len(x) // 8 for x in parts])
+        h = _unpacked(b"".join(parts), width)
+        o = _unpacked(b"".join(asked.column("owners").to_pylist()), width, np.int64)
+        many = np.repeat(np.array(asked.column("many").to_pylist(), bool), [len(x) // width for x in parts])
         order = np.lexsort((o, h))
         h, o, many = h[order], o[order], many[order]
         first = _changes(h)
@@ -160,7 +179,7 @@ def _answer(both: bool):
         h, o = h[order], o[order]
         fresh = _changes(h, o)
         h, o = h[fresh], o[fresh]
-        rows = [*rows, *((int(o[a]), h[a:b].tobytes()) for a, b in _runs(o))]
+        rows = [*rows, *((int(o[a]), _packed(h[a:b], width)) for a, b in _runs(o))]
         owners, found = zip(*rows, strict=True) if rows else ((), ())
         return pa.table([pa.array(owners, pa.int64()), pa.array(found, pa.binary())], ["owner", "found"])
     return answer
@@ -195,7 +214,7 @@ def _finished(window: int, digest: bool):
     """Spans and what is left of each document; `found` lists its windows that are repeated."""
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, texts in pieces(batch):
+            for start, texts in pieces(batch, packed=True):
                 yield _finish(batch.slice(start, len(texts)), texts, window, digest)
     return finish
 
@@ -203,7 +222,7 @@ def _finished(window: int, digest: bool):
 def _finish(part: pa.RecordBatch, texts: list[bytes], window: int, digest: bool) -> pa.RecordBatch:
     found = part.column("found").to_pylist()
     words, at, doc = _windows([t if f else b"" for t, f in zip(texts, found, strict=True)], window)
-    flags = _listed(grams(words, window)[at], doc, found)
+    flags = _listed(grams(words, window)[at], doc, found, 8)
     cuts = np.searchsorted(doc, np.arange(len(texts) + 1))
     out = []
     for i, repeats in enumerate(part.column("repeats").to_pylist()):
@@ -245,7 +264,7 @@ def _sorted_out(window: int, digest: bool):
                 lists = pa.nulls(over.num_rows, _LISTS)
                 ready = [over.column("doc_id"), over.column("text"), over.column("repeats"), lists]
                 for done in finish([pa.RecordBatch.from_arrays(ready, ["doc_id", "text", "repeats", "found"])]):
-                    empty = [pa.nulls(done.num_rows, kind) for kind in (pa.string(), _LISTS)]
+                    empty = [pa.nulls(done.num_rows, kind) for kind in (pa.binary(), _LISTS)]
                     yield pa.RecordBatch.from_arrays([*done.columns, *empty], _WAITING)
     return sort_out
 
@@ -265,22 +284,26 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, d
     """
     ship(docs.sparkSession)
     read = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    digest_of = F.sha2("text", 256)
+    digest_of = F.unhex(F.sha2("text", 256))
     seen = Observation()
-    told = stage(read.select("doc_id", digest_of.alias("sum"), F.octet_length("text").alias("size"))
+    told = stage(read.select("doc_id", digest_of.alias("sum"), F.xxhash64(digest_of).bitwiseAND(F.lit(int(_LOW))).alias("owner"), F.octet_length("text").alias("size"))
                  .observe(seen, F.coalesce(F.sum("size"), F.lit(0)).alias("size")), "texts").where("doc_id IS NOT NULL")
     blocks = max(8, seen.get["size"] // BLOCK_BYTES)
     # of equal texts only the first one is parsed: it is the reference of all the others
-    classes = told.groupBy("sum").agg(F.min("doc_id").alias("first"))
-    asked = read.where("doc_id IS NOT NULL").select(F.xxhash64(digest_of).alias("owner"), "text")
+    classes = told.groupBy("sum").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    name = F.xxhash64(digest_of).bitwiseAND(F.lit(int(_LOW))).alias("owner")
+    asked = read.where("doc_id IS NOT NULL").select(name, "text")
     anchored = _gathered(asked.mapInArrow(_anchor_entries(window, gram, blocks), _ENTRIES), both=True)
-    plan = stage(salted_join(told.select("doc_id", "sum").distinct(), classes, ["sum"], F.col("doc_id")), "plan")
-    first = plan.where("doc_id = first").withColumn("owner", F.xxhash64("sum")).join(anchored, "owner", "left")
-    plan = first.select("doc_id", "sum", F.lit(False).alias("repeats"), F.col("found").alias("shared")).unionByName(
-        plan.where("doc_id > first").select("doc_id", "sum", F.lit(True).alias("repeats")), allowMissingColumns=True)
-    met = read.withColumn("sum", digest_of).join(plan, ["doc_id", "sum"], "left")
+    plan = salted_join(told.select("doc_id", "sum", "owner").distinct(), classes, ["sum"], F.col("doc_id"))
+    plan = stage(plan.withColumn("repeats", F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False))).drop("first", "copies"), "plan")
+    first = plan.where("NOT repeats").join(anchored, "owner")
+    plan = first.select("doc_id", "sum", "repeats", F.col("found").alias("shared")).unionByName(
+        plan.where("repeats").select("doc_id", "sum", "repeats"), allowMissingColumns=True)
+    kind = StructType([*read.schema.fields[:1], StructField("sum", BinaryType()), StructField("text", BinaryType())])
+    packed = read.select("doc_id", digest_of.alias("sum"), "text").mapInArrow(packed_texts, kind)
+    met = packed.join(plan, ["doc_id", "sum"], "left")
     met = met.select("doc_id", "text", F.coalesce("repeats", F.lit(False)).alias("repeats"), "shared")
-    parsed = stage(met.mapInArrow(_sorted_out(window, digest), _RESULT + ", text string, shared array<binary>"), "parsed")
+    parsed = stage(met.mapInArrow(_sorted_out(window, digest), _RESULT + ", text binary, shared array<binary>"), "parsed")
     waiting = parsed.where("text IS NOT NULL")
     windows = waiting.select("doc_id", "text", "shared").mapInArrow(_window_entries(window, gram, blocks), _ENTRIES)
     found = _gathered(windows, both=False).withColumnRenamed("owner", "doc_id")

@@ -7,6 +7,7 @@ the characters, as UTF-8 never uses those bytes inside a character.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,11 +31,16 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def pieces(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[int, list[bytes]]]:
-    """The texts of a batch (null: empty) in groups: index of the first row, and the bytes."""
+def pieces(batch: pa.RecordBatch, packed: bool = False) -> Iterator[tuple[int, list[bytes]]]:
+    """The texts of a batch (null: empty) in groups: index of the first row, and the bytes.
+
+    `packed`: they come as `packed_texts` has made them.
+    """
     start, group, size = 0, [], 0
-    for i, text in enumerate(batch.column(column).cast(pa.binary())):
+    for i, text in enumerate(batch.column("text").cast(pa.binary())):
         text = text.as_py() or b""
+        if packed and text:
+            text = zlib.decompress(text)
         if group and size + len(text) > PIECE_BYTES:
             yield start, group
             start, group, size = i, [], 0
@@ -44,6 +50,16 @@ def pieces(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[int, l
         yield start, group
 
 
+def packed_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows with `text` compressed, for texts that have to be shuffled whole."""
+    for batch in batches:
+        at = batch.schema.get_field_index("text")
+        made = [zlib.compress(text.as_py() or b"", 4) for text in batch.column(at).cast(pa.binary())]
+        columns = batch.columns
+        columns[at] = pa.array(made, pa.binary())
+        yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+
+
 def hash_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words in order, and where each text's words start (one more entry at the end)."""
     data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
