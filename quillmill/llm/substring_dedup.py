@@ -32,7 +32,7 @@ from quillmill.staging import stage
 
 WINDOW = 13
 GRAM = 5
-BLOCK_BYTES = 2**22
+BLOCK_BYTES = 2**20
 """Bytes of text for each block of an index; sets the number of blocks."""
 
 _ENTRIES = "block int, owner long, many boolean, hashes binary, owners binary"
