@@ -25,10 +25,12 @@ WORDS_AT_ONCE = 20_000
 """Words of one recursive query."""
 BYTES_AT_ONCE = 200_000
 """Bytes of one recursive query (a longer word has one to itself)."""
-WORDS_KEPT = 800_000
+WORDS_KEPT = 400_000
 """Words and pieces a worker remembers the tokens of; it then forgets them all and goes on."""
 SPACE_SAFE = (r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""",)
 """Patterns (fixed values) whose matches end before every space that is followed by no white space."""
+DECODED_AT_ONCE = 256
+"""Texts of one decoding query."""
 MAX_VOCABULARY = 16 * 2**20
 """Bytes of a rank file that may be sent to the executors; larger ones are refused."""
 
@@ -215,12 +217,13 @@ def _rank_file(path: str) -> bytes:
     return ranks
 
 
-def encode_texts(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, decode: bool = False) -> DataFrame:
     """`doc_id, ids` for every row of `docs`: the token ids of its whole text, as array<int>.
 
     The rank file is read on the driver and sent to the executors. No special tokens: their
     strings are ordinary text. A null or empty text has no ids. Equal rows give equal rows;
-    other columns are not looked at.
+    other columns are not looked at. With `decode` the ids are decoded again on the way, as
+    `decode_ids` does: one more column, `decoded`, and one worker with these tables, not two.
     """
     spark = ship(docs.sparkSession)
     sent = spark.sparkContext.broadcast((_rank_file(ranks_path), pattern))
@@ -232,10 +235,14 @@ def encode_texts(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
                 encoded = coder.encode(texts)
                 ids = np.frombuffer(b"".join(encoded), "<u4").astype(np.int32)
                 cuts = np.cumsum([0, *(len(one) // 4 for one in encoded)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(start, len(texts)), pa.ListArray.from_arrays(cuts, ids)], ["doc_id", "ids"])
+                columns = [batch.column("doc_id").slice(start, len(texts)), pa.ListArray.from_arrays(cuts, ids)]
+                if decode:
+                    parts = (encoded[i : i + DECODED_AT_ONCE] for i in range(0, len(encoded), DECODED_AT_ONCE))
+                    columns.append(pa.array([raw for part in parts for raw in coder.decode(part)], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded"][: len(columns)])
 
-    return docs.select("doc_id", "text").mapInArrow(encode, f"doc_id {dict(docs.dtypes)['doc_id']}, ids array<int>")
+    kind = f"doc_id {dict(docs.dtypes)['doc_id']}, ids array<int>" + ", decoded binary" * decode
+    return docs.select("doc_id", "text").mapInArrow(encode, kind)
 
 
 def decode_ids(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
@@ -249,8 +256,8 @@ def decode_ids(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(*sent.value)
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
+            for start in range(0, batch.num_rows, DECODED_AT_ONCE):
+                part = batch.slice(start, DECODED_AT_ONCE)
                 raw = [b"" if one is None else one.astype("<u4").tobytes() for one in part.column("ids").to_numpy(zero_copy_only=False)]
                 yield pa.RecordBatch.from_arrays(
                     [*part.select(["doc_id", "ids"]).columns, pa.array(coder.decode(raw), pa.binary())], ["doc_id", "ids", "decoded"])

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
 
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quillmill.llm.byte_bpe import decode_ids, encode_texts
@@ -60,18 +62,22 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = encode_texts(_table(spark, sf_dir, "documents"), RANKS, PATTERN)
-    return bpe_digests(decode_ids(encoded, RANKS, PATTERN))
+    return bpe_digests(encode_texts(_table(spark, sf_dir, "documents"), RANKS, PATTERN, decode=True))
 
 
 def bpe_digests(decoded: DataFrame) -> DataFrame:
-    """Ids as bytes: the four of each, lowest first, as hexadecimal digits put together."""
-    word = F.col("ids")
-    hexed = F.transform(word, lambda x: F.lpad(F.hex(x), 8, "0"))
-    little = F.transform(hexed, lambda h: F.concat(h.substr(7, 2), h.substr(5, 2), h.substr(3, 2), h.substr(1, 2)))
-    return decoded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.unhex(F.array_join(little, "")), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+    """Number of ids, and digests of the ids as 32-bit integers and of the decoded bytes."""
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = [one.astype("<u4").tobytes() for one in batch.column("ids").to_numpy(zero_copy_only=False)]
+            yield pa.RecordBatch.from_arrays([
+                batch.column("doc_id"), pa.array([len(one) // 4 for one in ids], pa.int64()),
+                pa.array([hashlib.sha256(one).hexdigest() for one in ids], pa.string()),
+                pa.array([hashlib.sha256(one.as_py()).hexdigest() for one in batch.column("decoded")], pa.string()),
+            ], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    kind = f"doc_id {dict(decoded.dtypes)['doc_id']}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return decoded.mapInArrow(digest, kind)
 
 
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -220,6 +220,7 @@ def test_bpe_tables(docs, texts, nothing, peer):
         ids = peer.encode_ordinary(text or "")
         want[i, len(ids), sha(np.array(ids, "<u4").tobytes()), sha(text or "")] += 1
     assert Counter(map(tuple, got)) == want
+    assert Counter(map(tuple, bpe_digests(byte_bpe.encode_texts(docs, RANKS, PATTERN, decode=True)).collect())) == want
     assert byte_bpe.encode_texts(nothing, RANKS, PATTERN).collect() == []
 
 
