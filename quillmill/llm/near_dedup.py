@@ -35,7 +35,7 @@ LEVELS = 3
 BUCKET_LIMIT = 1000
 """Documents in a bucket above which its key is made longer (`LEVELS` times at most)."""
 _SURE = 1e-6
-_LANES = 192
+_LANES, _BITS = 192, 4
 _COPY = np.uint64(0xA0761D6478BD642F)
 
 
@@ -99,8 +99,8 @@ def _sketches(size: int, bands: int, rows: int):
                 some = [one for one in sets if len(one)]
                 made = one_permutation(some, bins)
                 keys = band_keys(made, bands, rows)
-                bits = np.packbits((made[:, :_LANES] >> np.uint64(7)).astype(np.uint8) & 1, axis=1)
-                lanes = bits.view(">i8").astype(np.int64)
+                bits = [np.packbits((made[:, :_LANES] >> np.uint64(3 + 6 * k)).astype(np.uint8) & 1, axis=1) for k in range(_BITS)]
+                lanes = np.concatenate(bits, axis=1).view(np.int64)
                 where = np.cumsum([len(one) > 0 for one in sets]) - 1
                 full = [len(one) > 0 for one in sets]
                 yield pa.RecordBatch.from_arrays([
@@ -133,15 +133,19 @@ def _longer(bands: int, rows: int):
 
 
 def _plausible(percent: int) -> Column:
-    """Sizes and one-bit signatures of two documents (n_a, lanes_a, n_b, lanes_b) allow that they are alike.
+    """Sizes and bit signatures of two documents (n_a, lanes_a, n_b, lanes_b) allow that they are alike.
 
-    The bits of two documents at the limit agree in `(1 + limit) / 2` of all lanes; pairs that
-    fall short of that by more than six standard deviations are ruled out. Small sets never are.
+    At the limit `(1 - limit)` of all lanes differ and so does half of their bits. Both counts
+    scatter, more so for small sets, where one shingle fills many lanes; pairs beyond six standard
+    deviations are ruled out. All others are compared in full.
     """
-    agree = (1 + percent / 100) / 2
-    enough = int(_LANES * agree - 6 * math.sqrt(_LANES * agree * (1 - agree)))
-    apart = reduce(Column.__add__, [F.bit_count(F.col("lanes_a")[k].bitwiseXOR(F.col("lanes_b")[k])) for k in range(_LANES // 64)])
-    return (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent) & ((F.least("n_a", "n_b") < 32) | (apart <= _LANES - enough))
+    miss = 1 - percent / 100
+    n = F.least("n_a", "n_b").cast("double")
+    lanes = _LANES * miss * (1 - miss) * (_BITS / 2) ** 2  # how many lanes differ
+    coins = F.lit((_LANES / 2) ** 2 * _BITS) * (n * 1.2 * miss + 1) / (n * n)  # which of their bits do
+    most = F.lit(_LANES * _BITS * miss / 2) + F.sqrt(coins + F.lit(lanes)) * 6
+    apart = reduce(Column.__add__, [F.bit_count(F.col("lanes_a")[k].bitwiseXOR(F.col("lanes_b")[k])) for k in range(_LANES * _BITS // 64)])
+    return (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent) & (apart <= most)
 
 
 def _side(told: DataFrame, x: str) -> DataFrame:
