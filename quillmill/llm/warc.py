@@ -26,7 +26,7 @@ MAGIC = b"\x1f\x8b\x08"
 MIN_REVISIT_BYTES = 1000
 _DATE = "2000-01-01T00:00:00Z"
 _URN = "urn:page:"
-_LEVEL = 6
+_LEVEL = 2
 
 
 def gzip_member(data: bytes) -> bytes:
