@@ -27,8 +27,6 @@ BREAKDOWN_TABLE = ("### Skipped Entries Breakdown", ["Category", "Count"])
 DUPLICATES_TABLE = ("## Duplicates Detected", ["Title", "Post ID", "Reason"])
 ISSUES_TABLE = ("## Conversion Issues & Warnings", ["Severity", "Issue Type", "Post / Title", "Details"])
 CONVERTED_TABLE = ("## Converted Posts", ["Date", "Title", "Output File", "Labels"])
-# Kinds are free text: a feed with more of them gets no map, only rows of `skipped_breakdown`.
-MAX_MAP_KINDS = 1_000
 
 
 def skipped_breakdown(skipped: DataFrame) -> DataFrame:
@@ -37,10 +35,8 @@ def skipped_breakdown(skipped: DataFrame) -> DataFrame:
 
 
 def breakdown_map(breakdown: DataFrame) -> DataFrame:
-    """`feed_path, skipped_breakdown` as a map; feeds with very many kinds are left out."""
-    few = breakdown.groupBy("feed_path").agg(F.count("*").alias("_kinds")).where(F.col("_kinds") <= MAX_MAP_KINDS)
-    pairs = breakdown.join(few, "feed_path", "left_semi")
-    return pairs.groupBy("feed_path").agg(
+    """`feed_path, skipped_breakdown` as a map of all kinds of a feed."""
+    return breakdown.groupBy("feed_path").agg(
         F.map_from_entries(F.sort_array(F.collect_list(F.struct("kind", "count")))).alias("skipped_breakdown"))
 
 
@@ -73,7 +69,7 @@ def summary(
         (F.lit(output_dir) if isinstance(output_dir, str) else output_dir).alias("output_dir"),
         F.col("sha256").alias("input_file_hash_sha256"), F.col("unmodified").alias("input_file_unmodified"),
         *map(zero, ["total_entries", "published_posts_found", "converted_count", "skipped_count"]),
-        "skipped_breakdown", zero("duplicate_count"), zero("issue_count"),
+        F.coalesce("skipped_breakdown", F.create_map().cast("map<string,bigint>")).alias("skipped_breakdown"), zero("duplicate_count"), zero("issue_count"),
         F.round(F.lit(duration_seconds).cast("double"), 3).alias("duration_seconds"),
     )
 

@@ -6,6 +6,7 @@ Spark true file sizes to plan the next join with.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -13,7 +14,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
 def staging_root(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; a temporary one only where none is set."""
+    """Folder named by ``spark.checkpoint.dir``, which driver and executors must share.
+
+    Where none is set a temporary one will do for a local master only; on a cluster that is an error.
+    """
     context = spark.sparkContext
     root = (
         spark.conf.get("spark.checkpoint.dir", None)
@@ -21,6 +25,8 @@ def staging_root(spark: SparkSession) -> str:
         or context.getCheckpointDir()
     )
     if not root:
+        if not re.match(r"local(\[|$)", context.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="quillmill-")
         context.setCheckpointDir(root)
         root = context.getCheckpointDir()
@@ -60,11 +66,20 @@ BYTES_PER_PARTITION = 64 * 2**20
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
+_sized: dict[str, str] = {}
+
+
 def size_shuffles(spark: SparkSession, input_bytes: int) -> None:
     """Start shuffles with enough partitions for an input of this size.
 
-    Only ever raises the number, and leaves one that the session sets itself alone.
+    Goes by each run anew; a number that the session sets itself is left alone.
     """
+    application, now = spark.sparkContext.applicationId, spark.conf.get(INITIAL_PARTITIONS, None)
+    if now is not None and now != _sized.get(application):
+        return
     wanted = input_bytes // BYTES_PER_PARTITION
-    if spark.conf.get(INITIAL_PARTITIONS, None) is None and wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        _sized[application] = str(wanted)
         spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+    elif now is not None:
+        spark.conf.unset(INITIAL_PARTITIONS)

@@ -1,4 +1,7 @@
 from pathlib import Path
+from types import SimpleNamespace
+
+import pytest
 
 from quillmill import staging
 
@@ -19,6 +22,18 @@ def test_size_shuffles(spark):
         staging.size_shuffles(spark, 10 * 2**40)
         assert spark.conf.get(staging.INITIAL_PARTITIONS, None) == "163840"
         staging.size_shuffles(spark, 20 * 2**40)
-        assert spark.conf.get(staging.INITIAL_PARTITIONS, None) == "163840"
+        assert spark.conf.get(staging.INITIAL_PARTITIONS, None) == "327680"
+        staging.size_shuffles(spark, 100)
+        assert spark.conf.get(staging.INITIAL_PARTITIONS, None) is None
+        spark.conf.set(staging.INITIAL_PARTITIONS, "11")
+        staging.size_shuffles(spark, 20 * 2**40)
+        assert spark.conf.get(staging.INITIAL_PARTITIONS, None) == "11"
     finally:
         spark.conf.unset(staging.INITIAL_PARTITIONS)
+
+
+def test_a_cluster_needs_a_shared_folder():
+    context = SimpleNamespace(master="spark://host:7077", getConf=lambda: SimpleNamespace(get=lambda name: None), getCheckpointDir=lambda: None)
+    session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda name, default: default))
+    with pytest.raises(ValueError, match="checkpoint"):
+        staging.staging_root(session)
