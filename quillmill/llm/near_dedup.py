@@ -72,7 +72,7 @@ def one_permutation(sets: list[np.ndarray], bins: int) -> np.ndarray:
     attempt = 0
     while len(row):
         attempt += 1
-        source = (mix(bin_.astype(np.uint64) + np.uint64(attempt) * _COPY) >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)
+        source = (mix(bin_.astype(np.uint64) + np.array([attempt], np.uint64) * _COPY) >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)
         source = source.astype(np.int64)
         hit = filled[row, source]
         out[row[hit], bin_[hit]] = out[row[hit], source[hit]]
