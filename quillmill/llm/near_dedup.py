@@ -36,6 +36,7 @@ BUCKET_LIMIT = 1000
 """Documents in a bucket above which its key is made longer (`LEVELS` times at most)."""
 _SURE = 1e-6
 _LANES, _BITS = 192, 4
+_PARITIES = 512
 _COPY = np.uint64(0xA0761D6478BD642F)
 
 
@@ -80,6 +81,16 @@ def one_permutation(sets: list[np.ndarray], bins: int) -> np.ndarray:
     return out
 
 
+def odd_sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """For each set, whether an odd number of its hashes falls into each of `_PARITIES` places (as bits).
+
+    Members that two sets share cancel out, so their sketches differ in no more places than the sets
+    differ in members.
+    """
+    odd = np.array([np.bincount(one.astype(np.int64) & (_PARITIES - 1), minlength=_PARITIES) & 1 for one in sets], np.uint8)
+    return np.packbits(odd.reshape(len(sets), _PARITIES), axis=1).view(np.int64)
+
+
 def band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """A 64-bit bucket key for each band."""
     lanes = signatures[:, : bands * rows].reshape(len(signatures), bands, rows)
@@ -101,6 +112,7 @@ def _sketches(size: int, bands: int, rows: int):
                 keys = band_keys(made, bands, rows)
                 bits = [np.packbits((made[:, :_LANES] >> np.uint64(3 + 6 * k)).astype(np.uint8) & 1, axis=1) for k in range(_BITS)]
                 lanes = np.concatenate(bits, axis=1).view(np.int64)
+                odd = odd_sketches(some)
                 where = np.cumsum([len(one) > 0 for one in sets]) - 1
                 full = [len(one) > 0 for one in sets]
                 yield pa.RecordBatch.from_arrays([
@@ -108,8 +120,9 @@ def _sketches(size: int, bands: int, rows: int):
                     pa.array([len(one) for one in sets], pa.int64()),
                     pa.array([hashlib.blake2b(one.tobytes(), digest_size=16).digest() if f else None for one, f in zip(sets, full, strict=True)], pa.binary()),
                     pa.array([lanes[w].tolist() if f else None for w, f in zip(where, full, strict=True)], pa.list_(pa.int64())),
+                    pa.array([odd[w].tolist() if f else None for w, f in zip(where, full, strict=True)], pa.list_(pa.int64())),
                     pa.array([keys[w] if f else None for w, f in zip(where, full, strict=True)], pa.list_(pa.int64())),
-                ], ["doc_id", "n_shingles", "same", "lanes", "keys"])
+                ], ["doc_id", "n_shingles", "same", "lanes", "odd", "keys"])
     return sketch
 
 
@@ -132,10 +145,16 @@ def _longer(bands: int, rows: int):
     return longer
 
 
+def _differing(sketch: str, longs: int) -> Column:
+    return reduce(Column.__add__, [F.bit_count(F.col(f"{sketch}_a")[k].bitwiseXOR(F.col(f"{sketch}_b")[k])) for k in range(longs)])
+
+
 def _plausible(percent: int) -> Column:
-    """Sizes and bit signatures of two documents (n_a, lanes_a, n_b, lanes_b) allow that they are alike.
+    """Sizes and sketches of two documents (n_a, lanes_a, odd_a, n_b, lanes_b, odd_b) allow that they are alike.
 
-    At the limit `(1 - limit)` of all lanes differ and so does half of their bits. Both counts
+    Sets of sizes that are alike differ in at most `(n_a + n_b) * (1 - limit) / (1 + limit)` members, and
+    in no fewer than their odd sketches do; this bound is exact, but says little of large sets.
+    For these, at the limit `(1 - limit)` of all lanes differ and so does half of their bits. Both counts
     scatter, more so for small sets, where one shingle fills many lanes; pairs beyond six standard
     deviations are ruled out. All others are compared in full.
     """
@@ -144,12 +163,14 @@ def _plausible(percent: int) -> Column:
     lanes = _LANES * miss * (1 - miss) * (_BITS / 2) ** 2  # how many lanes differ
     coins = F.lit((_LANES / 2) ** 2 * _BITS) * (n * 1.2 * miss + 1) / (n * n)  # which of their bits do
     most = F.lit(_LANES * _BITS * miss / 2) + F.sqrt(coins + F.lit(lanes)) * 6
-    apart = reduce(Column.__add__, [F.bit_count(F.col("lanes_a")[k].bitwiseXOR(F.col("lanes_b")[k])) for k in range(_LANES * _BITS // 64)])
-    return (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent) & (apart <= most)
+    sizes = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
+    members = _differing("odd", _PARITIES // 64) * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)
+    return sizes & members & (_differing("lanes", _LANES * _BITS // 64) <= most)
 
 
 def _side(told: DataFrame, x: str) -> DataFrame:
-    return told.select(F.col("rep").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("lanes").alias(f"lanes_{x}"))
+    return told.select(F.col("rep").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("lanes").alias(f"lanes_{x}"),
+                       F.col("odd").alias(f"odd_{x}"))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -177,7 +198,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
     ship(docs.sparkSession)
     bands, rows = band_shape(percent, 0)
     read = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    kind = "doc_id long, n_shingles long, same binary, lanes array<long>, keys array<long>"
+    kind = "doc_id long, n_shingles long, same binary, lanes array<long>, odd array<long>, keys array<long>"
     told = stage(read.mapInArrow(_sketches(size, bands, rows), kind), "sketches")
     linked = told.where("doc_id IS NOT NULL AND same IS NOT NULL")
     classes = stage(linked.groupBy("same").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "classes")
@@ -187,7 +208,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
     members = reps.select("rep", F.explode("keys").alias("bucket"))
     crowded = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"), F.min("rep").alias("centre")).where("members > 1")
     met = stage(salted_join(members, crowded, ["bucket"], F.col("rep"), "inner"), "members")
-    told_reps = stage(reps.join(met.select("rep").distinct(), "rep", "left_semi").select("rep", "same", "n_shingles", "lanes"), "candidates")
+    told_reps = stage(reps.join(met.select("rep").distinct(), "rep", "left_semi").select("rep", "same", "n_shingles", "lanes", "odd"), "candidates")
     texts = read.withColumnRenamed("doc_id", "rep").join(told_reps.select("rep"), "rep", "left_semi").dropDuplicates(["rep"])
     sets = stage(texts.mapInArrow(_sets(size), "rep long, shingles array<long>"), "sets")
 
@@ -211,16 +232,17 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
     links = stage(_confirmed(stars.where(_plausible(percent)).select("a", "b", "n_a", "n_b"), sets, percent), "links")
     named = connected_components(links)
     apart = buckets.select("bucket", "rep").join(named.withColumnRenamed("node", "rep"), "rep", "left").join(told_reps.drop("same"), "rep")
-    apart = stage(apart.select("bucket", "rep", F.coalesce("component", "rep").alias("component"), "n_shingles", "lanes"), "apart")
+    apart = stage(apart.select("bucket", "rep", F.coalesce("component", "rep").alias("component"), "n_shingles", "lanes", "odd"), "apart")
     counted = apart.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
     largest = counted.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("most"), F.count(F.lit(1)).alias("k")).where("k > 1")
     largest = largest.select("bucket", F.col("most.component").alias("largest"))
     open_ = stage(salted_join(apart, largest, ["bucket"], F.col("rep"), "inner"), "open")
     outside = open_.where("component != largest").select(
-        "bucket", F.col("rep").alias("a"), F.col("n_shingles").alias("n_a"), F.col("lanes").alias("lanes_a"), F.col("component").alias("mine"))
+        "bucket", F.col("rep").alias("a"), F.col("n_shingles").alias("n_a"), F.col("lanes").alias("lanes_a"),
+        F.col("odd").alias("odd_a"), F.col("component").alias("mine"))
     theirs = open_.select(
         F.col("bucket").alias("place"), F.col("rep").alias("b"), F.col("n_shingles").alias("n_b"), F.col("lanes").alias("lanes_b"),
-        F.col("component").alias("other"), (F.col("component") != F.col("largest")).alias("outside"))
+        F.col("odd").alias("odd_b"), F.col("component").alias("other"), (F.col("component") != F.col("largest")).alias("outside"))
     # only pairs that may be alike leave the join
     apart_yet = (F.col("bucket") == F.col("place")) & (F.col("mine") != F.col("other")) & (~F.col("outside") | (F.col("a") < F.col("b")))
     left = outside.join(theirs, apart_yet & _plausible(percent))
