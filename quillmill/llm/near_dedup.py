@@ -250,7 +250,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
     left = left.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(low, F.col("n_a")).otherwise(F.col("n_b")).alias("n_a"),
                        F.when(low, F.col("n_b")).otherwise(F.col("n_a")).alias("n_b")).distinct().join(pairs, ["a", "b"], "left_anti")
     more = stage(_confirmed(left, sets, percent), "links")
-    named = connected_components(links.unionByName(more))
+    known = named.select(F.col("node").alias("a"), F.col("component").alias("b"))  # stars already: few rounds are left
+    named = connected_components(known.unionByName(more))
 
     by_class = classes.join(named.withColumnRenamed("node", "rep"), "rep", "left").where("copies > 1 OR component IS NOT NULL")
     by_class = by_class.select("same", F.coalesce("component", "rep").alias("component_id"))
