@@ -2,23 +2,52 @@
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# What a task holds in memory at once; larger files are compared by size and time of change.
-MAX_HASHED_BYTES = 512 * 2**20
+# What a task holds in memory at once; larger files are hashed as a stream. Both give the same hash.
+WHOLE_BYTES = 512 * 2**20
+# Streams open at a time.
+STREAMS = 8
 MUTATION_MESSAGE = "CRITICAL: Input feed file hash changed during execution! File was unexpectedly modified."
+FINGERPRINT = "feed_path string, size bigint, changed_at timestamp, sha256 string"
+
 
+def fingerprints(spark: SparkSession, paths: str | list[str], max_bytes: int | None = None) -> DataFrame:
+    """`feed_path, size, changed_at, sha256` of every file, whatever its size.
 
-def fingerprints(spark: SparkSession, paths: str | list[str], max_bytes: int = MAX_HASHED_BYTES) -> DataFrame:
-    """`feed_path, sha256, size, changed_at`; `sha256` is null for files larger than `max_bytes`."""
+    Only where a caller sets `max_bytes`, larger files have a null `sha256`. Files above
+    `WHOLE_BYTES` are hashed when this is called, the others with the result.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
     facts = [
         F.col("_metadata.file_path").alias("feed_path"),
         F.col("length").alias("size"), F.col("modificationTime").alias("changed_at"),
     ]
-    small = files.where(F.col("length") <= max_bytes).select(*facts, F.sha2("content", 256).alias("sha256"))
-    large = files.where(F.col("length") > max_bytes).select(*facts, F.lit(None).cast("string").alias("sha256"))
-    return small.unionByName(large)
+    whole = WHOLE_BYTES if max_bytes is None else min(WHOLE_BYTES, max_bytes)
+    hashed = files.where(F.col("length") <= whole).select(*facts, F.sha2("content", 256).alias("sha256"))
+    large = files.where(F.col("length") > whole).select(*facts, "path").collect()
+
+    def row(file):
+        wanted = max_bytes is None or file.size <= max_bytes
+        return file.feed_path, file.size, file.changed_at, _stream_sha256(spark, file.path) if wanted else None
+
+    if not large:
+        return hashed
+    with ThreadPool(min(STREAMS, len(large))) as pool:
+        return hashed.unionByName(spark.createDataFrame(pool.map(row, large), FINGERPRINT))
+
+
+def _stream_sha256(spark: SparkSession, path: str) -> str:
+    """Read piece by piece through Hadoop, as Python does not reach every store that Spark reads."""
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    stream = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).open(place)
+    try:
+        return jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(stream)
+    finally:
+        stream.close()
 
 
 def compare_fingerprints(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -1,3 +1,6 @@
+import hashlib
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -170,3 +173,20 @@ def test_fingerprints(spark, tmp_path):
     unhashed = stage(fingerprints(spark, str(tmp_path / "a"), max_bytes=0), "unhashed")
     assert unhashed.first().sha256 is None
     assert compare_fingerprints(unhashed, fingerprints(spark, str(tmp_path / "a"), max_bytes=0)).first().unmodified
+
+
+def test_large_files_are_hashed_too(spark, tmp_path):
+    large = tmp_path / "large one%20.xml"
+    with large.open("wb") as file:  # mostly a hole, so it takes no disk
+        file.truncate(512 * 2**20 + 1)
+    (tmp_path / "small.xml").write_bytes(b"a")
+    before = stage(fingerprints(spark, str(tmp_path)), "before")
+    with large.open("rb") as file:
+        want = {hashlib.file_digest(file, "sha256").hexdigest(), hashlib.sha256(b"a").hexdigest()}
+    assert {r.sha256 for r in before.collect()} == want
+    times = large.stat()
+    with large.open("r+b") as file:
+        file.write(b"!")
+    os.utime(large, ns=(times.st_atime_ns, times.st_mtime_ns))
+    compared = compare_fingerprints(before, stage(fingerprints(spark, str(tmp_path)), "after"))
+    assert sorted((r.feed_path[-9:], r.unmodified) for r in compared.collect()) == [("%2520.xml", False), ("small.xml", True)]
