@@ -58,7 +58,7 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
-    return judge_urls(pages, URL_RULES, page_links(pages)).select("page_id", "host", "path", "rule", "verdict")
+    return judge_urls(pages, URL_RULES, page_links(pages, relative=True)).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -39,22 +39,48 @@ def alias_key(url: Column) -> Column:
     return F.when(F.contains(url, F.lit("://")), named).otherwise(url)
 
 
-def page_links(pages: DataFrame) -> DataFrame:
+def without_dots(path: Column) -> Column:
+    """A path that starts with `/`, its `.` and `..` segments resolved as browsers do, `%2e` for a dot too."""
+    dot = r"(?i)^(?:\.|%2e){1,2}$"
+    parts = F.transform(F.split(path, "/"), lambda s: F.when(s.rlike(dot), F.regexp_replace(s, "(?i)%2e", ".")).otherwise(s))
+    parts = F.slice(F.when(F.element_at(parts, -1).isin(".", ".."), F.concat(parts, F.array(F.lit("")))).otherwise(parts), 2, F.length(path) + 1)
+    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda done, s: F.when(s == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))))
+                       .when(s == ".", done).otherwise(F.concat(done, F.array(s))))
+    return F.when(path.rlike(r"(?i)/(?:\.|%2e){1,2}(?:/|$)"), F.concat(F.lit("/"), F.array_join(kept, "/"))).otherwise(path)
+
+
+def resolved(base: Column, target: Column) -> Column:
+    """The URL that `target` means on a page at `base`; null or without `://` if that cannot be told."""
+    site, own = F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*)", 1), path_of(base)
+    path, tail = F.regexp_extract(target, r"(?s)^[^?#]*", 0), F.regexp_extract(target, r"(?s)^[^?#]*(.*)", 1)
+    folder = F.coalesce(F.nullif(F.regexp_extract(own, "(?s)^.*/", 0), F.lit("")), F.lit("/"))
+    return (F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), target)
+            .when(target.startswith("//"), F.concat(F.regexp_extract(base, "(?s)^(.*?:)//", 1), target))
+            .when(target.startswith("/"), F.concat(site, without_dots(path), tail))
+            .when(target.startswith("?"), F.concat(site, own, target))
+            .when(target.startswith("#"), F.concat(F.regexp_extract(base, "(?s)^[^#]*", 0), target))
+            .otherwise(F.concat(site, without_dots(F.concat(folder, path)), tail)))
+
+
+def page_links(pages: DataFrame, relative: bool = False) -> DataFrame:
     """`url, target` from pages: `<link rel=canonical>`, and `<meta http-equiv=refresh>` redirects.
 
-    Targets that start with `/` are completed with the page's scheme and host; other relative
-    ones are left out, as they need the whole resolution of a browser.
+    Targets that start with `/` are completed with the page's scheme and host, or those of its
+    `<base href>`. With `relative`, as in the query, all other relative targets are completed too.
     """
     html = F.col("html")
     tag = F.regexp_extract(html, r"""(?is)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>""", 0)
     canonical = F.regexp_extract(tag, r"""(?is)\bhref\s*=\s*["']?([^"'\s>]+)""", 1)
     tag = F.regexp_extract(html, r"""(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>""", 0)
     refresh = F.regexp_extract(tag, r"""(?is)\burl\s*=\s*["']?([^"'\s>]+)""", 1)
-    found = pages.where(html.rlike("(?i)canonical|http-equiv")).select("url", F.explode(F.array(canonical, refresh)).alias("target"))
-    base = F.regexp_extract("url", r"(?s)^(.*?://[^/?#]*)", 1)
-    found = found.withColumn("target", F.when(F.col("target").startswith("//"), F.concat(F.regexp_extract("url", "(?s)^(.*?:)//", 1), "target"))
-                             .when(F.col("target").startswith("/"), F.concat(base, "target")).otherwise(F.col("target")))
-    return found.where(F.contains("target", F.lit("://")))
+    based = F.regexp_extract(html, r"""(?is)<base\b[^>]*\bhref\s*=\s*["']?([^"'\s>]+)""", 1)
+    found = pages.where(html.rlike("(?i)canonical|http-equiv")).select("url", based.alias("based"), F.explode(F.array(canonical, refresh)).alias("target"))
+    found = found.where("target != ''")
+    if not relative:
+        found = found.where(F.col("target").rlike("^(?:/|[A-Za-z][A-Za-z0-9+.-]*:)"))
+    found = found.withColumn("base", F.when(F.col("based") != "", resolved(F.col("url"), F.col("based"))).otherwise(F.col("url")))
+    found = found.select("url", resolved(F.col("base"), F.col("target")).alias("target"))
+    return found.where(F.col("target").rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"))
 
 
 def rule_for(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -> Column:

@@ -2,12 +2,13 @@ import math
 import random
 import re
 from collections import Counter, defaultdict
+from urllib.parse import urljoin
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quillmill.llm import mixing, topk_search, url_filter
+from quillmill.llm import mixing, queries, topk_search, url_filter
 
 SPLIT = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -96,6 +97,25 @@ def test_page_links(spark):
         ("http://a.net/x", "http://b.net/y"), ("http://a.net/x", "http://a.net/z"), ("https://a.net/q", "https://c.net/k"), (None, "http://d.net/")])
 
 
+RELATIVE = ["other.html", "de/index.html", "../de/x", "./", "..", "../../../y?q=../z", "?q#f", "#f", "a/./b/../c#..", "/a/../../b", "//o.net/k", "%2E%2e/x",
+            "x?u=http://y.net/", "http://d.net/", ".a/..b/...", "mailto:me"]
+
+
+@pytest.mark.parametrize("base", ["http://x.com/", "http://x.com", "https://a.net:8/p/q/r.html?k=/l/#m", "http://x.com/a?b/c"])
+def test_relative_links(spark, base):
+    rows = [(base, f'<meta http-equiv="refresh" content="0; url={target}">') for target in RELATIVE]
+    rows += [(base, '<base href="/de/"><link rel=canonical href=x>'), (None, "<link rel=canonical href=x>"), ("no scheme", "<link rel=canonical href=x>")]
+    got = url_filter.page_links(spark.createDataFrame(rows, "url string, html string"), relative=True)
+    want = [urljoin(base, target.replace("%2E%2e", "..")) for target in RELATIVE[:-1]] + [urljoin(urljoin(base, "/de/"), "x")]
+    assert Counter(map(tuple, got.collect())) == Counter((base, target) for target in want)
+
+
+def test_relative_alias_is_blocked(spark, tmp_path):
+    rows = [(1, "http://x.com/", "<meta http-equiv=refresh content='0;url=de/index.html'>"), (2, "http://x.com/de/index.html", ""), (3, "http://x.com/fr", None)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    assert {r.page_id: r.verdict for r in queries.op4_url_filter(spark, str(tmp_path)).collect()} == {1: "block", 2: "block", 3: "allow"}
+
+
 # --- mixing ------------------------------------------------------------------------------------
 
 def target_model(sizes, weights=(5, 2, 1), share=1.5, limit=2.0):
