@@ -5,8 +5,9 @@ its labelled text. A text is parsed into phrases, each the longest match from wh
 one ended; the fewer phrases a language needs for it, the better it fits. Counts are
 normalised to bits per letter: phrases * log2(length of the sample) / letters.
 
-The automata become transition tables, and whole batches walk them in step, one lane for each
-block of text and language, so the cost per character is a table look-up.
+The automata become displaced rows, a few cells a transition however large the alphabet is, and
+whole batches walk them in step, one lane for each block of text and language, so the cost per
+character is a table look-up.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ MAX_LANGUAGES = 500
 """More labels than this are refused, not cut: it bounds what is sent to the executors."""
 BLOCK = 512
 """Characters a lane parses. Phrases end with their block; every language has the same blocks."""
+WINDOW = 4096
+"""Places tried at a time for a row of transitions."""
 UNKNOWN = "und"
 
 
@@ -63,13 +66,73 @@ def suffix_automaton(text: list[int]) -> list[dict[int, int]]:
     return follow
 
 
+def displaced_rows(follow: list[dict[int, int]], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """All transitions in one array of cells, and where each state begins in it.
+
+    The transition of a state that begins at b for letter c is cell b + c: its upper half has b
+    (any other value says that there is none), the lower half where the next state begins.
+    Rows overlap, so cells grow with the transitions, not with states x letters.
+    """
+    many = sorted((s for s, steps in enumerate(follow) if len(steps) > 1), key=lambda s: -len(follow[s]))
+    one = np.array([s for s, steps in enumerate(follow) if len(steps) == 1], np.int64)
+    none = np.array([s for s, steps in enumerate(follow) if not steps], np.int64)
+    letter = np.array([next(iter(follow[s])) for s in one.tolist()], np.int64)
+    starts = np.zeros(len(follow), np.int64)
+    used, begun = np.zeros(4 * WINDOW + 2 * width, bool), np.zeros(4 * WINDOW + 2 * width, bool)
+    low = 0
+    for s in many:
+        letters = list(follow[s])
+        while True:
+            if low + WINDOW + width > len(used):
+                used, begun = (np.append(x, np.zeros(len(x), bool)) for x in (used, begun))
+            taken = begun[low : low + WINDOW].copy()
+            for c in letters:
+                taken |= used[low + c : low + c + WINDOW]
+            at = int(taken.argmin())
+            if not taken[at]:
+                break
+            low += WINDOW // 2
+        starts[s] = low + at
+        begun[low + at] = True
+        used[low + at + np.array(letters)] = True
+    fresh = 0  # single transitions fill the gaps; what is left after a few rounds goes behind all others
+    for attempt in range(len(one) + 8):
+        if not len(one):
+            break
+        if attempt >= 7:
+            fresh = int(np.flatnonzero(begun | used)[-1]) + width + 1 if (begun | used).any() else width
+        if np.count_nonzero(~used[fresh:]) < len(one) + 1:
+            used, begun = (np.append(x, np.zeros(max(0, fresh - len(x)) + 2 * len(one) + width, bool)) for x in (used, begun))
+        cells = fresh + np.flatnonzero(~used[fresh:])[: len(one)]
+        begin = cells - letter
+        _, first = np.unique(begin, return_index=True)
+        good = np.zeros(len(one), bool)
+        good[first] = True
+        good &= (begin >= 0) & ~begun[begin]
+        starts[one[good]] = begin[good]
+        used[cells[good]] = begun[begin[good]] = True
+        turn = np.random.default_rng(attempt).permutation(np.count_nonzero(~good))
+        one, letter = one[~good][turn], letter[~good][turn]
+    begun = np.append(begun, np.zeros(len(none), bool))
+    starts[none] = np.flatnonzero(~begun)[: len(none)]
+    size = int(starts.max()) + width
+    if size >= 2**31:
+        raise OverflowError(f"{size} cells are too many for 32-bit places")
+    table = np.full(size, -1, np.int64)
+    begin = np.repeat(starts, [len(steps) for steps in follow])
+    letters = np.fromiter((c for steps in follow for c in steps), np.int64, len(begin))
+    to = np.fromiter((t for steps in follow for t in steps.values()), np.int64, len(begin))
+    table[begin + letters] = begin << 32 | starts[to]
+    return table, starts
+
+
 class Alphabet:
     """Letters of the training text in lower case as 1, 2, ...; 0 is anything but a letter, the last one any other letter."""
 
     def __init__(self, texts: list[str]) -> None:
         letters = sorted({c for text in texts for c in text.lower() if c.isalpha()})
         self.size = len(letters) + 2
-        self.codes = np.full(0x110000, -1, np.int16)
+        self.codes = np.full(0x110000, -1, np.int32)
         self.place = {c: i + 1 for i, c in enumerate(letters)}
 
     def encode(self, text: bytes) -> np.ndarray:
@@ -88,26 +151,24 @@ class Alphabet:
 
 
 class CrossParser:
-    """Tables for `(language, text)` pairs; a state is an offset into its language's table."""
+    """Tables for `(language, text)` pairs; a state is the place where its row begins in its language's table."""
 
     def __init__(self, samples: list[tuple[str, str]]) -> None:
         samples = sorted(samples)
         self.languages = [language for language, _ in samples]
         self.alphabet = Alphabet([text for _, text in samples])
-        width, tables, self.roots, self.weights, base = self.alphabet.size, [], [], [], 0
+        self.tables, self.starts, self.roots, self.weights = [], [], [], []
         for _, text in samples:
             codes = self.alphabet.parse_form(self.alphabet.encode(text.encode()))
             follow = suffix_automaton(codes.tolist())
-            table = np.full((len(follow), width), -1, np.int64)
-            for state, steps in enumerate(follow):
-                table[state, list(steps)] = [to * width + base for to in steps.values()]
-            again = np.where(table[0] < 0, base, table[0])  # a phrase ends; the next one starts here
-            tables.append(np.where(table < 0, ~again, table).astype(np.int32).reshape(-1))
-            self.roots.append(base)
+            table, places = displaced_rows(follow, self.alphabet.size)
+            start = np.full(self.alphabet.size, places[0], np.int32)  # a phrase ends; the next one starts here
+            start[list(follow[0])] = places[list(follow[0].values())]
+            self.tables.append(table)
+            self.starts.append(start)
+            self.roots.append(int(places[0]))
             self.weights.append(np.log2(max(2, len(codes))))
-            base += len(follow) * width
-        self.table = np.concatenate(tables) if tables else np.zeros(0, np.int32)
-        self.roots, self.weights = np.array(self.roots, np.int32), np.array(self.weights)
+        self.weights = np.array(self.weights)
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
         """Phrases that each language needs for each text."""
@@ -116,7 +177,7 @@ class CrossParser:
         owner = np.repeat(np.arange(len(texts)), sizes)
         if not len(owner) or not self.languages:
             return total
-        lanes = np.zeros((len(owner), BLOCK), np.int16)
+        lanes = np.zeros((len(owner), BLOCK), np.int32)
         lengths = np.full(len(owner), BLOCK)
         at = 0
         for text, n in zip(texts, sizes.tolist(), strict=True):
@@ -127,17 +188,17 @@ class CrossParser:
         order = np.argsort(-lengths, kind="stable")
         lanes, lengths, owner = np.ascontiguousarray(lanes[order].T), lengths[order], owner[order]
         alive = len(lengths) - np.cumsum(np.bincount(lengths, minlength=BLOCK + 1))
-        for language, root in enumerate(self.roots):
-            state = np.full(len(owner), root, np.int32)
+        for language, (table, start, root) in enumerate(zip(self.tables, self.starts, self.roots, strict=True)):
+            state = np.full(len(owner), root, np.int64)
             count = np.zeros(len(owner), np.int32)
             for k in range(BLOCK):
                 n = alive[k]
                 if not n:
                     break
-                step = self.table[state[:n] + lanes[k, :n]]
-                ended = step >> 31  # -1 where no phrase goes on
-                count[:n] -= ended
-                state[:n] = step ^ ended
+                cell = table[state[:n] + lanes[k, :n]]
+                ended = cell >> 32 != state[:n]  # no phrase goes on
+                count[:n] += ended
+                state[:n] = np.where(ended, start[lanes[k, :n]], cell & 0xFFFFFFFF)
             count += state != root
             total[:, language] = np.bincount(owner, count, len(texts)).astype(np.int64)
         return total

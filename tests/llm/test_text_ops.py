@@ -2,6 +2,7 @@ import base64
 import gzip
 import hashlib
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -132,6 +133,38 @@ def test_blocks_cover_long_texts(monkeypatch):
     assert parser.phrases([text]).tolist() == [whole.tolist()]
 
 
+def test_large_script_keeps_tables_small():
+    pick = random.Random(3)
+    script = "".join(pick.choices([chr(0x4E00 + i) for i in range(3000)], k=6000))
+    samples = [("en", "".join(pick.choices("etaoin srhld", k=6000))), ("zh", script), ("zz", "")]
+    tracemalloc.start()
+    parser = language_id.CrossParser(samples)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6  # states x letters would be several 100 MB
+    text = parser.alphabet.parse_form(parser.alphabet.encode((samples[0][1][50:90] + script[7:30] + "q" + script[3:300] + "tea" * 40).encode()))
+    for (_, sample), found in zip(samples, parser.phrases([text])[0], strict=True):
+        follow = language_id.suffix_automaton(parser.alphabet.parse_form(parser.alphabet.encode(sample.encode())).tolist())
+        state = n = 0
+        for c in text.tolist():
+            if c not in follow[state]:
+                state, n = 0, n + 1
+            state = follow[state].get(c, 0)
+        assert found == n + (state != 0)
+
+
+@given(st.lists(st.text(alphabet="abcdefghijé日本", max_size=60), min_size=1, max_size=3), st.integers(15, 400))
+@settings(max_examples=40, deadline=None)
+def test_displaced_rows_hold_the_transitions(texts, width):
+    for text in texts:
+        follow = language_id.suffix_automaton(["abcdefghijé日本".index(c) + 1 for c in text])
+        table, starts = language_id.displaced_rows(follow, width)
+        assert len(set(starts.tolist())) == len(follow)
+        for steps, at in zip(follow, starts.tolist(), strict=True):
+            row = table[at : at + width]
+            assert {c: int(row[c] & 0xFFFFFFFF) for c in range(width) if row[c] >> 32 == at} == {c: starts[t] for c, t in steps.items()}
+
+
 def test_languages(spark):
     pick = random.Random(2)
     sounds = {"aa": ["ka", "lo", "mi"], "bb": ["zu", "st", "ör"], "cc": ["qu", "è", "ch"]}
