@@ -7,8 +7,9 @@ could hide an entry tag, and such a file must be read whole.
 
 Every element is declared as an array, so a tag given twice keeps all its values. The order
 of *different* tags inside one entry is lost; `operators.entries` fixes a precedence where
-it would matter. Content made of child elements keeps only what Spark reads as its text, and
-the whole-file reader loses the text before a comment in the middle of a value.
+it would matter. The text of content with child elements is what stands before the first of
+them; the whole-file reader keeps only what Spark reads as its text there, and loses the text
+before a comment in the middle of a value.
 """
 
 from __future__ import annotations
@@ -47,6 +48,14 @@ XML_OPTIONS = {
     "ignoreSurroundingSpaces": "false",
     "mode": "FAILFAST",
 }
+# Content with child elements: its text is what stands before the first of them (groups 2 and 4 are
+# content without its children). CDATA sections elsewhere match as group 1 and stay as they are.
+CDATA = r"<!\[CDATA\[.*?\]\]>"
+MIXED_CONTENT = (
+    rf"(?s)({CDATA})"
+    r"""|(<((?:[\w.-]+:)?content)(?:\s(?:[^>"']++|"[^"]*"|'[^']*')*+)?(?<!/)>"""
+    rf"(?:[^<]++|{CDATA})*+)<(?![/!?])(?!\3[\s>/])(?:[^<]++|{CDATA}|<(?!/?\3[\s>/]))*+(</\3\s*>)"
+)
 # Folder names are just names, whatever they look like.
 PLAIN_FOLDERS = {"recursiveFileLookup": "true"}
 POSITION = ["_metadata.file_path AS feed_path", "_metadata.file_block_start AS block"]
@@ -85,6 +94,7 @@ def _read_split(spark: SparkSession, paths: str | list[str], encoding: str) -> D
     # Spark keeps only the text behind a comment; without comments the text is whole.
     bare = F.regexp_replace("fragment", r"(?s)(<!\[CDATA\[.*?\]\]>)|<!--.*?-->", "$1")
     fragment = F.when(F.col("fragment").contains("<!--"), bare).otherwise(F.col("fragment"))
+    fragment = F.regexp_replace(fragment, MIXED_CONTENT, "$1$2$4")
     parsed = F.from_xml(fragment, RAW_ENTRY, XML_OPTIONS)
     return cut.select(
         "feed_path", "block", F.monotonically_increasing_id().alias("row_id"), parsed.alias("entry")

@@ -175,6 +175,18 @@ def test_fingerprints(spark, tmp_path):
     assert compare_fingerprints(unhashed, fingerprints(spark, str(tmp_path / "a"), max_bytes=0)).first().unmodified
 
 
+@pytest.mark.parametrize("content, expected", [
+    ("lead <div>inner</div>", "lead "), ("lead <div a='>'>in<![CDATA[</content>]]>ner</div> tail <br/>end", "lead "), ("<div>inner</div> tail", ""),
+    ("a<!-- x --> b&amp;<![CDATA[<p>]]>c<br/>d", "a b&<p>c"), ("<![CDATA[a <content>b <p>c</p></content>]]>", "a <content>b <p>c</p></content>"),
+    ("x" * 200000 + "<p>y</p>" * 20000, "x" * 200000)])
+def test_text_before_child_elements(spark, tmp_path, content, expected):
+    (tmp_path / "feed.atom").write_text(
+        f"<feed><entry><title>t</title><content type='a>b'>{content}</content><id>i</id></entry><entry><content src='u'/><id>j</id></entry></feed>")
+    first, second = parsed(spark, tmp_path).collect()
+    assert (first.content_html, first.title, first.id) == (expected, "t", "i")
+    assert (second.content_html, second.id) == ("", "j")
+
+
 def test_large_files_are_hashed_too(spark, tmp_path):
     large = tmp_path / "large one%20.xml"
     with large.open("wb") as file:  # mostly a hole, so it takes no disk
