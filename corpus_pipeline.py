@@ -25,10 +25,14 @@ ORACLE_SQL = None  # language ID, rounding and BPE are not for SQL; tests hold t
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents whose language cannot be told: null or empty texts, and those without letters.
 
-    Languages are learned from the documents' own labels. All other rows stay as they are.
+    Languages are learned from the documents' own labels; the label `und` names none. All other rows stay
+    as they are, also where no row has a label.
     """
-    found = identify_languages(docs, language_samples(docs), carry=True)
-    return found.where(F.col("predicted language") != UNKNOWN).select(*map(_quoted, docs.columns))
+    samples = [sample for sample in language_samples(docs) if sample[0] != UNKNOWN]
+    # Numbered names, so that no column of the documents has a name of the result.
+    names = [name if name in ("doc_id", "text") else f"column {i}" for i, name in enumerate(docs.columns)]
+    found = identify_languages(docs.toDF(*names), samples or [("any", "")], carry=True)
+    return found.where(F.col("predicted language") != UNKNOWN).select(*map(_quoted, names)).toDF(*docs.columns)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
