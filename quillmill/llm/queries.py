@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quillmill.llm.byte_bpe import decode_ids, encode_texts
 from quillmill.llm.chat_format import as_threads, format_trees, read_back
+from quillmill.llm.decontaminate import find_items, hit_words
 from quillmill.llm.exact_dedup import exact_duplicates
 from quillmill.llm.language_id import identify_languages, language_samples
 from quillmill.llm.mixing import mix_sources
@@ -18,6 +19,7 @@ from quillmill.llm.near_dedup import near_duplicates
 from quillmill.llm.substring_dedup import repeated_passages
 from quillmill.llm.topk_search import top_k
 from quillmill.llm.url_filter import judge_urls, page_links
+from quillmill.llm.vector_clusters import cluster_vectors
 from quillmill.llm.warc import archive_path, page_records, read_warc, write_warc
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -104,12 +106,44 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", hit_words(F.col("spans")).alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"))
+
+
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = cluster_vectors(_table(spark, sf_dir, "embeddings"))
+    return found.select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", F.sha2(F.array_join("centroid", ","), 256).alias("centroid_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_chat_format, op2_language_id, op3_exact_dedup, op4_url_filter, op5_byte_bpe, op6_near_dedup,
-             op7_substring_dedup, op8_warc, op9_mixing, op10_topk_search]
+             op7_substring_dedup, op8_warc, op9_mixing, op10_topk_search, op11_decontaminate, op13_centroid_clusters]
     return {query.__name__: query for query in found}
 
 
+def _clusters_sql(rounds: int = 10, k: int = 8) -> str:
+    """All rounds, one after the other."""
+    square = "CAST(list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT)"
+    parts = [f"""v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id,
+          list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+          FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        c0 AS MATERIALIZED (SELECT c, x FROM (SELECT CAST(row_number() OVER (ORDER BY sha256('3:' || vec_id), x) - 1 AS INT) AS c, x FROM v) WHERE c < {k})"""]
+    for i in range(rounds + 1):
+        parts.append(f"a{i} AS MATERIALIZED (SELECT r, min({{'d': {square}, 'c': c.c}}) AS n FROM v, c{i} AS c GROUP BY r)")
+        if i < rounds:
+            parts.append(f"""c{i + 1} AS MATERIALIZED (SELECT c, coalesce(m, x) AS x FROM c{i} LEFT JOIN (
+                SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS m FROM (
+                  SELECT a.n.c AS c, i, sum(v.x[i]) AS s, count(*) AS n FROM a{i} AS a JOIN v USING (r), range(1, 65) AS t(i) GROUP BY ALL)
+                GROUP BY c) USING (c))""")
+    return "WITH " + ",\n".join(parts) + f""" SELECT vec_id, e.c AS cluster, CAST(a.n.d AS BIGINT) AS distance, CAST(sum(a.n.d) OVER (PARTITION BY e.c) AS BIGINT) AS cluster_inertia,
+        CAST(sum(a.n.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(e.x, ',')) AS centroid_sha256
+        FROM a{rounds} AS a JOIN v USING (r) JOIN c{rounds} AS e ON e.c = a.n.c"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_exact_dedup": """SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
@@ -137,4 +171,18 @@ def oracle_sql() -> dict[str, str]:
               FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
             SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM (SELECT *,
               row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5""",
+        "op11_decontaminate": r"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+              translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+            b AS (SELECT item_id, regexp_extract_all(
+              translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+            bp AS (SELECT item_id, w, least(len(w), 10) AS n, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM b WHERE len(w) > 0),
+            bw AS (SELECT DISTINCT item_id, n, array_to_string(list_slice(w, s, s + n - 1), ' ') AS x FROM bp),
+            dp AS (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, (SELECT DISTINCT n FROM bw)),
+            hit AS (SELECT r, s, dp.n, item_id FROM dp JOIN bw ON bw.n = dp.n AND bw.x = array_to_string(list_slice(w, s, s + dp.n - 1), ' ')),
+            words AS (SELECT r, count(DISTINCT i) AS n_hit FROM (SELECT r, unnest(range(s, s + n)) AS i FROM hit) GROUP BY r),
+            items AS (SELECT r, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS x FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS x FROM hit) GROUP BY r)
+            SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+              sha256(coalesce(x, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+            FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)""",
+        "op13_centroid_clusters": _clusters_sql(),
     }
