@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quillmill.llm.byte_bpe import decode_ids, encode_texts
 from quillmill.llm.chat_format import as_threads, format_trees, read_back
+from quillmill.llm.conversation_repair import conversation_key, repaired_conversations
 from quillmill.llm.decontaminate import find_items, hit_words
 from quillmill.llm.exact_dedup import exact_duplicates
 from quillmill.llm.language_id import identify_languages, language_samples
@@ -113,6 +114,27 @@ def op11_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"))
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Messages with faults by a checksum of their place: dropped, emptied, without stops, repeated, or by the user."""
+    space = F.lit(" ")
+    place = F.concat_ws(":", F.coalesce(F.col("conv_id").cast("string"), space), F.coalesce(F.col("turn").cast("string"), space))
+    fault = F.crc32(place.cast("binary")) % 20
+    given = rows.select("conv_id", "turn", F.coalesce("role", space).alias("role"), F.coalesce("text", space).alias("text"), fault.alias("fault"))
+    text = F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    left = given.where("fault <> 0").select(
+        "conv_id", "turn", F.when(F.col("fault") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"),
+        F.explode(F.when(F.col("fault") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"))
+    return left.drop("copy")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = _table(spark, sf_dir, "conversations")
+    key = conversation_key(F.col("conv_id")).alias("key")
+    found = repaired_conversations(damaged(given)).select(key, "*").drop("conv_id")
+    every = given.select("conv_id").distinct().select(key, "conv_id").join(found, "key", "left").drop("key")
+    return every.na.fill(0).na.fill({"audit": "", "repaired_sha256": hashlib.sha256(b"").hexdigest()})
+
+
 def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = cluster_vectors(_table(spark, sf_dir, "embeddings"))
     return found.select(
@@ -121,10 +143,65 @@ def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_chat_format, op2_language_id, op3_exact_dedup, op4_url_filter, op5_byte_bpe, op6_near_dedup,
-             op7_substring_dedup, op8_warc, op9_mixing, op10_topk_search, op11_decontaminate, op13_centroid_clusters]
+             op7_substring_dedup, op8_warc, op9_mixing, op10_topk_search, op11_decontaminate, op12_conversation_repair,
+             op13_centroid_clusters]
     return {query.__name__: query for query in found}
 
 
+def _repair_sql() -> str:
+    """Walks all conversations forwards, a row at a time, with the cheapest repair that ends in each of four states."""
+    def best(*choices: str) -> str:
+        return f"list_sort(list_filter([{', '.join(choices)}], lambda x: x IS NOT NULL))[1]"
+
+    def step(state: str, price: str, edit: str, line: str | None) -> str:
+        lines = f"list_append({state}.o, {line})" if line else f"{state}.o"
+        return f"CASE WHEN {state} IS NOT NULL THEN {{'c': {state}.c + {price}, 'a': {state}.a || '{edit}', 'o': {lines}}} END"
+
+    def inserted(q0: str, q1: str, q2: str, q3: str) -> tuple[str, str]:
+        return best(q2, *[step(q, "3", "I", "'user:'") for q in (q0, q1, q3)]), step("s2", "3", "I", "'assistant:'")
+
+    def kept(state: str, initial: str) -> str:
+        return f"CASE WHEN left(r, 1) = '{initial}' AND NOT gone THEN {step(state, 'late', 'K', 'line')} END"
+
+    def other(state: str, role: str) -> str:
+        return f"CASE WHEN NOT gone THEN {step(state, '3 + late', 'R', chr(39) + role + chr(39) + ' || t')} END"
+
+    drop = lambda state: step(state, "4", "D", None)
+    u2, a3 = inserted("x0", "x1", "x2", "x3")
+    return rf"""WITH RECURSIVE given AS (SELECT CASE WHEN conv_id IS NULL THEN '' ELSE '=' || conv_id END AS k, conv_id, turn,
+          coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+          coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS place FROM conversations),
+        summed AS (SELECT *, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(string_split(place, ''),
+          lambda ch: list_transform(range(8), lambda b: CAST((ascii(ch) >> b) & 1 AS BIGINT))))),
+          lambda c, b: xor(c >> 1, CASE WHEN xor(c, b) & 1 = 1 THEN CAST(3988292384 AS BIGINT) ELSE 0 END))) % 20 AS h FROM given),
+        damaged AS (SELECT k, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS r,
+          CASE h WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS t,
+          unnest(CASE WHEN h = 3 THEN [1, 2] ELSE [1] END) AS copy FROM summed WHERE h <> 0),
+        placed AS (SELECT k, turn, r, t, row_number() OVER (PARTITION BY k ORDER BY turn NULLS FIRST, r, t) AS i,
+          NOT regexp_matches(t, '[^ 	-]') AS blank, NOT regexp_matches(t, '[.!?][ 	-]*\z') AS late FROM damaged),
+        faults AS (SELECT *, CASE WHEN blank THEN 'blank' WHEN row_number() OVER (PARTITION BY k, r, t ORDER BY i) > 1 THEN 'duplicate'
+          WHEN late THEN 'truncated' ELSE '' END AS fault, left(lag(r) OVER (PARTITION BY k ORDER BY i), 1) || left(r, 1) AS pair FROM placed),
+        counted AS (SELECT k, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+          count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+          count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM faults GROUP BY k),
+        line AS (SELECT k, i, r, ':' || t AS t, r || ':' || t AS line, fault IN ('blank', 'duplicate') AS gone, CASE fault WHEN 'truncated' THEN 3 ELSE 0 END AS late FROM faults),
+        walk AS (
+          SELECT k, CAST(0 AS BIGINT) AS i, {{'c': CAST(0 AS BIGINT), 'a': '', 'o': CAST([] AS VARCHAR[])}} AS s0,
+            CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, o VARCHAR[])) AS s1, {{'c': CAST(3 AS BIGINT), 'a': 'I', 'o': ['user:']}} AS s2,
+            {{'c': CAST(6 AS BIGINT), 'a': 'II', 'o': ['user:', 'assistant:']}} AS s3 FROM counted
+          UNION ALL
+          SELECT k, i, x0, x1, s2, {best('x3', a3)} FROM (SELECT *, {u2} AS s2 FROM (
+            SELECT w.k, l.i, {drop('s0')} AS x0, {best(drop('s1'), kept('s0', 's'))} AS x1,
+              {best(drop('s2'), *[kept(q, 'u') for q in ('s0', 's1', 's3')], *[other(q, 'user') for q in ('s0', 's1', 's3')])} AS x2,
+              {best(drop('s3'), kept('s2', 'a'), other('s2', 'assistant'))} AS x3
+            FROM walk AS w JOIN line AS l ON l.k = w.k AND l.i = w.i + 1))),
+        done AS (SELECT counted.*, {best('s0', 's3')} AS e FROM counted JOIN walk ON walk.k = counted.k AND walk.i = counted.n)
+        SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+          coalesce(illegal, 0) AS illegal, coalesce(e.c, 0) AS cost, coalesce(e.a, '') AS audit,
+          sha256(coalesce(array_to_string(e.o, chr(10)), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT k, conv_id FROM given) LEFT JOIN done USING (k)"""
+
+
 def _clusters_sql(rounds: int = 10, k: int = 8) -> str:
     """All rounds, one after the other."""
     square = "CAST(list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT)"
@@ -184,5 +261,6 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
               sha256(coalesce(x, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
             FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)""",
+        "op12_conversation_repair": _repair_sql(),
         "op13_centroid_clusters": _clusters_sql(),
     }
