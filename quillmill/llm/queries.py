@@ -132,7 +132,8 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = conversation_key(F.col("conv_id")).alias("key")
     found = repaired_conversations(damaged(given)).select(key, "*").drop("conv_id")
     every = given.select("conv_id").distinct().select(key, "conv_id").join(found, "key", "left").drop("key")
-    return every.na.fill(0).na.fill({"audit": "", "repaired_sha256": hashlib.sha256(b"").hexdigest()})
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return every.na.fill(0, counts).na.fill({"audit": "", "repaired_sha256": hashlib.sha256(b"").hexdigest()})
 
 
 def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,7 +179,9 @@ def _repair_sql() -> str:
           CASE h WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS t,
           unnest(CASE WHEN h = 3 THEN [1, 2] ELSE [1] END) AS copy FROM summed WHERE h <> 0),
         placed AS (SELECT k, turn, r, t, row_number() OVER (PARTITION BY k ORDER BY turn NULLS FIRST, r, t) AS i,
-          NOT regexp_matches(t, '[^ 	-]') AS blank, NOT regexp_matches(t, '[.!?][ 	-]*\z') AS late FROM damaged),
+          NOT regexp_matches(t, '[^ 	-
+]') AS blank, NOT regexp_matches(t, '[.!?][ 	-
+]*\z') AS late FROM damaged),
         faults AS (SELECT *, CASE WHEN blank THEN 'blank' WHEN row_number() OVER (PARTITION BY k, r, t ORDER BY i) > 1 THEN 'duplicate'
           WHEN late THEN 'truncated' ELSE '' END AS fault, left(lag(r) OVER (PARTITION BY k ORDER BY i), 1) || left(r, 1) AS pair FROM placed),
         counted AS (SELECT k, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
