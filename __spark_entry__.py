@@ -23,9 +23,10 @@ from quillmill.operators.names import file_names, with_base_name
 from quillmill.operators.skew import spread
 from quillmill.plans import ingest as job, report
 from quillmill.session import ship
-from quillmill.sources.discovery import candidates, with_base_url
-from quillmill.sources.feeds import RAW_ENTRY, read_feeds, with_entry_index
-from quillmill.sources.fingerprint import compare_fingerprints, fingerprints
+from quillmill.sources.discovery import FEED_NAMES, bare_path, discover_feeds, read_settings, with_base_url
+from quillmill.sources.feeds import read_feeds, with_entry_index
+from quillmill.sources.fingerprint import CHUNK_BYTES, compare_fingerprints, fingerprints
+from quillmill.sources.sinks import export_files
 from quillmill.staging import stage, stage_counted, staging_path
 
 HERE = os.path.dirname(os.path.abspath(__file__))
@@ -142,6 +143,45 @@ def written_feeds(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def write_files(files: DataFrame, root: str) -> None:
+    """Write `text` to the file `name` below `root`, row by row."""
+    place = F.concat(F.lit(f"{root}/"), "name").alias("file_path")
+    nothing = F.lit(None).cast("string")
+    rows = files.select(
+        F.lit(FEED).alias("feed_path"), F.lit(0).cast("bigint").alias("entry_index"), nothing.alias("id"), nothing.alias("title"),
+        place, F.col("text").alias("document"))
+    failed = export_files(rows).where("error IS NOT NULL").first()
+    if failed:
+        raise OSError(failed.error)
+
+
+def written_files(spark: SparkSession, sql: str) -> str:
+    """The files that a query of names and texts gives, below a new folder."""
+    root = bare_path(staging_path(spark, "files"))
+    write_files(spark.sql(sql), root)
+    return root
+
+
+def hidden_feeds(spark: SparkSession, sf_dir: str) -> str:
+    """Feeds in which entry tags also stand where they are none, and tags in several orders."""
+    _pages(spark, sf_dir)
+    lines = spark.sql(HIDDEN_ENTRIES).selectExpr(f"(entry_index - 1) DIV {FEED_SPAN} AS feed", "entry_index AS at", "xml AS line")
+    edges = lines.groupBy("feed").agg(F.min("at").alias("first"), F.max("at").alias("last")).select("feed", F.inline(F.array(
+        F.struct((F.col("first") - 1).alias("at"), F.lit("<?xml version='1.0'?><feed><!-- <entry> -->").alias("line")),
+        F.struct((F.col("last") + 1).alias("at"), F.lit("<!-- </entry> --></feed>").alias("line")))))
+    path = staging_path(spark, "feeds")
+    lines.unionByName(edges).repartitionByRange("feed").sortWithinPartitions("feed", "at").drop("at").write.partitionBy("feed").text(path)
+    return path
+
+
+def scanned_entries(raw: DataFrame) -> DataFrame:
+    """Typed entries of a scan; the content is staged with the other elements, but numbered apart from them."""
+    scanned, total = stage_counted(raw, "scanned")
+    indexed = with_entry_index(scanned.drop("content"), total).withColumn("base_url", F.lit(BASE))
+    content = scanned.select("row_id", ops.content_html().alias("content_html"))
+    return ops.parse_entries(indexed).join(content, "row_id")
+
+
 def feed_number(path: str) -> Column:
     return F.regexp_extract(path, "/feed=([0-9]+)/", 1).cast("bigint")
 
@@ -223,39 +263,60 @@ def q_entry_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_feed_scan(splittable: bool) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        raw = read_feeds(spark, written_feeds(spark, sf_dir), splittable=splittable)
-        scanned, total = stage_counted(raw.drop("content"), "scanned")
-        indexed = with_entry_index(scanned, total).withColumn("base_url", F.lit(BASE))
-        return ops.parse_entries(indexed).select(
+        return scanned_entries(read_feeds(spark, written_feeds(spark, sf_dir), splittable=splittable)).select(
             feed_number("feed_path").alias("feed"), "entry_index", "id", "title", "kind", "route",
-            "published", "url", F.array_join("labels", "|").alias("labels"))
+            "published", "url", F.array_join("labels", "|").alias("labels"), "content_html")
 
     return query
 
 
+def q_feed_scan_hidden(splittable: bool) -> Callable[[SparkSession, str], DataFrame]:
+    """Feeds with entry tags in comments, CDATA sections and instructions, and with mixed content."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return scanned_entries(read_feeds(spark, hidden_feeds(spark, sf_dir), splittable=splittable)).select(
+            feed_number("feed_path").alias("feed"), "entry_index", "id", "title", "content_html")
+
+    return query
+
+
+def q_tag_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scanned_entries(read_feeds(spark, hidden_feeds(spark, sf_dir))).select(
+        feed_number("feed_path").alias("feed"), "entry_index", "published", "kind")
+
+
 def q_settings_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base URLs of feeds in written archives: from the settings file beside each, or the one above."""
     _pages(spark, sf_dir)
-    feeds = spark.sql("SELECT concat('blogs/b', page_id, '/feed.atom') AS feed_path FROM pages")
-    settings = spark.sql("""
-        SELECT concat('blogs/b', page_id) AS folder,
-               CASE WHEN page_id % 3 = 0 THEN concat('https://b', page_id, '.blogspot.com') END AS base_url
+    root = written_files(spark, """
+        SELECT concat('blogs/b', page_id, '/feed.atom') AS name, '<feed/>' AS text FROM pages
+        UNION ALL SELECT concat('blogs/b', page_id, '/settings.csv'), CASE page_id % 6
+          WHEN 0 THEN concat('blog_name,blog_subdomain\n"A, ""b""\nc", b', page_id, ' \nother,other\n')
+          WHEN 3 THEN concat('blog_subdomain,blog_name\r\n\r\nb', page_id, ',x\r\n')
+          WHEN 1 THEN 'blog_name,blog_subdomain\nx,\n' ELSE 'blog_name\nx\n' END
         FROM pages WHERE page_id % 3 < 2
-        UNION ALL SELECT 'blogs', 'https://all.blogspot.com' FROM pages WHERE page_id = 0""")
-    return with_base_url(feeds, settings, feeds.count())
+        UNION ALL SELECT 'blogs/settings.csv', 'blog_subdomain\nall' FROM pages WHERE page_id = 0""")
+    feeds, number = stage_counted(discover_feeds(spark, root, 2).select("feed_path"), "feeds")
+    found = with_base_url(feeds, read_settings(spark, root), number)
+    return found.withColumn("feed_path", F.replace("feed_path", F.lit(f"{root}/"), F.lit("")))
 
 
 def q_feed_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written archives whose folders have the characters of patterns in their names: their feeds, found and read."""
     _pages(spark, sf_dir)
-    files = spark.sql("""
-        SELECT concat('root/a', page_id DIV 5) AS archive,
-          CASE page_id % 7
-            WHEN 0 THEN 'feed.atom' WHEN 1 THEN concat('Blogs/b', page_id, '/feed.atom')
-            WHEN 2 THEN concat('Comments/', page_id, '.atom') WHEN 3 THEN concat('theme-', page_id, '.xml')
-            WHEN 4 THEN concat('Blogs/', page_id, '.xml') WHEN 5 THEN 'sub/atom.feed'
-            ELSE concat('notes/', page_id, '.txt') END AS inner
-        FROM pages""").selectExpr("archive", "inner", "concat(archive, '/', inner) AS path")
-    return candidates(files).groupBy("archive").agg(F.min("rank").alias("best")).select(
-        "archive", F.col("best.path").alias("feed_path"))
+    root = written_files(spark, """
+        SELECT concat(name, inner) AS name, concat('<feed><entry><id>', name, inner, '</id></entry></feed>') AS text FROM (
+          SELECT concat(CASE page_id DIV 5 % 4 WHEN 0 THEN 'Notes [2020]' WHEN 1 THEN 'My Blog é' WHEN 2 THEN '{a,b}*?' ELSE '100%20 +' END,
+              ' ', page_id DIV 5, '/') AS name,
+            CASE page_id % 7
+              WHEN 0 THEN 'feed.atom' WHEN 1 THEN concat('Blogs/b', page_id, '/feed.atom')
+              WHEN 2 THEN concat('Comments/', page_id, '.atom') WHEN 3 THEN concat('theme-', page_id, '.xml')
+              WHEN 4 THEN concat('Blogs [x]/', page_id, '.xml') WHEN 5 THEN 'sub/atom.feed'
+              ELSE concat('notes/', page_id, '.txt') END AS inner
+          FROM pages)""")
+    feeds = stage(discover_feeds(spark, root, 1), "feeds")
+    short = lambda path: F.replace(path, F.lit(f"{root}/"), F.lit(""))
+    read = read_feeds(spark, root, feeds, names=FEED_NAMES).select("feed_path", F.col("id")[0].alias("id"))
+    return read.join(feeds, "feed_path").select(short("archive").alias("archive"), short("feed_path").alias("feed_path"), "id")
 
 
 def q_content_sha(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -264,10 +325,21 @@ def q_content_sha(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_input_unmodified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = written_feeds(spark, sf_dir)
-    before = stage(fingerprints(spark, path), "before")
-    return compare_fingerprints(before, fingerprints(spark, path)).groupBy("unmodified").agg(
-        F.count("*").alias("feeds"), F.min(F.length("sha256")).alias("hash_length"))
+    """Written files hashed before and after one of them has changed; the first one is larger than a task reads at once."""
+    _pages(spark, sf_dir)
+    files = spark.sql(f"""
+        SELECT feed, concat('f', feed, '.atom') AS name, CASE feed WHEN 0 THEN repeat(text, {CHUNK_BYTES} DIV length(text) + 2) ELSE text END AS text
+        FROM (SELECT page_id DIV {FEED_SPAN} AS feed, array_join(transform(array_sort(collect_list(struct(page_id, html))), p -> p.html), '') AS text
+              FROM pages GROUP BY ALL)""")
+    files = stage(files, "files")
+    root = bare_path(staging_path(spark, "feeds"))
+    write_files(files, root)
+    before = stage(fingerprints(spark, root), "before")
+    changed = F.concat(F.lit("x"), F.expr("substr(text, 2)"))
+    write_files(files.where("feed = 1").withColumn("text", changed), root)
+    compared = compare_fingerprints(before, stage(fingerprints(spark, root), "after"))
+    return compared.join(before.select("feed_path", "size"), "feed_path").select(
+        F.regexp_extract("feed_path", "/f([0-9]+)", 1).cast("bigint").alias("feed"), "size", "sha256", "unmodified")
 
 
 def q_dedup_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -392,6 +464,22 @@ def q_ingest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Inputs that both engines derive by the same SQL.
+HIDDEN_ENTRIES = """
+SELECT page_id + 1 AS entry_index, concat('<entry><id>h-', CAST(page_id AS STRING), '</id>',
+  CASE page_id % 6 WHEN 0 THEN '<!-- </entry><entry> <![CDATA[ -->' WHEN 1 THEN '<?note </entry> <!-- ?>' WHEN 2 THEN '<x><entry a=">"/></x>' ELSE '' END,
+  CASE page_id % 4 WHEN 0 THEN '<created>2023-01-01T00:00:00Z</created><published></published>'
+    WHEN 1 THEN '<published/><created>2023-01-01T00:00:00Z</created>'
+    WHEN 2 THEN '<created>2023-01-01T00:00:00Z</created><published>2024-01-01T00:00:00Z</published>'
+    ELSE '<published>2024-01-01T00:00:00Z</published><created>2023-01-01T00:00:00Z</created>' END,
+  CASE page_id % 5 WHEN 0 THEN '<in-reply-to ref="x"/><category scheme="#kind" term="k#post"/>'
+    WHEN 1 THEN '<category scheme="#kind" term="k#post"/><in-reply-to ref="x"/>' WHEN 2 THEN '<category scheme="#kind" term="k#page"/><inReplyTo>x</inReplyTo>'
+    WHEN 3 THEN '<in-reply-to ref="x"/><type>TEMPLATE</type>' ELSE '' END,
+  '<title><![CDATA[</entry> ', CAST(page_id AS STRING), ']]></title>',
+  CASE WHEN page_id % 7 = 3 THEN concat('<content type="xhtml">lead ', CAST(page_id AS STRING), ' <!-- </entry> --><div><published>no</published></div> tail</content>')
+    ELSE concat('<content type="html"><![CDATA[', replace(html, ']]>', ''), '<entry>', CAST(page_id AS STRING), '</entry> -->]]></content>') END,
+  '</entry>') AS xml, replace(html, ']]>', '') AS html, page_id
+FROM pages
+"""
 POSTPROCESS_TEXT = """
 SELECT page_id, concat('  \n\n', CAST(page_id AS STRING), ' &amp;amp; &lt;b&gt; &copy;', chr(160), 'x   \r\n   \t \r\n\n\n\n',
   replace(regexp_extract(html, '<title>(.*?)</title>', 1), '&', ''), '  ', chr(10), 'end &#65;&nbsp;', chr(13), 'z  ') AS source
@@ -423,6 +511,9 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "slugs": q_slugs,
         "feed_scan": q_feed_scan(False),
         "feed_scan_split": q_feed_scan(True),
+        "feed_scan_hidden": q_feed_scan_hidden(True),
+        "feed_scan_hidden_whole": q_feed_scan_hidden(False),
+        "tag_order": q_tag_order,
         "feed_discovery": q_feed_discovery,
         "settings_join": q_settings_join,
         "content_sha": q_content_sha,
@@ -500,7 +591,7 @@ def _ctes(span: int) -> str:
 e1 AS (
   SELECT entry_index AS g, (entry_index - 1) // {span} AS feed, (entry_index - 1) % {span} + 1 AS entry_index,
     trim(id) AS raw_id, trim(title) AS raw_title, coalesce(published, created, '') AS published,
-    updated, author AS author_name,
+    updated, author AS author_name, content AS content_html,
     coalesce(alternate_url, '{BASE}' || filename, other_url) AS url,
     list_filter(string_split(labels_csv, ','), lambda x, i: list_position(string_split(labels_csv, ','), x) = i) AS labels,
     status = 'DRAFT' OR coalesce(draft = 'yes', false) AS is_draft,
@@ -673,7 +764,11 @@ def _oracle_sql() -> dict[str, str]:
     image = '(?:<a href="([^"]*)">)?<img src="([^"]*)"(?: alt="([^"]*)")?/>'
     heading = "(?s)<h([1-6])>(.*?)</h[1-6]>"
     scan = _FEEDS + """SELECT feed, entry_index, id, title, kind, CASE WHEN skip_kind IS NULL THEN 'published' ELSE 'skipped' END AS route,
-        published, url, array_to_string(labels, '|') AS labels FROM e"""
+        published, url, array_to_string(labels, '|') AS labels, content_html FROM e"""
+    hidden = f"""WITH h AS ({HIDDEN_ENTRIES}), f AS (SELECT *, (entry_index - 1) // {FEED_SPAN} AS feed, (entry_index - 1) % {FEED_SPAN} + 1 AS place FROM h)
+        SELECT feed, place AS entry_index, """
+    hidden_content = hidden + """'h-' || page_id AS id, '</entry> ' || page_id AS title,
+        CASE WHEN page_id % 7 = 3 THEN 'lead ' || page_id || ' ' ELSE html || '<entry>' || page_id || '</entry> -->' END AS content_html FROM f"""
     notes = "CASE entry_index % 6 WHEN 0 THEN 'notes' WHEN 1 THEN 'notes-2' WHEN 2 THEN 'notes-3' WHEN 3 THEN 'notes' " \
             "WHEN 4 THEN 'notes-' || entry_index % 40 ELSE 'notes-2-2' END"
     return {
@@ -687,19 +782,26 @@ def _oracle_sql() -> dict[str, str]:
         "slugs": _CTES + f"SELECT entry_index, {_slug_sql('title')} AS slug FROM e",
         "feed_scan": scan,
         "feed_scan_split": scan,
+        "feed_scan_hidden": hidden_content,
+        "feed_scan_hidden_whole": hidden_content,
+        "tag_order": hidden + """CASE page_id % 4 WHEN 0 THEN '' WHEN 1 THEN '2023-01-01T00:00:00Z' ELSE '2024-01-01T00:00:00Z' END AS published,
+            CASE page_id % 5 WHEN 1 THEN 'comment' WHEN 2 THEN 'page' WHEN 3 THEN 'template' ELSE 'post' END AS kind FROM f""",
         "feed_discovery": """
             WITH files AS (SELECT page_id // 5 AS a, page_id, page_id % 7 AS m FROM pages),
             named AS (SELECT a, CASE m WHEN 0 THEN 'feed.atom' WHEN 1 THEN 'Blogs/b' || page_id || '/feed.atom'
                 WHEN 2 THEN 'Comments/' || page_id || '.atom' WHEN 3 THEN 'theme-' || page_id || '.xml'
-                WHEN 4 THEN 'Blogs/' || page_id || '.xml' ELSE 'sub/atom.feed' END AS f,
+                WHEN 4 THEN 'Blogs [x]/' || page_id || '.xml' ELSE 'sub/atom.feed' END AS f,
                 CASE m WHEN 0 THEN 0 WHEN 1 THEN 2 WHEN 5 THEN 3 WHEN 2 THEN 4 ELSE 5 END AS p,
-                m IN (2, 3) AS skipped FROM files WHERE m < 6)
-            SELECT 'root/a' || a AS archive, 'root/a' || a || '/' || f AS feed_path
-            FROM named QUALIFY row_number() OVER (PARTITION BY a ORDER BY p, skipped, f) = 1""",
+                m IN (2, 3) AS skipped FROM files WHERE m < 6),
+            best AS (SELECT CASE a % 4 WHEN 0 THEN 'Notes [2020]' WHEN 1 THEN 'My Blog é' WHEN 2 THEN '{a,b}*?' ELSE '100%20 +' END || ' ' || a AS archive, f
+              FROM named QUALIFY row_number() OVER (PARTITION BY a ORDER BY p, skipped, f) = 1)
+            SELECT archive, archive || '/' || f AS feed_path, archive || '/' || f AS id FROM best""",
         "settings_join": """SELECT 'blogs/b' || page_id || '/feed.atom' AS feed_path,
             CASE page_id % 3 WHEN 0 THEN 'https://b' || page_id || '.blogspot.com' WHEN 2 THEN 'https://all.blogspot.com' END AS base_url
             FROM pages""",
-        "input_unmodified": f"""SELECT true AS unmodified, max(page_id) // {FEED_SPAN} + 1 AS feeds, 64 AS hash_length FROM pages""",
+        "input_unmodified": f"""WITH f AS (SELECT page_id // {FEED_SPAN} AS feed, string_agg(html, '' ORDER BY page_id) AS t FROM pages GROUP BY ALL),
+            w AS (SELECT feed, CASE feed WHEN 0 THEN repeat(t, {CHUNK_BYTES} // length(t) + 2) ELSE t END AS t FROM f)
+            SELECT feed, CAST(octet_length(encode(t)) AS BIGINT) AS size, sha256(t) AS sha256, feed <> 1 AS unmodified FROM w""",
         "content_sha": "SELECT page_id, sha256(html) AS sha256 FROM pages",
         "route_rows": _CTES + """SELECT entry_index, id AS post_id, title, skip_kind AS kind, skip_reason AS reason
             FROM e WHERE skip_kind IS NOT NULL""",

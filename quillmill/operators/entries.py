@@ -1,7 +1,7 @@
 """Entry fields: raw feed elements -> typed columns, issues and route, all as expressions.
 
-Where the order of different tags would matter but is gone, the precedence is fixed: a
-non-empty `published` beats `created`, and a reply mark beats a `#post` category.
+Where the order of different tags matters, `tags` has it, and the tags are folded in that order. Rows without
+`tags` are read as if `published` came before `created`, and reply marks after all categories.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ CATEGORY_KINDS = ["comment", "page", "template", "settings", "post"]
 KNOWN_KINDS = ["post", "comment", "page", "template", "settings"]
 DRAFT_YES = ["yes", "true", "1"]
 TRASHED_NO = ["false", "0", "none"]
+REPLY_TAGS = ["in-reply-to", "inReplyTo"]
 # Fixed texts of the report format; %1$s kind, %2$s id, %3$s title, %4$s index.
 UNFAMILIAR_TYPE = "Encountered unfamiliar entry type '%1$s' at index %4$s."
 MISSING_ID = "Entry at index %4$s is missing an <id> tag. Assigned fallback: %2$s"
@@ -76,12 +77,45 @@ def labels() -> Column:
     return F.array_distinct(F.transform(plain, lambda c: c["term"]))
 
 
-def kind() -> Column:
+def kind(tags: Column | None = None) -> Column:
+    """The explicit type, else what the categories and reply marks say, in the order of `tags`."""
     explicit = F.lower(_last(_nonblank(_texts("type"))))
-    categorized = _category_kind(_last(F.filter(_terms(), _is_kind))["term"])
+    found = F.transform(F.coalesce(F.col("category"), F.array()), lambda c: F.struct(
+        F.coalesce(c["_scheme"], F.lit("")).alias("scheme"), strip(F.coalesce(c["_term"], F.lit(""))).alias("term")))
+    kinds = F.transform(found, lambda c: F.when(_is_kind(c) & (c["term"] != ""), _category_kind(c["term"])))
     replies = F.col("`in-reply-to`").isNotNull() | F.col("inReplyTo").isNotNull()
-    implied = F.coalesce(categorized, F.lit("post"))
-    return F.coalesce(explicit, F.when(replies & (implied == "post"), "comment").otherwise(implied))
+    last = F.coalesce(_last(F.filter(kinds, lambda k: k.isNotNull())), F.lit("post"))
+    implied = F.when(replies & (last == "post"), "comment").otherwise(last)
+    if tags is None:
+        return F.coalesce(explicit, implied)
+
+    def step(state: Column, tag: Column) -> Column:
+        after_category = F.struct(
+            F.coalesce(F.get(kinds, state["seen"]), state["kind"]).alias("kind"), (state["seen"] + 1).alias("seen"))
+        after_reply = F.struct(
+            F.when(state["kind"] == "post", "comment").otherwise(state["kind"]).alias("kind"), state["seen"].alias("seen"))
+        return F.when(tag == "category", after_category).when(tag.isin(*REPLY_TAGS), after_reply).otherwise(state)
+
+    start = F.struct(F.lit("post").alias("kind"), F.lit(0).alias("seen"))
+    return F.coalesce(explicit, F.aggregate(tags, start, step, lambda state: state["kind"]), implied)
+
+
+def published_text(tags: Column | None = None) -> Column:
+    """`published`; `created` counts where nothing has been published before it."""
+    published, created = _texts("published"), _texts("created")
+    either = F.coalesce(blank_to_null(_last(published)), _first(_nonblank(created)), F.lit(""))
+    if tags is None:
+        return either
+
+    def step(state: Column, tag: Column) -> Column:
+        text = F.when(tag == "published", F.get(published, state["published"]))
+        text = text.when((tag == "created") & (state["text"] == ""), F.get(created, state["created"])).otherwise(state["text"])
+        return F.struct(
+            text.alias("text"), (state["published"] + (tag == "published").cast("int")).alias("published"),
+            (state["created"] + (tag == "created").cast("int")).alias("created"))
+
+    start = F.struct(F.lit("").alias("text"), F.lit(0).alias("published"), F.lit(0).alias("created"))
+    return F.coalesce(F.aggregate(tags, start, step, lambda state: state["text"]), either)
 
 
 def url(base_url: Column) -> Column:
@@ -133,6 +167,7 @@ def parse_entries(raw: DataFrame) -> DataFrame:
     and `skip_reason`.
     """
     authors = F.coalesce(F.col("author"), F.array())
+    tags = F.col("tags") if "tags" in raw.columns else None
 
     def author(field: str) -> Column:
         values = F.flatten(F.transform(authors, lambda a: F.coalesce(a[field], F.array().cast("array<string>"))))
@@ -142,9 +177,7 @@ def parse_entries(raw: DataFrame) -> DataFrame:
         *[c for c in ("feed_path", "row_id", "entry_index") if c in raw.columns],
         F.coalesce(_last(_texts("id")), F.lit("")).alias("raw_id"),
         F.coalesce(_last(_texts("title", "_VALUE")), F.lit("")).alias("raw_title"),
-        F.coalesce(
-            blank_to_null(_last(_texts("published"))), _first(_nonblank(_texts("created"))), F.lit("")
-        ).alias("published"),
+        published_text(tags).alias("published"),
         _last(_texts("updated")).alias("updated"),
         url(F.col("base_url")).alias("url"),
         labels().alias("labels"),
@@ -153,7 +186,7 @@ def parse_entries(raw: DataFrame) -> DataFrame:
         author("email").alias("author_email"),
         is_draft().alias("is_draft"),
         is_trashed().alias("is_trashed"),
-        kind().alias("kind"),
+        kind(tags).alias("kind"),
     )
     return with_route(with_issues(with_fallbacks(fields))).drop("raw_id", "raw_title")
 

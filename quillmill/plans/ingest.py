@@ -24,7 +24,8 @@ from quillmill.operators.names import file_names, with_base_name
 from quillmill.operators.skew import keyed_join
 from quillmill.plans import report
 from quillmill.session import ship
-from quillmill.sources.discovery import bare_path, discover_feeds, read_settings, read_settings_at, with_base_url
+from quillmill.sources.discovery import (
+    FEED_NAMES, bare_path, discover_feeds, list_files, read_settings, read_settings_at, with_base_url)
 from quillmill.sources.feeds import read_feeds, with_entry_index
 from quillmill.sources.fingerprint import compare_fingerprints, fingerprints, mutation_issues
 from quillmill.sources.sinks import export_files, write_documents, write_issues, write_lines
@@ -61,27 +62,22 @@ def absolute(path: str) -> str:
     return path if re.match("[a-z][a-z0-9+.-]*:", path) else os.path.abspath(path)
 
 
-def find_feeds(spark: SparkSession, source: str, depth: int = 0) -> list[str]:
-    """Feed files of a file, an archive folder or (`depth` > 0) a folder of archives."""
+def find_feeds(spark: SparkSession, source: str, depth: int = 0) -> DataFrame:
+    """`feed_path`: feed files of a file, an archive folder or (`depth` > 0) a folder of archives."""
     try:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(source)
+        files = list_files(spark, source)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"Input path does not exist: {source}") from error
         raise
-    first = files.select("path").first()
-    if first is not None and bare_path(first.path) == bare_path(source):
-        return [source]
-    feeds = [row.feed_path for row in discover_feeds(spark, source, depth).select("feed_path").toLocalIterator()]
-    if not feeds:
-        raise FileNotFoundError(f"No feed.atom, atom.feed, or XML archive found inside directory: {source}")
-    return sorted(feeds)
+    single = files.where(F.col("path") == bare_path(source)).select(F.col("path").alias("feed_path"))
+    return single.unionByName(discover_feeds(spark, source, depth).select("feed_path")).distinct()
 
 
-def find_settings(spark: SparkSession, source: str, paths: list[str]) -> DataFrame:
+def find_settings(spark: SparkSession, source: str, single: bool) -> DataFrame:
     """Settings that may go with the feeds: beside or above a single file, or within a folder."""
     above = source.rstrip("/").rpartition("/")[0]
-    if paths == [source]:
+    if single:
         return read_settings_at(spark, [above, above.rpartition("/")[0]])
     return read_settings(spark, source).unionByName(read_settings_at(spark, [above]))
 
@@ -98,22 +94,27 @@ def ingest(
     started = time.monotonic()
     ship(spark)
     source, output_dir = absolute(source), absolute(output_dir)
-    paths = find_feeds(spark, source, depth)
-    before = stage(fingerprints(spark, paths), "before")
+    found, number = stage_counted(find_feeds(spark, source, depth), "found")
+    if not number:
+        raise FileNotFoundError(f"No feed.atom, atom.feed, or XML archive found inside directory: {source}")
+    single = number == 1 and found.first().feed_path == bare_path(source)
+    # A file that is named goes by any name; among others only those that may be feeds are opened.
+    names = "*" if single else FEED_NAMES
+    before = stage(fingerprints(spark, source, found, names), "before")
     size_shuffles(spark, before.agg(F.sum("size")).first()[0])
 
-    raw = read_feeds(spark, paths, splittable=splittable, encoding=encoding)
+    raw = read_feeds(spark, source, found, splittable=splittable, encoding=encoding, names=names)
     scanned, total = stage_counted(
         raw.withColumns({
             "content_html": ops.content_html(),
             # Lets the HTML of entries that are skipped anyway stay behind before it is shuffled.
-            "is_post": (ops.kind() == "post") & ~ops.is_draft() & ~ops.is_trashed(),
+            "is_post": (ops.kind(F.col("tags")) == "post") & ~ops.is_draft() & ~ops.is_trashed(),
         }).drop("content"), "scanned")
     feeds = before.select("feed_path")
     if base_url:
         feeds = feeds.withColumn("base_url", F.lit(base_url))
     else:
-        feeds = stage(with_base_url(feeds, find_settings(spark, source, paths), len(paths)), "feeds")
+        feeds = stage(with_base_url(feeds, find_settings(spark, source, single), number), "feeds")
     indexed = with_entry_index(scanned.drop("content_html", "is_post"), total)
     entries = stage(
         ops.parse_entries(keyed_join(indexed, feeds, ["feed_path"], "left", total)), "entries")
@@ -124,7 +125,7 @@ def ingest(
         entries, decided.kept, scanned.where("is_post").select("row_id", "content_html"), classification=classification,
         extra_metadata=extra_metadata, overrides=overrides)
     # One name space per feed: among several, each feed gets a folder of its own.
-    folder = F.lit(output_dir) if len(paths) == 1 else F.concat(F.lit(f"{output_dir}/"), F.md5("feed_path"))
+    folder = F.lit(output_dir) if number == 1 else F.concat(F.lit(f"{output_dir}/"), F.md5("feed_path"))
     documents = documents.withColumn("file_path", F.concat(folder, F.lit("/"), F.col("file_name")))
     if dry_run:
         documents = stage(documents, "documents")
@@ -136,7 +137,7 @@ def ingest(
     if one_file_per_post and not dry_run:
         failed = stage(write_issues(export_files(documents)), "write_issues")
     written = documents.join(failed.select(ROW), ROW, "left_anti") if failed is not None else documents
-    compared = compare_fingerprints(before, stage(fingerprints(spark, paths), "after"))
+    compared = compare_fingerprints(before, stage(fingerprints(spark, source, found, names), "after"))
 
     skipped = ops.skipped(entries)
     breakdown = report.skipped_breakdown(skipped)

@@ -1,17 +1,18 @@
-"""Finding feeds and settings in extracted archives, and joining the two."""
+"""Finding feeds and settings in extracted archives, and joining the two.
+
+Files go by the path they are named with, whatever characters it has; only names are listed.
+"""
 
 from __future__ import annotations
 
-import csv
-import io
 import re
 
-import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from quillmill.functions.text import strip
 from quillmill.operators.skew import keyed_join
+from quillmill.sources.feeds import feed_path, literal_path
 
 # Fixed values of the archive layout.
 TOP_LEVEL = ["feed.atom", "atom.feed"]
@@ -20,17 +21,18 @@ SKIPPED_PREFIX = "theme-"
 SKIPPED_FOLDER = "Comments"
 SETTINGS = "settings.csv"
 SUBDOMAIN_COLUMN = "blog_subdomain"
-BASE_URL = "https://{}.blogspot.com"
+BASE_URL = "https://%s.blogspot.com"
 
-PATH = "_metadata.file_path"
+FEED_NAMES = "{" + ",".join(dict.fromkeys(ANYWHERE)) + "}"
 FILE_SCHEME = r"\Afile:/+"
+# More columns than a settings file has.
+SETTINGS_COLUMNS = 256
 
 
-def _files(spark: SparkSession, root: str, pattern: str) -> DataFrame:
-    return (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        .option("pathGlobFilter", pattern).load(root)
-    )
+def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
+    """`path`, as it is named, of the files at or below `root` whose names have the pattern."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+    return files.load(literal_path(root)).select(feed_path().alias("path"))
 
 
 def discover_feeds(spark: SparkSession, root: str, depth: int = 0) -> DataFrame:
@@ -38,15 +40,13 @@ def discover_feeds(spark: SparkSession, root: str, depth: int = 0) -> DataFrame:
 
     An archive is a folder `depth` levels below `root` (0: the root itself). The first file
     pattern with a match decides; among its matches theme files and comment feeds come last
-    and the smallest path wins. Only paths are read; `feed_path` is fit for loading.
+    and the smallest path wins.
     """
-    files = _files(spark, root, "{" + ",".join(dict.fromkeys(ANYWHERE)) + "}").select("path")
     anchor = re.escape(bare_path(root.rstrip("/"))) + "(?:/[^/]+)" * depth
-    bare = F.regexp_replace("path", FILE_SCHEME, "/")
-    files = files.withColumns({
-        "archive": F.regexp_extract(bare, rf"\A({anchor})/", 1),
-        "inner": F.regexp_replace(bare, rf"\A{anchor}/", ""),
-    })
+    files = list_files(spark, root, FEED_NAMES).withColumns({
+        "archive": F.regexp_extract("path", rf"\A({anchor})/", 1),
+        "inner": F.regexp_replace("path", rf"\A{anchor}/", ""),
+    }).where("archive <> ''")
     return candidates(files).groupBy("archive").agg(F.min("rank").alias("best")).select(
         "archive", F.col("best.path").alias("feed_path"))
 
@@ -72,28 +72,27 @@ def bare_path(path: str) -> str:
     return re.sub(FILE_SCHEME, "/", path)
 
 
-@F.arrow_udf(StringType())
-def _base_url(contents: pa.Array) -> pa.Array:
-    return pa.array([settings_base_url(content) for content in contents.to_pylist()], pa.string())
-
+def _settings(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    """`folder, base_url` from the first line of data of each file.
 
-def settings_base_url(content: bytes) -> str | None:
-    """Base URL from the first data row of a settings file; anything unreadable counts as none."""
-    try:
-        row = next(csv.DictReader(io.StringIO(content.decode("utf-8-sig"), newline="")), None)
-        subdomain = row.get(SUBDOMAIN_COLUMN, "").strip() if row else ""
-    except Exception:
-        return None
-    return BASE_URL.format(subdomain) if subdomain else None
-
-
-def _parsed(files: DataFrame) -> DataFrame:
-    return files.select(_folder(F.col(PATH)).alias("folder"), _base_url("content").alias("base_url"))
+    Files may have their columns in any order, so the names are looked up in each one's own first line.
+    """
+    cells = [f"c{n}" for n in range(SETTINGS_COLUMNS)]
+    lines = spark.read.options(multiLine="true", escape='"', **options).schema(", ".join(f"{c} STRING" for c in cells)).csv(path)
+    lines = lines.select(
+        feed_path().alias("path"), F.monotonically_increasing_id().alias("line"), F.array(*cells).alias("cells"))
+    number = F.row_number().over(Window.partitionBy("path").orderBy("line"))
+    first = lines.withColumn("number", number).where("number <= 2").groupBy("path").agg(
+        F.min_by("cells", "number").alias("names"), F.max_by("cells", "number").alias("values"), F.count(F.lit(1)).alias("lines"))
+    at = F.array_position("names", SUBDOMAIN_COLUMN).cast("int") - 1
+    name = F.when((F.col("lines") == 2) & (at >= 0), strip(F.get(F.col("values"), at)))
+    return first.select(
+        _folder(F.col("path")).alias("folder"), F.when(name != "", F.format_string(BASE_URL, name)).alias("base_url"))
 
 
 def read_settings(spark: SparkSession, root: str) -> DataFrame:
     """`folder, base_url` of every settings file below `root` (one small row per blog)."""
-    return _parsed(_files(spark, root, SETTINGS))
+    return _settings(spark, literal_path(root), recursiveFileLookup="true", pathGlobFilter=SETTINGS)
 
 
 def read_settings_at(spark: SparkSession, folders: list[str]) -> DataFrame:
@@ -101,7 +100,7 @@ def read_settings_at(spark: SparkSession, folders: list[str]) -> DataFrame:
     found = spark.createDataFrame([], "folder STRING, base_url STRING")
     for folder in folders:
         try:
-            found = found.unionByName(_parsed(spark.read.format("binaryFile").load(f"{folder}/{SETTINGS}")))
+            found = found.unionByName(_settings(spark, f"{literal_path(folder)}/{SETTINGS}"))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
