@@ -20,6 +20,7 @@ from quillmill.operators import documents as docs, entries as ops, nodes
 from quillmill.operators.dedup import duplicate_posts, kept_posts
 from quillmill.operators.markdown import html_to_markdown
 from quillmill.operators.names import file_names, with_base_name
+from quillmill.operators.rewrites import rewritten_nodes
 from quillmill.operators.skew import spread
 from quillmill.plans import ingest as job, report
 from quillmill.session import ship
@@ -394,13 +395,22 @@ def q_markdown_of_known_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_to_markdown(spark.sql(KNOWN_HTML), "html").select("page_id", "markdown", "error")
 
 
+def q_markdown_of_known_repairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _pages(spark, sf_dir)
+    return html_to_markdown(spark.sql(KNOWN_REPAIRS), "html").select("page_id", "markdown", "error")
+
+
 def q_html_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = nodes.html_nodes(pages_rich(spark, sf_dir), ["page_id"])
-    return found.where("kind = 'element'").groupBy("page_id", "tag").agg(F.count("*").alias("n"))
+    return nodes.html_nodes(pages_rich(spark, sf_dir), ["page_id"]).select("page_id", "ord", "parent", "depth", "kind", "tag", "text")
+
+
+def q_rewritten_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _pages(spark, sf_dir)
+    return rewritten_nodes(spark.sql(KNOWN_REPAIRS), ["page_id"]).select("page_id", "ord", "end_ord", "parent", "depth", "tag", "text")
 
 
 def q_embeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nodes.embeds(pages_rich(spark, sf_dir), ["page_id"]).select("page_id", "tag", "outer_html")
+    return nodes.embeds(nodes.with_nodes(pages_rich(spark, sf_dir)), ["page_id"]).select("page_id", "tag", "outer_html")
 
 
 def _report_parts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -493,6 +503,19 @@ SELECT page_id, concat('<h2>Part ', CAST(page_id AS STRING), '</h2><p>', t, ' <b
 FROM (SELECT page_id, concat('Text ', trim(regexp_extract(html, '<title>([A-Za-z ]+)', 1))) AS t,
   concat('u', CAST(page_id * 7 AS STRING)) AS u FROM pages) AS known
 """
+# Each page's title with a snippet that the editor leaves behind; the repaired nodes and the Markdown of each are below.
+KNOWN_REPAIRS = """
+SELECT page_id, concat('<p>', t, '</p>', CASE page_id % 8
+  WHEN 0 THEN concat('<h3>T', p, '<p>1</p><ul><li><p>2</p></li></ul></h3>z')
+  WHEN 1 THEN concat('<table class="x tr-caption-container"><tr><td><a href="/f"><img src="/t', p, '"></a></td></tr><tr><td class="tr-caption"> A <b>b</b> </td></tr></table>')
+  WHEN 2 THEN concat('a<div class="separator"><a href="/b', p, '"><img src="/s"></a></div>b')
+  WHEN 3 THEN concat('a<source-footnote> </source-footnote><response-element>b', p, ' <i>c</i></response-element>')
+  WHEN 4 THEN concat('<!-- gone --><table border=1><tr><td colspan="2">a', p, '</td></tr></table>')
+  WHEN 5 THEN concat('<div><br /></div><p>&nbsp;</p><div><div><br></div></div><div>', p, '</div>')
+  WHEN 6 THEN concat('<html><head><script>x</script></head><div>a<video src="/v', p, '"><p>v</p></video>b<pre class="brush: sql">c</pre></div>d')
+  ELSE concat('<ol start="3"><li>b', p, '</li><li>c<ul><li>d</li></ul></li></ol><hr><del>x</del> <code>k</code> m<sup>2</sup>') END) AS html
+FROM (SELECT page_id, CAST(page_id AS STRING) AS p, regexp_extract(html, '<title>(.*?)</title>', 1) AS t FROM pages) AS titled
+"""
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -542,6 +565,8 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "embeds": q_embeds,
         "html_to_markdown": q_html_to_markdown,
         "markdown_of_known_html": q_markdown_of_known_html,
+        "markdown_of_known_repairs": q_markdown_of_known_repairs,
+        "rewritten_nodes": q_rewritten_nodes,
         "md_postprocess": q_md_postprocess,
         "frontmatter": q_frontmatter,
         "frontmatter_extra": q_frontmatter_extra,
@@ -678,6 +703,58 @@ _PLAIN = """'"personal_analysis"'"""
 _TEXT = r"trim(regexp_replace({x}, '<[^>]*>', '', 'g'))"
 
 
+def _nodes_sql() -> str:
+    """Reads pages tag by tag, with the open tags as state."""
+    kinds = "STRUCT(ord INT, parent INT, depth INT, kind VARCHAR, tag VARCHAR, text VARCHAR)[]"
+    void = "('area', 'base', 'br', 'col', 'embed', 'hr', 'img', 'input', 'link', 'meta', 'param', 'source', 'track', 'wbr')"
+    node = "{{'ord': n, 'parent': coalesce(ords[-1], -1), 'depth': CAST(len(ords) + 1 AS INT), 'kind': {}, 'tag': {}, 'text': {}}}"
+    inner = "{'ord': CAST(n + 1 AS INT), 'parent': n, 'depth': CAST(len(ords) + 2 AS INT), 'kind': 'raw', 'tag': '', 'text': regexp_extract(t, '(?s)^<[^>]*>(.*)</', 1)}"
+    decoded = "t"
+    for name, char in (("&copy;", "chr(169)"), ("&middot;", "chr(183)"), ("&quot;", "chr(34)"), ("&lt;", "'<'"), ("&gt;", "'>'"), ("&amp;", "'&'")):
+        decoded = f"replace({decoded}, '{name}', {char})"
+    return _RICH.rstrip().replace("WITH rich", "WITH RECURSIVE rich") + rf""",
+cut AS (SELECT page_id, regexp_extract_all(html, '(?s)<!--.*?-->|<![^>]*>|<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|</?[a-zA-Z][^>]*>|[^<]+') AS x FROM rich),
+tok AS (SELECT page_id, unnest(range(1, len(x) + 1)) AS i, unnest(x) AS t FROM cut),
+read AS (SELECT page_id, i, t, lower(regexp_extract(t, '^</?([a-zA-Z][a-zA-Z0-9-]*)', 1)) AS tag, CASE WHEN starts_with(t, '<!--') THEN 'comment'
+  WHEN starts_with(t, '<!') THEN 'doctype' WHEN regexp_matches(t, '^<(script|style)') THEN 'raw' WHEN starts_with(t, '</') THEN 'close'
+  WHEN starts_with(t, '<') THEN 'open' ELSE 'text' END AS k FROM tok),
+walk AS (
+  SELECT page_id, CAST(0 AS BIGINT) AS i, CAST([] AS VARCHAR[]) AS tags, CAST([] AS INT[]) AS ords, CAST(0 AS INT) AS n, CAST([] AS {kinds}) AS nodes FROM cut
+  UNION ALL
+  SELECT page_id, i, CASE WHEN grows THEN list_append(tags, tag) WHEN up IS NOT NULL THEN tags[1:len(tags) - up] ELSE tags END,
+    CASE WHEN grows THEN list_append(ords, n) WHEN up IS NOT NULL THEN ords[1:len(ords) - up] ELSE ords END,
+    CAST(n + CASE k WHEN 'raw' THEN 2 WHEN 'close' THEN 0 ELSE 1 END AS INT),
+    CASE k WHEN 'close' THEN [] WHEN 'raw' THEN [{node.format("'element'", "tag", "''")}, {inner}] WHEN 'open' THEN [{node.format("'element'", "tag", "''")}]
+      WHEN 'text' THEN [{node.format("'text'", "''", decoded)}] WHEN 'comment' THEN [{node.format("'comment'", "''", "t[5:len(t) - 3]")}]
+      ELSE [{node.format("'doctype'", "''", "trim(t[10:len(t) - 1])")}] END
+  FROM (SELECT r.*, w.tags, w.ords, w.n, k = 'open' AND tag NOT IN {void} AND NOT ends_with(t, '/>') AS grows,
+      CASE WHEN k = 'close' THEN list_position(list_reverse(tags), tag) END AS up
+    FROM walk AS w JOIN read AS r ON r.page_id = w.page_id AND r.i = w.i + 1))
+SELECT page_id, o.ord AS ord, o.parent AS parent, o.depth AS depth, o.kind AS kind, o.tag AS tag, o.text AS text
+FROM (SELECT page_id, unnest(nodes) AS o FROM walk)"""
+
+
+# Nodes of the repaired snippets of KNOWN_REPAIRS, which follow the title's two: (snippet, ord, end_ord, parent, depth, tag, text).
+REPAIRED = """
+(0, 2, 3, -1, 1, 'h3', ''), (0, 3, 3, 2, 2, '', 'T#'), (0, 4, 5, -1, 1, 'p', ''), (0, 5, 5, 4, 2, '', '2'), (0, 6, 7, -1, 1, 'ul', ''),
+(0, 7, 7, 6, 2, 'li', ''), (0, 8, 9, -1, 1, 'p', ''), (0, 9, 9, 8, 2, '', '1'), (0, 10, 10, -1, 1, '', 'z'),
+(1, 2, 7, -1, 1, 'div', ''), (1, 3, 4, 2, 2, 'a', ''), (1, 4, 4, 3, 3, 'img', ''), (1, 5, 7, 2, 2, 'p', ''), (1, 6, 7, 5, 3, 'em', ''), (1, 7, 7, 6, 4, '', 'Ab'),
+(2, 2, 2, -1, 1, '', 'a'), (2, 3, 4, -1, 1, 'a', ''), (2, 4, 4, 3, 2, 'img', ''), (2, 5, 5, -1, 1, '', 'b'),
+(3, 2, 2, -1, 1, '', 'ab# '), (3, 3, 4, -1, 1, 'i', ''), (3, 4, 4, 3, 2, '', 'c'),
+(4, 2, 5, -1, 1, 'table', ''), (4, 3, 5, 2, 2, 'tr', ''), (4, 4, 5, 3, 3, 'td', ''), (4, 5, 5, 4, 4, '', 'a#'),
+(5, 2, 2, -1, 1, 'div', ''), (5, 3, 4, -1, 1, 'div', ''), (5, 4, 4, 3, 2, '', '#'),
+(6, 2, 14, -1, 1, 'html', ''), (6, 3, 5, 2, 2, 'head', ''), (6, 4, 5, 3, 3, 'script', ''), (6, 5, 5, 4, 4, '', 'x'), (6, 6, 13, 2, 2, 'div', ''),
+(6, 7, 7, 6, 3, '', 'a'), (6, 8, 10, 6, 3, 'video', ''), (6, 9, 10, 8, 4, 'p', ''), (6, 10, 10, 9, 5, '', 'v'), (6, 11, 11, 6, 3, '', 'b'),
+(6, 12, 13, 6, 3, 'pre', ''), (6, 13, 13, 12, 4, '', 'c'), (6, 14, 14, 2, 2, '', 'd'),
+(7, 2, 9, -1, 1, 'ol', ''), (7, 3, 4, 2, 2, 'li', ''), (7, 4, 4, 3, 3, '', 'b#'), (7, 5, 9, 2, 2, 'li', ''), (7, 6, 6, 5, 3, '', 'c'), (7, 7, 9, 5, 3, 'ul', ''),
+(7, 8, 9, 7, 4, 'li', ''), (7, 9, 9, 8, 5, '', 'd'), (7, 10, 10, -1, 1, 'hr', ''), (7, 11, 12, -1, 1, 'del', ''), (7, 12, 12, 11, 2, '', 'x'),
+(7, 13, 13, -1, 1, '', ' '), (7, 14, 15, -1, 1, 'code', ''), (7, 15, 15, 14, 2, '', 'k'), (7, 16, 16, -1, 1, '', ' m'), (7, 17, 18, -1, 1, 'sup', ''),
+(7, 18, 18, 17, 2, '', '2')"""
+REPAIRED_MARKDOWN = r"""CASE page_id % 8 WHEN 0 THEN '### T#~~2~~1~~z' WHEN 1 THEN '[![Ab](/t#)](/f)~~*Ab*' WHEN 2 THEN 'a[![](/s)](/b#)b'
+  WHEN 3 THEN 'ab# *c*' WHEN 4 THEN '<table border="1"><tr><td colspan="2">a#</td></tr></table>' WHEN 5 THEN '#'
+  WHEN 6 THEN 'a~~<video src="/v#"><p>v</p></video>~~b~~```sql~c~```~~d' ELSE '3. b#~4. c~   - d~~---~~^x^ `k` m<sup>2</sup>' END"""
+
+
 def _bar(c: str) -> str:
     return f"replace({c}, '|', chr(92) || '|')"
 
@@ -815,8 +892,14 @@ def _oracle_sql() -> dict[str, str]:
         "all_file_names": _CTES.rstrip() + f""",
             free AS (SELECT g, feed, date_prefix || '-' || {notes} AS base FROM e),{_walk_names('freed', 'free')}
             SELECT g AS entry_index, file_name FROM freed""",
-        "html_nodes": _RICH + """SELECT page_id, tag, count(*) AS n FROM (SELECT page_id,
-            unnest(regexp_extract_all(html, '<([a-z][a-z0-9-]*)', 1)) AS tag FROM rich) GROUP BY ALL""",
+        "html_nodes": _nodes_sql(),
+        "rewritten_nodes": f"""WITH r(c, ord, end_ord, parent, depth, tag, text) AS (VALUES {REPAIRED}), t AS (SELECT page_id,
+              replace(replace(regexp_extract(html, '<title>(.*?)</title>', 1), '&quot;', chr(34)), '&amp;', '&') AS t FROM pages)
+            SELECT page_id, ord, end_ord, parent, depth, tag, replace(text, '#', CAST(page_id AS VARCHAR)) AS text FROM pages JOIN r ON c = page_id % 8
+            UNION ALL SELECT page_id, 0, 1, -1, 1, 'p', '' FROM t UNION ALL SELECT page_id, 1, 1, 0, 2, '', t FROM t""",
+        "markdown_of_known_repairs": f"""SELECT page_id, trim(replace(replace(regexp_extract(html, '<title>(.*?)</title>', 1), '&quot;', chr(34)), '&amp;', '&'))
+              || chr(10) || chr(10) || replace(replace(replace(replace(replace({REPAIRED_MARKDOWN}, '###', '@@@'), '#', CAST(page_id AS VARCHAR)), '@@@', '###'), '~', chr(10)), '^', '~~') AS markdown,
+            CAST(NULL AS VARCHAR) AS error FROM pages""",
         "links": _RICH + f"SELECT page_id, {every(link, 1)} AS href, regexp_replace({every(link, 2)}, '<[^>]*>', '', 'g') AS text FROM rich",
         "images": _RICH + f"""SELECT page_id, {every(image, 2)} AS src, coalesce({every(image, 3)}, '') AS alt,
             nullif({every(image, 1)}, '') AS href FROM rich""",

@@ -1,4 +1,4 @@
-"""One HTML document as a small tree, read leniently.
+"""HTML read leniently into the columns of a node table.
 
 Nothing is implied: an unclosed tag nests what follows, an end tag closes up to the nearest
 open tag of that name, a stray end tag is ignored and void tags close at once.
@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from html import entities
 from html.parser import HTMLParser
-from typing import Iterator
 
 # Fixed values of HTML.
 VOID_TAGS = frozenset(
@@ -37,71 +36,24 @@ MARKS = {"comment": ("<!--", "-->"), "doctype": ("<!DOCTYPE ", ">\n"), "cdata":
          "declaration": ("<!", ">"), "instruction": ("<?", ">")}
 
 
-class Node:
-    """An element, or a leaf of kind text, raw (script and the like) or one of MARKS."""
+class NodeReader(HTMLParser):
+    """Rows of the nodes of one document, in document order: an element, or a leaf of kind text, raw (script and the
+    like) or one of `MARKS`."""
 
-    __slots__ = ("kind", "tag", "attrs", "text", "parent", "kids", "rank")
-
-    def __init__(self, kind: str, tag: str = "", attrs: dict[str, str] | None = None, text: str = ""):
-        self.kind, self.tag, self.attrs, self.text = kind, tag, attrs or {}, text
-        self.parent: Node | None = None
-        self.kids: list[Node] = []
-        self.rank: int | None = None
-
-    def append(self, child: Node) -> Node:
-        child.parent = self
-        self.kids.append(child)
-        return child
-
-    def place(self) -> int:
-        return self.parent.kids.index(self)
-
-    def detach(self) -> None:
-        if self.parent is not None:
-            del self.parent.kids[self.place()]
-            self.parent = None
-
-    def replace(self, nodes: list[Node]) -> None:
-        at, parent = self.place(), self.parent
-        for node in nodes:
-            node.parent = parent
-        parent.kids[at:at + 1] = nodes
-        self.parent = None
-
-    def walk(self) -> Iterator[Node]:
-        """All descendants in document order."""
-        stack = self.kids[::-1]
-        while stack:
-            node = stack.pop()
-            yield node
-            stack.extend(reversed(node.kids))
-
-    def elements(self, *tags: str) -> Iterator[Node]:
-        return (n for n in self.walk() if n.kind == "element" and (not tags or n.tag in tags))
-
-    def first(self, *tags: str) -> Node | None:
-        return next(self.elements(*tags), None)
-
-    def texts(self) -> Iterator[str]:
-        return (n.text for n in self.walk() if n.kind in ("text", "cdata"))
-
-    def packed_text(self) -> str:
-        return "".join(text.strip() for text in self.texts())
-
-    def classes(self) -> list[str]:
-        return self.attrs.get("class", "").split()
-
-    def has_class_like(self, part: str) -> bool:
-        return any(part in name for name in self.classes())
-
-
-class _Reader(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=False)
-        self.root = self.here = Node("document")
+        self.rows: dict[str, list] = {name: [] for name in ("end_ord", "parent", "depth", "kind", "tag", "attrs", "text")}
+        self.stack: list[int] = []
         self.open: dict[str, int] = {}
         self.buffer: list[str] = []
 
+    def add(self, kind: str, tag: str = "", attrs: dict[str, str] | None = None, text: str = "") -> int:
+        at = len(self.rows["kind"])
+        values = (at, self.stack[-1] if self.stack else -1, len(self.stack) + 1, kind, tag, attrs or {}, text)
+        for column, value in zip(self.rows.values(), values):
+            column.append(value)
+        return at
+
     def inside(self, tags: frozenset[str]) -> bool:
         return not tags.isdisjoint(self.open) and any(self.open.get(tag) for tag in tags)
 
@@ -113,7 +65,7 @@ class _Reader(HTMLParser):
         if kind == "text":
             text = fold_blank(text, self.inside(KEEP_SPACE_TAGS))
             kind = "raw" if self.inside(RAW_TEXT_TAGS) else "text"
-        self.here.append(Node(kind, text=text))
+        self.add(kind, text=text)
 
     def handle_starttag(self, tag, attrs, closed=False):
         self.flush()
@@ -122,9 +74,9 @@ class _Reader(HTMLParser):
             name: " ".join((value or "").split()) if name in LIST_ATTRIBUTES or name in own_lists else value or ""
             for name, value in attrs
         }
-        node = self.here.append(Node("element", tag, values))
+        at = self.add("element", tag, values)
         if not closed and tag not in VOID_TAGS:
-            self.here = node
+            self.stack.append(at)
             self.open[tag] = self.open.get(tag, 0) + 1
 
     def handle_startendtag(self, tag, attrs):
@@ -133,11 +85,16 @@ class _Reader(HTMLParser):
     def handle_endtag(self, tag):
         self.flush()
         while self.open.get(tag):
-            closing, self.here = self.here.tag, self.here.parent
-            self.open[closing] -= 1
-            if closing == tag:
+            if self.end_last() == tag:
                 break
 
+    def end_last(self) -> str:
+        at = self.stack.pop()
+        tag = self.rows["tag"][at]
+        self.rows["end_ord"][at] = len(self.rows["kind"]) - 1
+        self.open[tag] -= 1
+        return tag
+
     def handle_data(self, data):
         self.buffer.append(data)
 
@@ -191,44 +148,12 @@ def fold_blank(text: str, keep_space: bool) -> str:
     return text
 
 
-def read_document(text: str) -> Node:
-    reader = _Reader()
+def read_nodes(text: str) -> dict[str, list]:
+    """Columns of the document's nodes; the number of a node is its place in them."""
+    reader = NodeReader()
     reader.feed(text)
     reader.close()
     reader.flush()
-    return reader.root
-
-
-def _escape(text: str) -> str:
-    return text.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
-
-
-def _quote(value: str) -> str:
-    value = _escape(value)
-    if '"' not in value:
-        return f'"{value}"'
-    return f"'{value}'" if "'" not in value else '"' + value.replace('"', "&quot;") + '"'
-
-
-def outer_html(node: Node) -> str:
-    """The element as HTML text again."""
-    out: list[str] = []
-    stack: list[Node | str] = [node]
-    while stack:
-        item = stack.pop()
-        if isinstance(item, str):
-            out.append(item)
-        elif item.kind == "element":
-            head = "".join([f"<{item.tag}", *(f" {name}={_quote(value)}" for name, value in item.attrs.items())])
-            if item.tag in VOID_TAGS and not item.kids:
-                out.append(head + "/>")
-            else:
-                out.append(head + ">")
-                stack.append(f"</{item.tag}>")
-                stack.extend(reversed(item.kids))
-        elif item.kind in ("text", "raw"):
-            out.append(item.text if item.parent.tag in UNESCAPED_TAGS else _escape(item.text))
-        else:
-            before, after = MARKS[item.kind]
-            out.append(before + item.text + after)
-    return "".join(out)
+    while reader.stack:
+        reader.end_last()
+    return reader.rows

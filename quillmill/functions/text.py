@@ -25,8 +25,11 @@ def strip(c: Column) -> Column:
 
 
 def once(c: Column, use: Callable[[Column], Column]) -> Column:
-    """`use(c)` with `c` computed a single time, however often `use` mentions it."""
-    return F.transform(F.array(c), use)[0]
+    """`use(c)` with `c` computed a single time, however often `use` mentions it.
+
+    A fold over nothing hands its start to the last step as it is; `transform` would copy it, whatever its size.
+    """
+    return F.aggregate(F.expr("cast(array() AS array<int>)"), c, lambda value, _: value, use)
 
 
 def blank_to_null(c: Column) -> Column:
@@ -97,6 +100,14 @@ def _decode(texts: pa.Array) -> pa.Array:
     return pa.array([None if t is None else decode_outside_fences(t) for t in texts.to_pylist()], pa.string())
 
 
+def decode_references(c: Column) -> Column:
+    """Character references and no-break spaces resolved outside code fences; texts without any stay in the JVM.
+
+    Hand in a column, not a long expression: it is looked at several times.
+    """
+    return F.coalesce(_decode(F.when(c.contains("&") | c.contains("\u00a0"), c)), c)
+
+
 def postprocess_markdown(c: Column) -> Column:
-    """Character references and no-break spaces resolved outside code fences, then tidied."""
-    return tidy_lines(_decode(c))
+    """References resolved outside code fences, then lines tidied."""
+    return tidy_lines(decode_references(c))

@@ -7,18 +7,27 @@ needed, whatever the size of the corpus, and nothing is emitted in pairs.
 
 from __future__ import annotations
 
-from typing import Callable
+from typing import Callable, Iterable
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, MapType, StringType, StructField, StructType
 
-from quillmill.functions.markdown import CELL_BREAKERS, LANGUAGES, PRESERVED_TAGS
-from quillmill.functions.markup import Node, outer_html, read_document
-from quillmill.functions.rewrites import (
-    CAPTION_CELL_CLASS, CAPTION_TABLE_CLASS, HEADINGS, LIFTED_TAGS, SEPARATOR_CLASS, WIDGET_TAGS,
-)
-from quillmill.functions.text import strip
+from quillmill.functions.markup import MARKS, UNESCAPED_TAGS, VOID_TAGS, read_nodes
+from quillmill.functions.text import once, strip
+
+# Fixed values of the blog editor's markup and of the Markdown dialect.
+HEADINGS = ["h1", "h2", "h3", "h4", "h5", "h6"]
+LIFTED_TAGS = ["table", "ul", "ol", "p", "blockquote", "pre"]
+CAPTION_TABLE_CLASS = "tr-caption-container"
+CAPTION_CELL_CLASS = "tr-caption"
+SEPARATOR_CLASS = "separator"
+WIDGET_TAGS = ["source-footnote", "sources-carousel-inline", "response-element", "model-response"]
+PRESERVED_TAGS = ["iframe", "video", "audio", "object", "embed", "details", "svg", "canvas"]
+CELL_BREAKERS = ["table", "ul", "ol", "pre", "blockquote"]
+LANGUAGES = (
+    "python py javascript js html css sql bash sh json xml java cpp c csharp ts typescript yaml ruby go rust php"
+).split()
 
 NODE = StructType([
     StructField("ord", IntegerType()),
@@ -30,64 +39,43 @@ NODE = StructType([
     StructField("attrs", MapType(StringType(), StringType())),
     StructField("text", StringType()),
 ])
+PARSED = StructType([StructField("nodes", ArrayType(NODE)), StructField("error", StringType())])
 TEXT_KINDS = ["text", "cdata"]
 
 
-class _Columns:
-    """Nodes of many documents, column by column."""
-
-    def __init__(self) -> None:
-        self.numbers: dict[str, list[int]] = {"ord": [], "end_ord": [], "parent": [], "depth": []}
-        self.strings: dict[str, list[str]] = {"kind": [], "tag": [], "text": []}
-        self.names: list[str] = []
-        self.values: list[str] = []
-        self.attr_offsets = [0]
-        self.doc_offsets = [0]
-
-    def add(self, html: str | None) -> None:
-        base = len(self.numbers["ord"])
-        root = read_document(html or "")
-        stack: list[tuple[Node, int, int] | int] = [(kid, -1, 1) for kid in reversed(root.kids)]
-        while stack:
-            item = stack.pop()
-            if isinstance(item, int):
-                self.numbers["end_ord"][base + item] = len(self.numbers["ord"]) - base - 1
-                continue
-            node, parent, depth = item
-            at = len(self.numbers["ord"]) - base
-            for name, value in zip(self.numbers, (at, at, parent, depth)):
-                self.numbers[name].append(value)
-            for name, value in zip(self.strings, (node.kind, node.tag, node.text)):
-                self.strings[name].append(value)
-            self.names.extend(node.attrs)
-            self.values.extend(node.attrs.values())
-            self.attr_offsets.append(len(self.names))
-            if node.kids:
-                stack.append(at)
-                stack.extend((kid, at, depth + 1) for kid in reversed(node.kids))
-        self.doc_offsets.append(len(self.numbers["ord"]))
-
-    def to_arrow(self) -> pa.Array:
-        columns = {name: pa.array(values, pa.int32()) for name, values in self.numbers.items()}
-        columns |= {name: pa.array(values, pa.string()) for name, values in self.strings.items()}
-        columns["attrs"] = pa.MapArray.from_arrays(
-            pa.array(self.attr_offsets, pa.int32()), pa.array(self.names, pa.string()), pa.array(self.values, pa.string())
-        )
-        nodes = pa.StructArray.from_arrays([columns[f.name] for f in NODE], [f.name for f in NODE])
-        return pa.ListArray.from_arrays(pa.array(self.doc_offsets, pa.int32()), nodes)
-
-
-@F.arrow_udf(ArrayType(NODE))
-def _nodes(documents: pa.Array) -> pa.Array:
-    columns = _Columns()
+@F.arrow_udf(PARSED)
+def parsed_html(documents: pa.Array) -> pa.Array:
+    """Nodes of each document, or why it could not be read."""
+    columns: dict[str, list] = {field.name: [] for field in NODE}
+    names, values, attr_offsets, doc_offsets, errors = [], [], [0], [0], []
     for html in documents.to_pylist():
-        columns.add(html)
-    return columns.to_arrow()
+        rows, error = {}, None
+        try:
+            rows = read_nodes(html or "")
+        except Exception as failure:
+            error = f"Failed to cleanly convert HTML content: {failure}"
+        errors.append(error)
+        number = len(rows.get("kind", ()))
+        columns["ord"].extend(range(number))
+        for name in rows:
+            columns[name].extend(rows[name])
+        for attrs in rows.get("attrs", ()):
+            names.extend(attrs)
+            values.extend(attrs.values())
+            attr_offsets.append(len(names))
+        doc_offsets.append(len(columns["ord"]))
+    arrays = {name: pa.array(columns[name], pa.int32()) for name in ("ord", "end_ord", "parent", "depth")}
+    arrays |= {name: pa.array(columns[name], pa.string()) for name in ("kind", "tag", "text")}
+    arrays["attrs"] = pa.MapArray.from_arrays(
+        pa.array(attr_offsets, pa.int32()), pa.array(names, pa.string()), pa.array(values, pa.string()))
+    nodes = pa.StructArray.from_arrays([arrays[f.name] for f in NODE], [f.name for f in NODE])
+    nodes = pa.ListArray.from_arrays(pa.array(doc_offsets, pa.int32()), nodes)
+    return pa.StructArray.from_arrays([nodes, pa.array(errors, pa.string())], ["nodes", "error"])
 
 
 def with_nodes(df: DataFrame, html: str = "html") -> DataFrame:
-    """Add `nodes`, the array of all nodes of the document."""
-    return df.withColumn("nodes", _nodes(F.col(html)))
+    """Add `nodes`, the array of all nodes of the document; empty if it could not be read."""
+    return df.withColumn("_parsed", parsed_html(F.col(html))).withColumn("nodes", F.col("_parsed.nodes")).drop("_parsed")
 
 
 def html_nodes(df: DataFrame, keys: list[str], html: str = "html") -> DataFrame:
@@ -103,8 +91,14 @@ def inside(doc: Column, node: Column) -> Column:
     return F.slice(doc, node["ord"] + 2, node["end_ord"] - node["ord"])
 
 
+def one_of(value: Column, words: Iterable[str]) -> Column:
+    """Is the value among fixed words (without quotes)?"""
+    return F.array_contains(F.expr("array(" + ", ".join(f"'{word}'" for word in words) + ")"), value)
+
+
 def is_tag(*tags: str) -> Callable[[Column], Column]:
-    return lambda n: (n["kind"] == "element") & n["tag"].isin(*tags)
+    """Only elements have tags."""
+    return lambda n: n["tag"] == tags[0] if len(tags) == 1 else one_of(n["tag"], tags)
 
 
 def tagged(nodes: Column, *tags: str) -> Column:
@@ -129,17 +123,83 @@ def text_of(doc: Column, node: Column, *, packed: bool = False) -> Column:
     return F.array_join(F.transform(pieces, strip) if packed else pieces, "")
 
 
+def plain_array(nodes: Column) -> Column:
+    """The nodes copied once, so that every later slice costs only its own length."""
+    return F.filter(nodes, lambda n: n["ord"] >= 0)
+
+
+def opening(node: Column) -> Column:
+    """Place of the node's start among the starts and ends of all nodes; every node has both."""
+    return 2 * node["ord"] - node["depth"] + 1
+
+
+def closing(node: Column) -> Column:
+    return 2 * (node["end_ord"] + 1) - node["depth"]
+
+
+def events(doc: Column) -> Column:
+    """Starts and ends of all nodes in order: `place, ord, close`."""
+    both = F.transform(doc, lambda n: F.array(
+        F.struct(opening(n).alias("place"), n["ord"].alias("ord"), F.lit(False).alias("close")),
+        F.struct(closing(n).alias("place"), n["ord"].alias("ord"), F.lit(True).alias("close"))))
+    return F.array_sort(F.flatten(both))
+
+
+def _escaped(text: Column) -> Column:
+    for mark, reference in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        text = F.replace(text, F.lit(mark), F.lit(reference))
+    return text
+
+
+def _quoted(value: Column) -> Column:
+    plain, double = F.concat(F.lit('"'), value, F.lit('"')), F.replace(value, F.lit('"'), F.lit("&quot;"))
+    single = F.concat(F.lit("'"), value, F.lit("'"))
+    return F.when(~value.contains('"'), plain).when(~value.contains("'"), single).otherwise(F.concat(F.lit('"'), double, F.lit('"')))
+
+
+def outer_html(doc: Column, line: Column, node: Column, *, code_classes: bool = False) -> Column:
+    """The element as HTML text again; `line` are the `events` of the document.
+
+    With `code_classes`, a `pre` that has a class shows those of its first `code` element, too.
+    """
+    def attribute(n: Column, pair: Column) -> Column:
+        value = pair["value"]
+        if code_classes:
+            both = F.array_join(F.concat(classes(n), classes(first(tagged(inside(doc, n), "code")))), " ")
+            value = F.when((n["tag"] == "pre") & (pair["key"] == "class"), both).otherwise(value)
+        return F.concat(F.lit(" "), pair["key"], F.lit("="), _quoted(_escaped(value)))
+
+    def start(n: Column) -> Column:
+        head = F.concat(F.lit("<"), n["tag"], F.array_join(F.transform(F.map_entries(n["attrs"]), lambda pair: attribute(n, pair)), ""))
+        return F.concat(head, F.when(_is_closed(n), "/>").otherwise(">"))
+
+    def leaf(n: Column) -> Column:
+        holder = F.get(doc, n["parent"])
+        text = F.when(F.coalesce(one_of(holder["tag"], sorted(UNESCAPED_TAGS)), F.lit(False)), n["text"]).otherwise(_escaped(n["text"]))
+        for kind, (before, after) in MARKS.items():
+            text = F.when(n["kind"] == kind, F.concat(F.lit(before), n["text"], F.lit(after))).otherwise(text)
+        return text
+
+    def token(n: Column, close: Column) -> Column:
+        ended = F.when(_is_closed(n) | (n["kind"] != "element"), "").otherwise(F.concat(F.lit("</"), n["tag"], F.lit(">")))
+        return F.when(close, ended).otherwise(F.when(n["kind"] == "element", start(n)).otherwise(leaf(n)))
+
+    span = F.slice(line, opening(node) + 1, closing(node) - opening(node) + 1)
+    return F.array_join(F.transform(span, lambda e: token(F.get(doc, e["ord"]), e["close"])), "")
+
+
+def _is_closed(node: Column) -> Column:
+    """Written as a single tag."""
+    return one_of(node["tag"], sorted(VOID_TAGS)) & (node["end_ord"] == node["ord"])
+
+
 def classes(node: Column) -> Column:
     return F.filter(F.split(attr(node, "class"), r"\s+"), lambda c: c != "")
 
 
 def extract(df: DataFrame, keys: list[str], of_document: Callable[[Column], Column]) -> DataFrame:
-    """Rows of the struct array `of_document` makes from the nodes of each document.
-
-    Copying the nodes once into a plain array makes every later slice cost only its own length.
-    """
-    plain = F.filter(F.col("nodes"), lambda n: n["ord"] >= 0)
-    return df.select(*keys, F.inline(F.flatten(F.transform(F.array(plain), of_document))))
+    """Rows of the struct array `of_document` makes from the nodes of each document."""
+    return df.select(*keys, F.inline(once(plain_array(F.col("nodes")), of_document)))
 
 
 def _fields(**columns: Column) -> Column:
@@ -159,18 +219,17 @@ def links(df: DataFrame, keys: list[str]) -> DataFrame:
 def images(df: DataFrame, keys: list[str]) -> DataFrame:
     """Images with the target of the nearest link around them."""
 
-    def around(doc: Column, image: Column) -> Column:
-        return F.filter(
-            tagged(doc, "a"), lambda a: (a["ord"] < image["ord"]) & (a["end_ord"] >= image["ord"])
-        )
+    def with_links(doc: Column, links: Column) -> Column:
+        # Only links with images inside can be around one; usually they hold one each.
+        around = lambda image: F.filter(links, lambda a: (a["ord"] < image["ord"]) & (a["end_ord"] >= image["ord"]))
+        return F.transform(tagged(doc, "img"), lambda n: _fields(
+            ord=n["ord"], src=attr(n, "src"), alt=attr(n, "alt"), href=F.try_element_at(around(n), F.lit(-1))["href"]))
 
-    return extract(df, keys, lambda doc: F.transform(
-        tagged(doc, "img"),
-        lambda n: _fields(
-            ord=n["ord"], src=attr(n, "src"), alt=attr(n, "alt"),
-            href=F.try_element_at(around(doc, n), F.lit(-1))["attrs"]["href"],
-        ),
-    ))
+    def holders(doc: Column) -> Column:
+        some = F.filter(tagged(doc, "a"), lambda a: F.exists(inside(doc, a), is_tag("img")))
+        return F.transform(some, lambda a: _fields(ord=a["ord"], end_ord=a["end_ord"], href=a["attrs"]["href"]))
+
+    return extract(df, keys, lambda doc: once(holders(doc), lambda links: with_links(doc, links)))
 
 
 def headings(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -213,7 +272,7 @@ def _merges(span: Column) -> Column:
     return (span != "") & ((whole == "") | (more & ~number.startswith("-")))
 
 
-def _is_complex(doc: Column, table: Column) -> Column:
+def is_complex_table(doc: Column, table: Column) -> Column:
     """Merged cells, or cells with blocks that a pipe table cannot hold."""
     return F.exists(
         tagged(inside(doc, table), "td", "th"),
@@ -227,7 +286,7 @@ def complex_tables(df: DataFrame, keys: list[str]) -> DataFrame:
     return extract(df, keys, lambda doc: F.transform(
         tagged(doc, "table"),
         lambda t: _fields(
-            ord=t["ord"], cells=F.size(tagged(inside(doc, t), "td", "th")), is_complex=_is_complex(doc, t)),
+            ord=t["ord"], cells=F.size(tagged(inside(doc, t), "td", "th")), is_complex=is_complex_table(doc, t)),
     ))
 
 
@@ -242,7 +301,7 @@ def pipe_tables(df: DataFrame, keys: list[str]) -> DataFrame:
         return F.concat(F.lit("| "), F.array_join(texts, " | "), F.lit(" |"))
 
     return extract(df, keys, lambda doc: F.flatten(F.transform(
-        F.filter(tagged(doc, "table"), lambda t: ~_is_complex(doc, t)),
+        F.filter(tagged(doc, "table"), lambda t: ~is_complex_table(doc, t)),
         lambda t: F.transform(
             tagged(inside(doc, t), "tr"),
             lambda row, at: _fields(table_ord=t["ord"], row=at, line=line(doc, row)),
@@ -250,26 +309,29 @@ def pipe_tables(df: DataFrame, keys: list[str]) -> DataFrame:
     )))
 
 
-def code_blocks(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Preformatted blocks with the language their classes name."""
+def code_language(doc: Column, pre: Column) -> Column:
+    """The language that the classes of a preformatted block and of the code in it name."""
 
-    def language(names: Column) -> Column:
+    def named(names: Column) -> Column:
         brush = F.lower(F.regexp_extract(F.array_join(names, " "), r"(?iU)brush:\s*(\w+)", 1))
         hints = F.filter(
             F.transform(names, F.lower),
-            lambda c: c.startswith("lang-") | c.startswith("language-") | c.isin(*sorted(LANGUAGES)),
+            lambda c: c.startswith("lang-") | c.startswith("language-") | one_of(c, LANGUAGES),
         )
         hint = F.coalesce(first(hints), F.lit(""))
         return F.when(brush != "", brush).otherwise(F.regexp_replace(hint, r"\A(?:lang|language)-", ""))
 
+    return once(F.concat(classes(pre), classes(first(tagged(inside(doc, pre), "code")))), named)
+
+
+def code_text(doc: Column, pre: Column) -> Column:
+    return F.regexp_replace(text_of(doc, pre), r"\A[\r\n]+|[\r\n]+\z", "")
+
+
+def code_blocks(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Preformatted blocks with the language their classes name."""
     return extract(df, keys, lambda doc: F.transform(
-        tagged(doc, "pre"),
-        lambda n: _fields(
-            ord=n["ord"],
-            language=language(F.concat(classes(n), classes(first(tagged(inside(doc, n), "code"))))),
-            code=F.regexp_replace(text_of(doc, n), r"\A[\r\n]+|[\r\n]+\z", ""),
-        ),
-    ))
+        tagged(doc, "pre"), lambda n: _fields(ord=n["ord"], language=code_language(doc, n), code=code_text(doc, n))))
 
 
 def lifted_blocks(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -284,42 +346,42 @@ def lifted_blocks(df: DataFrame, keys: list[str]) -> DataFrame:
         F.transform(tagged(doc, *HEADINGS), lambda h: moves(doc, h))))
 
 
-def _is_blank(doc: Column, node: Column) -> Column:
+def is_blank(doc: Column, node: Column) -> Column:
     return text_of(doc, node, packed=True) == ""
 
 
-def spacers(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Boxes with nothing in them but blanks, or with a single line break."""
+def is_spacer(doc: Column, box: Column) -> Column:
+    within = F.filter(inside(doc, box), lambda k: k["kind"] != "comment")
+    lone_break = (F.size(within) == 1) & F.coalesce(first(within)["tag"] == "br", F.lit(False))
+    return ((F.size(elements(within)) == 0) & is_blank(doc, box)) | lone_break
 
-    def is_spacer(doc: Column, box: Column) -> Column:
-        within = F.filter(inside(doc, box), lambda k: k["kind"] != "comment")
-        lone_break = (F.size(within) == 1) & F.coalesce(first(within)["tag"] == "br", F.lit(False))
-        return ((F.size(elements(within)) == 0) & _is_blank(doc, box)) | lone_break
 
+def spacers(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Boxes with nothing in them but blanks, or with a single line break."""
     return extract(df, keys, lambda doc: F.transform(
         F.filter(tagged(doc, "div", "p"), lambda n: is_spacer(doc, n)),
         lambda n: _fields(ord=n["ord"], tag=n["tag"]),
     ))
 
 
+def is_separator(doc: Column, box: Column) -> Column:
+    within = elements(inside(doc, box))
+    return attr(box, "class").contains(SEPARATOR_CLASS) & F.exists(within, is_tag("img")) & (F.size(within) <= 2)
+
+
 def separators(df: DataFrame, keys: list[str]) -> DataFrame:
     """Image wrappers to unwrap: an image inside and no more than two elements."""
+    return extract(df, keys, lambda doc: F.transform(
+        F.filter(tagged(doc, "div"), lambda n: is_separator(doc, n)), lambda n: _fields(ord=n["ord"])))
 
-    def unwraps(doc: Column, box: Column) -> Column:
-        within = elements(inside(doc, box))
-        return attr(box, "class").contains(SEPARATOR_CLASS) & F.exists(within, is_tag("img")) & (F.size(within) <= 2)
 
-    return extract(df, keys, lambda doc: F.transform(
-        F.filter(tagged(doc, "div"), lambda n: unwraps(doc, n)), lambda n: _fields(ord=n["ord"])))
+def is_empty_widget(doc: Column, node: Column) -> Column:
+    return is_blank(doc, node) & ~F.exists(inside(doc, node), is_tag("img"))
 
 
 def widgets(df: DataFrame, keys: list[str]) -> DataFrame:
     """Pasted widget tags, and whether each is dropped (empty) or unwrapped."""
-
-    def action(doc: Column, node: Column) -> Column:
-        empty = _is_blank(doc, node) & ~F.exists(inside(doc, node), is_tag("img"))
-        return F.when(empty, "drop").otherwise("unwrap")
-
+    action = lambda doc, node: F.when(is_empty_widget(doc, node), "drop").otherwise("unwrap")
     return extract(df, keys, lambda doc: F.transform(
         tagged(doc, *WIDGET_TAGS), lambda n: _fields(ord=n["ord"], tag=n["tag"], action=action(doc, n))))
 
@@ -327,29 +389,27 @@ def widgets(df: DataFrame, keys: list[str]) -> DataFrame:
 def list_items(df: DataFrame, keys: list[str]) -> DataFrame:
     """List items with the bullet Markdown gives them: a dash, or the rank in an ordered list."""
 
-    def item(doc: Column, node: Column) -> Column:
-        holder = F.try_element_at(doc, F.when(node["parent"] >= 0, node["parent"] + 1))
+    def item(doc: Column, node: Column, rank: Column) -> Column:
+        holder = F.get(doc, node["parent"])
+        start = F.coalesce(F.regexp_extract(attr(holder, "start"), r"\A\d{1,9}\z", 0).try_cast("int"), F.lit(1))
+        number = F.concat((start + rank).cast("string"), F.lit("."))
         return _fields(
-            ord=node["ord"], list_ord=node["parent"], ordered=F.coalesce(holder["tag"] == "ol", F.lit(False)),
-            start=attr(holder, "start"), text=strip(text_of(doc, node)),
-        )
+            ord=node["ord"], bullet=F.when(F.coalesce(holder["tag"] == "ol", F.lit(False)), number).otherwise("-"),
+            text=strip(text_of(doc, node)))
 
-    items = extract(df, keys, lambda doc: F.transform(tagged(doc, "li"), lambda n: item(doc, n)))
-    rank = F.row_number().over(Window.partitionBy(*keys, "list_ord").orderBy("ord"))
-    number = F.coalesce(F.expr("try_cast(start AS INT)"), F.lit(1)) + rank - 1
-    bullet = F.when(F.col("ordered"), F.concat(number.cast("string"), F.lit("."))).otherwise("-")
-    return items.select(*keys, "ord", bullet.alias("bullet"), "text")
+    def ranked(doc: Column, found: Column) -> Column:
+        # Sorted by their lists; an item's rank is its distance from the first of its list.
+        return once(found["parent"], lambda lists: F.transform(found, lambda li, at: item(
+            doc, F.get(doc, li["ord"]), at - F.array_position(lists, li["parent"]).cast("int") + 1)))
 
+    def items(doc: Column) -> Column:
+        found = F.transform(tagged(doc, "li"), lambda n: F.struct(n["parent"].alias("parent"), n["ord"].alias("ord")))
+        return once(F.array_sort(found), lambda sorted_items: ranked(doc, sorted_items))
 
-@F.arrow_udf(ArrayType(StructType([StructField("tag", StringType()), StructField("outer_html", StringType())])))
-def _embeds(documents: pa.Array) -> pa.Array:
-    found = []
-    for html in documents.to_pylist():
-        elements = read_document(html or "").elements(*PRESERVED_TAGS)
-        found.append([{"tag": node.tag, "outer_html": outer_html(node)} for node in elements])
-    return pa.array(found, pa.list_(pa.struct([("tag", pa.string()), ("outer_html", pa.string())])))
+    return extract(df, keys, items).select(*keys, "ord", "bullet", "text")
 
 
-def embeds(df: DataFrame, keys: list[str], html: str = "html") -> DataFrame:
+def embeds(df: DataFrame, keys: list[str]) -> DataFrame:
     """Elements that stay HTML, as HTML."""
-    return df.select(*keys, F.posexplode(_embeds(F.col(html))).alias("at", "e")).select(*keys, "at", "e.*")
+    return extract(df, keys, lambda doc: once(events(doc), lambda line: F.transform(
+        tagged(doc, *PRESERVED_TAGS), lambda n, at: _fields(at=at, tag=n["tag"], outer_html=outer_html(doc, line, n)))))

@@ -15,11 +15,10 @@ from typing import Any, Mapping
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from quillmill.functions.markdown import Rule
 from quillmill.operators import entries as ops
 from quillmill.operators.dedup import duplicate_posts, kept_posts
 from quillmill.operators.documents import CLASSIFICATION, converted_records, with_document
-from quillmill.operators.markdown import conversion_issues, html_to_markdown
+from quillmill.operators.markdown import Rule, conversion_issues, html_to_markdown
 from quillmill.operators.names import file_names, with_base_name
 from quillmill.operators.skew import keyed_join
 from quillmill.plans import report

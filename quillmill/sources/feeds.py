@@ -20,7 +20,6 @@ elements is what stands before the first of them.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
 from functools import reduce
 from operator import or_
 
@@ -28,6 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from quillmill.functions.text import once
 from quillmill.operators.skew import keyed_join
 from quillmill.staging import stage, stage_counted
 
@@ -147,11 +147,6 @@ def _declared(value: Column, encoding: str) -> Column:
 # --- pieces and the states they begin in -------------------------------------------------------------
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """`use` of a value that is worked out once."""
-    return F.transform(F.array(value), use)[0]
-
-
 def _scanned(text: Column) -> Column:
     """`state, depth` behind a piece that begins in plain text; a cut that is a real one closes an entry."""
     def behind(before: Column, state: Column) -> Column:
@@ -160,12 +155,12 @@ def _scanned(text: Column) -> Column:
         return F.struct(state.alias("state"), (opened - closed).alias("depth"))
 
     def unclosed(bare: Column) -> Column:
-        return _let(F.regexp_extract(bare, UNCLOSED, 0), lambda mark: behind(
+        return once(F.regexp_extract(bare, UNCLOSED, 0), lambda mark: behind(
             F.when(mark == "", bare).otherwise(F.call_function("substring_index", bare, mark, F.lit(1))),
             F.array_position(F.array(*[F.lit(opening) for opening, _ in SECTIONS]), mark).cast("int")))
 
     marked = reduce(or_, [text.contains(opening) for opening, _ in SECTIONS])
-    return F.when(marked, _let(F.regexp_replace(text, rf"(?s){SECTION}", ""), unclosed)).otherwise(behind(text, F.lit(0)))
+    return F.when(marked, once(F.regexp_replace(text, rf"(?s){SECTION}", ""), unclosed)).otherwise(behind(text, F.lit(0)))
 
 
 def _state_map(text: Column) -> Column:

@@ -3,8 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from quillmill.functions.markdown import convert
-from quillmill.functions.markup import outer_html, read_document
+from quillmill.functions.markup import read_nodes
 from quillmill.operators import nodes
 from quillmill.operators.markdown import conversion_issues, html_to_markdown
 
@@ -36,6 +35,9 @@ GOLDENS = {
     "spans of one": ("<table><tr><th colspan='1' rowspan=''>a</th></tr></table>", "| a |\n| --- |"),
     "embeds": ('<p>x</p><iframe src="/v?a=1&amp;b=2" allowfullscreen></iframe><p>y</p>',
                'x\n\n<iframe src="/v?a=1&b=2" allowfullscreen=""></iframe>\n\ny'),
+    "whole inside": ("<html><head><script>x</script></head><div>a<div><video><p>v</p></video></div>b<pre>c</pre></div>d",
+                     "a\n\n<video><p>v</p></video>\n\nb\n\n```\nc\n```\n\nd"),
+    "many pieces": ("<div>" + "<p>a <b>b</b></p>\n" * 300 + "</div>", "\n\n".join(["a **b**"] * 300)),
     "details": ("<details>\n <summary>s</summary><pre class='a'><code class='b'>c</code></pre></details>",
                 '<details>\n<summary>s</summary><pre class="a b"><code class="b">c</code></pre></details>'),
     "brush": ("<pre class='Brush: PY; x'>\n a\n\n</pre>", "```py\n a\n```"),
@@ -72,8 +74,11 @@ def test_golden(converted, name):
 
 def test_unreadable_html_is_kept(spark):
     bad = "<p>x\r\n<![nonsense z]> "
-    if convert(bad)[1] is None:
+    try:
+        read_nodes(bad)
         pytest.skip("this Python reads it")
+    except AssertionError:
+        pass
     df = spark.createDataFrame([("f", 1, "i", "t", bad)], "feed_path STRING, entry_index BIGINT, id STRING, title STRING, content_html STRING")
     done = html_to_markdown(df)
     assert done.first().markdown == bad
@@ -84,13 +89,15 @@ def test_unreadable_html_is_kept(spark):
 
 def test_overrides(spark):
     df = spark.createDataFrame([("<u>a</u> <b>c</b> <i>d</i> <video></video> <em>e</em>",)], "html STRING")
-    rules = {"u": "preserve", "b": "drop", "video": "drop", "i": "unwrap", "em": lambda node, text, ctx: f"_{text}_"}
+    rules = {"u": "preserve", "b": "drop", "video": "drop", "i": "unwrap", "em": lambda node, text, frame: F.concat(F.lit("_"), text, F.lit("_"))}
     assert html_to_markdown(df, "html", overrides=rules).first().markdown == "<u>a</u>\n\n  d  _e_"
 
 
-def test_reading_and_writing():
-    html = '<p class="a  b" q=\'1"2\'>x<br/>&lt;&amp;<i/>y</p>'
-    assert outer_html(read_document(html).kids[0]) == '<p class="a b" q=\'1"2\'>x<br/>&lt;&amp;<i></i>y</p>'
+def test_reading_and_writing(spark):
+    html = '<video class="a  b" q=\'1"2\' r=\'"&apos;\'>x<br/>&lt;&amp;<i/>y<!--c--><script>a<b</script></video>'
+    df = nodes.with_nodes(spark.createDataFrame([(1, html)], "id INT, html STRING"))
+    assert nodes.embeds(df, ["id"]).first().outer_html == (
+        '<video class="a b" q=\'1"2\' r="&quot;\'">x<br/>&lt;&amp;<i></i>y<!--c--><script>a<b</script></video>')
 
 
 def rows(spark, extractor, html):
@@ -134,6 +141,6 @@ def test_extractors(spark, extractor, html, expected):
 
 
 def test_embeds(spark):
-    df = spark.createDataFrame([(1, "<p><video><source src=a></video>")], "id INT, html STRING")
+    df = nodes.with_nodes(spark.createDataFrame([(1, "<p><video><source src=a></video>")], "id INT, html STRING"))
     assert [tuple(r) for r in nodes.embeds(df, ["id"]).collect()] == [
         (1, 0, "video", '<video><source src="a"/></video>')]
