@@ -364,6 +364,18 @@ def q_all_file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return file_names(with_base_name(entries).select("feed_path", "entry_index", "base")).select("entry_index", "file_name")
 
 
+def q_dedup_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts that share their id with one neighbour and their URL with the other, in chains longer than the rounds go."""
+    _pages(spark, sf_dir)
+    return kept_posts(spark.sql(CHAINED_POSTS)).select("feed_path", "entry_index", "id", "url")
+
+
+def q_name_families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names where families of bases have more contests than one task settles."""
+    _pages(spark, sf_dir)
+    return file_names(spark.sql(NAME_FAMILIES), width=32, family_rows=2).select("feed_path", "entry_index", "file_name")
+
+
 def q_frontmatter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed_entries(spark, sf_dir).select("entry_index", docs.frontmatter_text().alias("frontmatter"))
 
@@ -503,6 +515,18 @@ SELECT page_id, concat('<h2>Part ', CAST(page_id AS STRING), '</h2><p>', t, ' <b
 FROM (SELECT page_id, concat('Text ', trim(regexp_extract(html, '<title>([A-Za-z ]+)', 1))) AS t,
   concat('u', CAST(page_id * 7 AS STRING)) AS u FROM pages) AS known
 """
+# Chains of 40 posts; in every third one a post has no URL, which cuts it.
+CHAINED_POSTS = """
+SELECT concat('f', CAST(page_id % 3 AS STRING)) AS feed_path, page_id + 1 AS entry_index, concat('c', CAST(chain AS STRING), '-', CAST(CAST(floor((k + 1) / 2) AS BIGINT) AS STRING)) AS id,
+  CASE WHEN chain % 3 = 2 AND k = 20 THEN '' ELSE concat('u', CAST(chain AS STRING), '-', CAST(CAST(floor(k / 2) AS BIGINT) AS STRING)) END AS url
+FROM (SELECT page_id, page_id % 3 + 3 * CAST(floor(page_id / 120) AS BIGINT) AS chain, CAST(floor(page_id / 3) AS BIGINT) % 40 AS k FROM pages) AS placed
+"""
+NAME_FAMILIES = """
+SELECT concat('f', CAST(page_id % 2 AS STRING)) AS feed_path, page_id + 1 AS entry_index, concat('2024-01-0', CAST(1 + CAST(floor(page_id / 150) AS BIGINT) % 2 AS STRING), CASE page_id % 7
+  WHEN 0 THEN '-notes' WHEN 1 THEN concat('-notes-', CAST(2 + page_id % 9 AS STRING)) WHEN 2 THEN '-notes-2' WHEN 3 THEN concat('-notes-2-', CAST(2 + page_id % 4 AS STRING))
+  WHEN 4 THEN '-log' WHEN 5 THEN concat('-log-', CAST(page_id % 5 AS STRING)) ELSE concat('-notes-3-2-', CAST(1 + page_id % 3 AS STRING)) END) AS base
+FROM pages
+"""
 # Each page's title with a snippet that the editor leaves behind; the repaired nodes and the Markdown of each are below.
 KNOWN_REPAIRS = """
 SELECT page_id, concat('<p>', t, '</p>', CASE page_id % 8
@@ -549,6 +573,8 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dedup_duplicates": q_dedup_duplicates,
         "file_names": q_file_names,
         "all_file_names": q_all_file_names,
+        "dedup_chains": q_dedup_chains,
+        "name_families": q_name_families,
         "html_nodes": q_html_nodes,
         "links": extracted("links", "href", "text"),
         "images": extracted("images", "src", "alt", "href"),
@@ -935,6 +961,15 @@ def _oracle_sql() -> dict[str, str]:
             replace(replace(replace(replace(replace(replace(replace(source, '&lt;', '<'), '&gt;', '>'), '&copy;', chr(169)),
               '&#65;', 'A'), '&nbsp;', ' '), '&amp;', '&'), chr(160), ' '),
             '\r\n?', chr(10), 'g'), '(?m)[ \t]+$', '', 'g'), '\n{3,}', chr(10) || chr(10), 'g'), chr(10) || ' ') AS markdown FROM s""",
+        "dedup_chains": f"""WITH RECURSIVE p AS ({CHAINED_POSTS}),
+            line AS (SELECT *, row_number() OVER (ORDER BY entry_index) AS rn FROM p),
+            walk AS (SELECT CAST(0 AS BIGINT) AS rn, false AS stays, CAST([] AS VARCHAR[]) AS keys
+              UNION ALL SELECT rn, stays, CASE WHEN stays THEN list_concat(keys, mine) ELSE keys END FROM (
+                SELECT l.rn, w.keys, l.mine, NOT list_has_any(w.keys, l.mine) AS stays FROM walk AS w JOIN (SELECT rn,
+                  CASE WHEN url = '' THEN [feed_path || '/i' || id] ELSE [feed_path || '/i' || id, feed_path || '/u' || url] END AS mine FROM line) AS l ON l.rn = w.rn + 1))
+            SELECT feed_path, entry_index, id, nullif(url, '') AS url FROM line JOIN walk USING (rn) WHERE stays""",
+        "name_families": f"""WITH RECURSIVE p AS ({NAME_FAMILIES}), given AS (SELECT entry_index AS g, right(feed_path, 1) AS feed, base FROM p),{_walk_names('named', 'given')}
+            SELECT feed_path, entry_index, file_name FROM p JOIN named ON named.g = p.entry_index""",
         "frontmatter": _CTES + "SELECT entry_index, " + _FRONT.format(kind='"personal_analysis"', type=_PLAIN)
             + " || chr(10) || '---' || chr(10) AS frontmatter FROM e",
         "frontmatter_extra": _CTES + "SELECT entry_index, " + _FRONT.format(kind='"notes"', type="to_json(kind)")

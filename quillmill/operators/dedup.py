@@ -3,7 +3,9 @@
 A dropped post reserves nothing, so whether a post stays depends on earlier decisions. Each
 round keeps every undecided post that comes first for both its id and its URL, and drops
 the posts that share a key with one of those. Rounds only see what is still undecided,
-which shrinks fast; once that is a counted handful, one ordered pass settles it.
+which shrinks fast. What a few rounds leave are chains of posts that alternately share ids and
+URLs: apart from each other they decide nothing together, so each connected component is
+settled by one ordered pass of its own.
 
 Ids and URLs are compared per feed.
 """
@@ -15,8 +17,9 @@ from typing import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from quillmill.operators.components import connected_components
 from quillmill.operators.skew import keyed_join
-from quillmill.staging import stage_counted, staging_path
+from quillmill.staging import stage, stage_counted, staging_path
 
 ID = ["feed_path", "id"]
 URL = ["feed_path", "url"]
@@ -24,11 +27,11 @@ ROW = ["feed_path", "entry_index"]
 # Fixed texts of the report format: what is repeated, and the file that has it.
 SAME_ID = "Duplicate post ID encountered: '%s' (already seen as '%s')"
 SAME_URL = "Duplicate canonical URL encountered: '%s' (already seen as '%s')"
-# Posts still undecided after a round that one task may settle alone.
-FINISH_ROWS = 100_000
+# Rounds over all that is undecided, before what is left is taken apart.
+ROUNDS = 3
 
 
-def kept_posts(posts: DataFrame, *, finish_rows: int = FINISH_ROWS, floor: int | None = None) -> DataFrame:
+def kept_posts(posts: DataFrame, *, rounds: int = ROUNDS, floor: int | None = None) -> DataFrame:
     """`feed_path, entry_index, id, url` of the posts that stay; a blank URL is no key."""
     # Of posts with equal id and URL only the first can ever be kept: copies go before any join.
     undecided, left = stage_counted(
@@ -45,14 +48,14 @@ def kept_posts(posts: DataFrame, *, finish_rows: int = FINISH_ROWS, floor: int |
         return spark.read.schema(schema).parquet(path)
 
     number = 0
-    while left > (finish_rows if number else 0):
+    while left and number < rounds:
         keep = keep_round(number, _first_on_both(undecided))
         rest = keyed_join(undecided, keep.select(ID), ID, "left_anti", left, floor=floor)
         rest = keyed_join(rest, keep.where("url IS NOT NULL").select(URL), URL, "left_anti", left, floor=floor)
         undecided, left = stage_counted(rest, "undecided")
         number += 1
     if left or not number:
-        keep_round(number, _settle(undecided) if left else undecided)
+        keep_round(number, _settle(undecided, left, floor) if left else undecided)
     return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(folder)
 
 
@@ -70,19 +73,35 @@ def _first_on_both(posts: DataFrame) -> DataFrame:
     return by_id.join(first_of_url, ROW, "left").where("url IS NULL OR first_of_url").drop("first_of_url")
 
 
-def _settle(posts: DataFrame) -> DataFrame:
+def _settle(posts: DataFrame, total: int, floor: int | None) -> DataFrame:
+    """The posts that stay, each component decided in the order of its entries. A task streams through its components
+    one after the other and holds the keys of one at a time."""
+    schema = posts.schema
+    posts = stage(posts.withColumn("post", F.monotonically_increasing_id()), "open_posts")
+    links = None
+    for key, some in ((ID, posts), (URL, posts.where("url IS NOT NULL"))):
+        # A star for each key, around its first post.
+        centres = some.groupBy(key).agg(F.min("post").alias("centre"))
+        star = keyed_join(some.select(*key, "post"), centres, key, "left", total, floor=floor).select(
+            F.col("post").alias("a"), F.col("centre").alias("b"))
+        links = star if links is None else links.unionByName(star)
+    parts = connected_components(links, "posts").withColumnRenamed("node", "post")
+    found = posts.join(parts, "post", "left").withColumn("component", F.coalesce("component", "post")).drop("post")
+
     def ordered_pass(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen = set()
+        seen, now = set(), None
         for batch in batches:
             stays = []
-            for feed, post_id, link in zip(batch["feed_path"], batch["id"], batch["url"]):
+            for component, feed, post_id, link in zip(*(batch[name] for name in ("component", "feed_path", "id", "url"))):
+                if component != now:
+                    seen, now = set(), component
                 keys = {("id", feed, post_id)} | ({("url", feed, link)} if link is not None else set())
                 stays.append(seen.isdisjoint(keys))
                 if stays[-1]:
                     seen |= keys
-            yield batch[stays]
+            yield batch.loc[stays, schema.names]
 
-    return posts.coalesce(1).sortWithinPartitions(*ROW).mapInPandas(ordered_pass, posts.schema)
+    return found.repartition("component").sortWithinPartitions("component", *ROW).mapInPandas(ordered_pass, schema)
 
 
 def duplicate_posts(posts: DataFrame, kept: DataFrame, total: int, *, floor: int | None = None) -> DataFrame:

@@ -28,9 +28,11 @@ from quillmill.staging import stage, stage_counted
 ROW = ["feed_path", "entry_index"]
 BASE = ["feed_path", "base"]
 RIVAL_NAME = r"(?s)\A(.*)-([1-9][0-9]{0,17})\z"
+# Bases that differ only in numbers at the end are a family; contests never leave it.
+FAMILY_NAME = r"(-[1-9][0-9]{0,17})+\z"
 SETTLED = "feed_path STRING, base STRING, rival STRING, rank BIGINT"
-# Contests that one task may settle alone.
-FINISH_ROWS = 20_000
+# Contests of a family that one task settles alone; larger families go through their levels and ranges.
+FAMILY_ROWS = 20_000
 
 
 def with_base_name(posts: DataFrame, published: str = "published", title: str = "title") -> DataFrame:
@@ -38,7 +40,7 @@ def with_base_name(posts: DataFrame, published: str = "published", title: str =
 
 
 def file_names(
-    posts: DataFrame, *, floor: int | None = None, width: int = BUCKET_WIDTH, finish_rows: int = FINISH_ROWS
+    posts: DataFrame, *, floor: int | None = None, width: int = BUCKET_WIDTH, family_rows: int = FAMILY_ROWS
 ) -> DataFrame:
     """Adds `file_name` to kept posts that carry a `base` name, which is dropped."""
     columns = [name for name in posts.columns if name != "base"]
@@ -47,8 +49,7 @@ def file_names(
     close, number = stage_counted(_close_contests(posts, total, floor), "contests")
     if number:
         contests = _with_posts_before(close, posts, total, floor, width)
-        settle = _settle_in_one_pass if number <= finish_rows else _settle
-        lost, starts = settle(contests, total, floor, width)
+        lost, starts = _settle_families(contests, total, floor, width, family_rows)
         numbered = _with_numbers(ranked, lost, starts, total, floor, width)
     else:
         numbered = ranked.withColumn("number", F.col("rank"))
@@ -95,19 +96,30 @@ def _settled_parts(settled: DataFrame) -> tuple[DataFrame, DataFrame]:
     return lost, settled.where("rival IS NOT NULL").select("feed_path", F.col("rival").alias("base"))
 
 
-def _settle_in_one_pass(contests: DataFrame, *_) -> tuple[DataFrame, DataFrame]:
-    """`_settle` for a counted handful of contests: shorter spellings first, in one task."""
+def _settle_families(
+    contests: DataFrame, total: int, floor: int | None, width: int, family_rows: int
+) -> tuple[DataFrame, DataFrame]:
+    """`_settle`, with every family of up to `family_rows` contests in one group."""
+    family = ["feed_path", "family"]
+    contests = stage(contests.withColumn("family", F.regexp_replace("base", FAMILY_NAME, "")), "contests")
+    large = contests.groupBy(family).count().where(F.col("count") > family_rows).select(family)
+    large, number = stage_counted(large, "large_families")
+    small = keyed_join(contests, large, family, "left_anti", total, floor=floor) if number else contests
 
-    def settle_all(rows: pd.DataFrame) -> pd.DataFrame:
+    def settle_family(rows: pd.DataFrame) -> pd.DataFrame:
+        """Shorter spellings first: a base knows whether it has lost its own first name before it hands out others."""
         without_first, settled = set(), []
-        shorter_first = sorted(rows.groupby(BASE), key=lambda group: len(group[0][1]))
-        for key, group in shorter_first:
-            settled.append(_settle_base(group.assign(c=int(key in without_first))))
-            won = settled[-1]["rival"].dropna()
-            without_first.update((key[0], rival) for rival in won)
+        for base, group in sorted(rows.groupby("base"), key=lambda group: len(group[0])):
+            settled.append(_settle_base(group.assign(c=int(base in without_first))))
+            without_first.update(settled[-1]["rival"].dropna())
         return pd.concat(settled)
 
-    return _settled_parts(stage(contests.groupBy().applyInPandas(settle_all, SETTLED), "settled"))
+    lost, starts = _settled_parts(stage(small.groupBy(family).applyInPandas(settle_family, SETTLED), "settled"))
+    if number:
+        rest = keyed_join(contests, large, family, "left_semi", total, floor=floor).drop("family")
+        more_lost, more_starts = _settle(rest, total, floor, width)
+        lost, starts = lost.unionByName(more_lost), starts.unionByName(more_starts)
+    return lost, starts
 
 
 def _settle(contests: DataFrame, total: int, floor: int | None, width: int) -> tuple[DataFrame, DataFrame]:

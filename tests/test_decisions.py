@@ -35,7 +35,7 @@ def model_names(rows):
 
 
 @pytest.mark.parametrize("options", [
-    dict(), dict(finish_rows=0), dict(finish_rows=0, floor=0), dict(finish_rows=30, floor=5)])
+    dict(), dict(rounds=100), dict(rounds=100, floor=0), dict(rounds=1, floor=5), dict(rounds=0), dict(rounds=0, floor=0)])
 def test_kept_posts(spark, options):
     r = random.Random(str(options))
     rows = [
@@ -47,11 +47,12 @@ def test_kept_posts(spark, options):
     assert sorted((k.feed_path, k.entry_index) for k in kept.collect()) == model_kept(rows)
 
 
-def test_kept_posts_of_a_long_chain(spark):
+@pytest.mark.parametrize("rounds", [2, 100])
+def test_kept_posts_of_a_long_chain(spark, rounds):
     rows = []
     for n in range(12):
         rows += [("f", 2 * n + 1, f"i{n}", "t", f"u{n}"), ("f", 2 * n + 2, f"i{n + 1}", "t", f"u{n}")]
-    kept = kept_posts(spark.createDataFrame(rows, POSTS), finish_rows=0)
+    kept = kept_posts(spark.createDataFrame(rows, POSTS), rounds=rounds)
     assert sorted((k.feed_path, k.entry_index) for k in kept.collect()) == model_kept(rows)
 
 
@@ -75,7 +76,7 @@ def test_duplicates_name_an_earlier_post(spark, floor):
 
 
 @pytest.mark.parametrize("options", [
-    dict(), dict(finish_rows=0), dict(finish_rows=0, floor=0, width=7), dict(floor=10, width=40)])
+    dict(), dict(family_rows=0), dict(family_rows=0, floor=0, width=7), dict(floor=10, width=40), dict(family_rows=6, floor=0, width=9)])
 def test_file_names(spark, options):
     r = random.Random(str(options))
 
