@@ -7,7 +7,8 @@ normalised to bits per letter: phrases * log2(length of the sample) / letters.
 
 The automata become displaced rows, a few cells a transition however large the alphabet is, and
 whole batches walk them in step, one lane for each block of text and language, so the cost per
-character is a table look-up.
+character is a table look-up. Blocks are first parsed as if a phrase began with each; then those that
+begin within a phrase are parsed again from there, up to the place from which on both parses agree.
 """
 
 from __future__ import annotations
@@ -23,14 +24,16 @@ from pyspark.sql.types import DoubleType, StringType, StructType
 from quillmill.llm.words import pieces
 from quillmill.session import ship
 
-SAMPLE_ROWS = 64
-"""Training rows a language is learned from (those whose doc_id hashes lowest)."""
-SAMPLE_CHARS = 1000
-"""Characters taken of each of them, so a language costs SAMPLE_ROWS * SAMPLE_CHARS at most."""
-MAX_LANGUAGES = 500
-"""More labels than this are refused, not cut: it bounds what is sent to the executors."""
+SAMPLE_ROWS = 256
+"""Training rows of a language at most: whole texts, those whose doc_id hashes lowest."""
+SAMPLE_CHARS = 64_000
+"""Rows are taken until they have as many characters together."""
+LONG_TEXT = 4_000
+"""Texts with more characters are learned from only where a language has too few shorter ones."""
+SAMPLE_LANGUAGES = 500
+"""Languages of the sample: those with the most labelled rows."""
 BLOCK = 512
-"""Characters a lane parses. Phrases end with their block; every language has the same blocks."""
+"""Characters a lane parses. A phrase that a block begins within is carried over from the block before."""
 WINDOW = 4096
 """Places tried at a time for a row of transitions."""
 UNKNOWN = "und"
@@ -158,6 +161,7 @@ class CrossParser:
         self.languages = [language for language, _ in samples]
         self.alphabet = Alphabet([text for _, text in samples])
         self.tables, self.starts, self.roots, self.weights = [], [], [], []
+        self.lacks = []
         for _, text in samples:
             codes = self.alphabet.parse_form(self.alphabet.encode(text.encode()))
             follow = suffix_automaton(codes.tolist())
@@ -166,10 +170,18 @@ class CrossParser:
             start[list(follow[0])] = places[list(follow[0].values())]
             self.tables.append(table)
             self.starts.append(start)
+            self.lacks.append(start == places[0])  # letters that are a phrase of their own
             self.roots.append(int(places[0]))
             self.weights.append(np.log2(max(2, len(codes))))
         self.weights = np.array(self.weights)
 
+    def step(self, language: int, state: np.ndarray, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The states after one letter each, and how many phrases it ends: the one before it, and its own if it is unknown."""
+        cell = self.tables[language][state + letters]
+        ended = cell >> 32 != state  # no phrase goes on
+        alone = ended & self.lacks[language][letters] & (state != self.roots[language])
+        return np.where(ended, self.starts[language][letters], cell & 0xFFFFFFFF), ended.astype(np.int32) + alone
+
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
         """Phrases that each language needs for each text."""
         total = np.zeros((len(texts), len(self.languages)), np.int64)
@@ -186,23 +198,60 @@ class CrossParser:
             if n:
                 lengths[at - 1] = len(text) - (n - 1) * BLOCK
         order = np.argsort(-lengths, kind="stable")
-        lanes, lengths, owner = np.ascontiguousarray(lanes[order].T), lengths[order], owner[order]
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        starts_of, sizes_of = owner, lengths
+        lanes, lengths = np.ascontiguousarray(lanes[order].T), lengths[order]
         alive = len(lengths) - np.cumsum(np.bincount(lengths, minlength=BLOCK + 1))
-        for language, (table, start, root) in enumerate(zip(self.tables, self.starts, self.roots, strict=True)):
+        goes_on = np.flatnonzero(np.append(False, starts_of[1:] == starts_of[:-1])) if len(starts_of) else np.zeros(0, np.int64)
+        for language, root in enumerate(self.roots):
             state = np.full(len(owner), root, np.int64)
-            count = np.zeros(len(owner), np.int32)
+            count = np.zeros(len(owner), np.int64)
             for k in range(BLOCK):
                 n = alive[k]
                 if not n:
                     break
-                cell = table[state[:n] + lanes[k, :n]]
-                ended = cell >> 32 != state[:n]  # no phrase goes on
-                count[:n] += ended
-                state[:n] = np.where(ended, start[lanes[k, :n]], cell & 0xFFFFFFFF)
-            count += state != root
-            total[:, language] = np.bincount(owner, count, len(texts)).astype(np.int64)
+                state[:n], more = self.step(language, state[:n], lanes[k, :n])
+                count[:n] += more
+            ends, counts = np.empty_like(state), np.empty_like(count)
+            ends[order], counts[order] = state, count
+            counts += self._carried(language, ends, lanes, place, sizes_of, goes_on)
+            last = np.append(starts_of[1:] != starts_of[:-1], True)
+            counts += last & (ends != root)
+            total[:, language] = np.bincount(starts_of, counts, len(texts)).astype(np.int64)
         return total
 
+    def _carried(self, language, ends, lanes, place, lengths, goes_on) -> np.ndarray:
+        """What counts change by where blocks begin within a phrase; puts right the states that they end in.
+
+        `ends` are the states after parses from the root. Block i is lane place[i].
+        """
+        root = self.roots[language]
+        own, change = ends.copy(), np.zeros(len(ends), np.int64)
+        begun = np.full(len(ends), root, np.int64)
+        while True:
+            fresh = goes_on[ends[goes_on - 1] != begun[goes_on]]
+            if not len(fresh):
+                return change
+            begun[fresh] = ends[fresh - 1]
+            change[fresh], ends[fresh] = 0, own[fresh]
+            left, here, there = fresh[begun[fresh] != root], begun[fresh][begun[fresh] != root], None
+            there = np.full(len(left), root, np.int64)
+            for k in range(BLOCK):
+                done = k >= lengths[left]
+                ends[left[done]] = here[done]
+                open_ = ~done & (here != there)
+                left, here, there = left[open_], here[open_], there[open_]
+                if not len(left):
+                    break
+                letters = lanes[k, place[left]]
+                here, more = self.step(language, here, letters)
+                there, less = self.step(language, there, letters)
+                change[left] += more - less
+            else:
+                differ = here != there
+                ends[left[differ]] = here[differ]
+
 
 @lru_cache(maxsize=1)
 def _parser(samples: tuple[tuple[str, str], ...]) -> CrossParser:
@@ -236,21 +285,26 @@ def _predictor(samples, carry: bool, names: list[str]):
     return predict
 
 
-def language_samples(labelled: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> list[tuple[str, str]]:
-    """`(lang, text)` of each label: at most `rows` texts of `chars` characters, chosen by a hash of doc_id.
+def language_samples(
+    labelled: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS, languages: int = SAMPLE_LANGUAGES
+) -> list[tuple[str, str]]:
+    """`(lang, text)` of each label: whole texts of at most `rows` rows, chosen by a hash of doc_id until they have
+    `chars` characters together; texts above `LONG_TEXT` come last.
 
-    Rows without label or letters teach nothing. This fits the model only; predictions read whole texts.
+    Rows without label or letters teach nothing. Of more than `languages` labels those with the most rows are learned
+    (ties: by code point). This bounds the model only; predictions read whole texts.
     """
-    place, pick = "place in the sample", "order of the sample"
-    some = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
-        "lang", F.substring("text", 1, chars).alias("text"), F.xxhash64(F.col("doc_id").cast("string"), F.lit(7)).alias(pick))
-    best = Window.partitionBy("lang").orderBy(pick, "text")
+    place, before, size = "place in the sample", "characters before", "characters"
+    some = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", "text", "doc_id")
+    most = some.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).select("lang")
+    some = some.select(
+        "lang", "text", F.length("text").alias(size), F.xxhash64(F.col("doc_id").cast("string"), F.lit(7)).alias("pick"))
+    best = Window.partitionBy("lang").orderBy(F.col(size) > LONG_TEXT, "pick", "text")
     some = some.withColumn(place, F.row_number().over(best)).where(F.col(place) <= rows)
+    told = F.sum(size).over(Window.partitionBy("lang").orderBy(place).rowsBetween(Window.unboundedPreceding, -1))
+    some = some.withColumn(before, F.coalesce(told, F.lit(0))).where(F.col(before) < chars)
     texts = some.groupBy("lang").agg(F.array_join(F.array_sort(F.collect_list("text")), "\n").alias("text"))
-    found = [tuple(row) for row in texts.limit(MAX_LANGUAGES + 1).collect()]
-    if len(found) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    return sorted(found)
+    return sorted(tuple(row) for row in texts.join(most, "lang").collect())
 
 
 def identify_languages(docs: DataFrame, samples: list[tuple[str, str]], carry: bool = False) -> DataFrame:

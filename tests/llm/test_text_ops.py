@@ -117,20 +117,26 @@ def test_phrases_are_longest_matches(samples, texts):
                 size = 0
                 while size < len(left) and left[: size + 1] in known:
                     size += 1
-                if size == 0:  # a character the sample lacks: from the root it is a phrase of its own
-                    left, n = left[1:], n + 1
-                    continue
-                left, n = left[size:], n + 1
-                if left and left[:1] not in known:  # else it ends the phrase before it
-                    left = left[1:]
+                left, n = left[max(1, size) :], n + 1  # a character that the sample lacks is a phrase of its own
             assert row[k] == n
 
 
-def test_blocks_cover_long_texts(monkeypatch):
-    parser = language_id.CrossParser([("a", "abcab"), ("b", "xyz")])
-    text = parser.alphabet.encode(("abc" * 700).encode())
-    whole = parser.phrases([text[:512], text[512:1024], text[1024:1536], text[1536:2048], text[2048:]]).sum(0)
-    assert parser.phrases([text]).tolist() == [whole.tolist()]
+@pytest.mark.parametrize("block", [1, 3, 7, 64])
+def test_blocks_do_not_show(monkeypatch, block):
+    pick = random.Random(block)
+    samples = [("a", "abcabcabcabd" * 30), ("b", "xyz aé"), ("c", "".join(pick.choices("abc d", k=300)))]
+    parser = language_id.CrossParser(samples)
+    texts = [parser.alphabet.encode("".join(pick.choices("abcdéx ", k=k)).encode()) for k in (0, 1, 5, 40, 200, 333)]
+    texts += [parser.alphabet.encode(("abc" * 150).encode()), parser.alphabet.encode(("abcabcabcabd" * 20).encode())]
+    whole = parser.phrases(texts).tolist()
+    monkeypatch.setattr(language_id, "BLOCK", block)
+    assert parser.phrases(texts).tolist() == whole
+
+
+def test_a_letter_that_a_language_lacks_costs_a_phrase():
+    parser = language_id.CrossParser([("has", "a b é xa by"), ("lacks", "a b xa by")])
+    codes = parser.alphabet.parse_form(parser.alphabet.encode("aéb".encode()))
+    assert parser.phrases([codes]).tolist() == [[3, 3]]
 
 
 def test_large_script_keeps_tables_small():
@@ -148,7 +154,8 @@ def test_large_script_keeps_tables_small():
         state = n = 0
         for c in text.tolist():
             if c not in follow[state]:
-                state, n = 0, n + 1
+                state, n = 0, n + (state != 0)
+            n += c not in follow[state]  # a letter that the sample lacks
             state = follow[state].get(c, 0)
         assert found == n + (state != 0)
 
@@ -187,11 +194,15 @@ def test_languages(spark):
     assert {r.lang_pred for r in language_id.identify_languages(docs, []).collect()} == {"und"}
 
 
-def test_too_many_languages_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(language_id, "MAX_LANGUAGES", 2)
-    docs = spark.createDataFrame([(i, "abc", f"l{i}") for i in range(3)], "doc_id long, text string, lang string")
-    with pytest.raises(ValueError, match="languages"):
-        language_id.language_samples(docs)
+def test_samples_are_whole_texts_of_bounded_rows(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "LONG_TEXT", 50)
+    rows = [(i, f"t{i} " + "w" * (i % 7), "few") for i in range(30)] + [(i, "x" * 400 + str(i), "long") for i in range(30, 33)] + [(40, "one", "rare")]
+    docs = spark.createDataFrame([*rows, (50, "y" * 90, "few")], "doc_id long, text string, lang string").repartition(4)
+    found = dict(language_id.language_samples(docs, rows=20, chars=60, languages=2))
+    assert sorted(found) == ["few", "long"]
+    assert found["long"] in {text for _, text, lang in rows if lang == "long"}
+    taken = found["few"].split("\n")
+    assert set(taken) <= {text for _, text, lang in rows if lang == "few"} and 60 <= sum(map(len, taken)) < 70
 
 
 # --- tokens ------------------------------------------------------------------------------------
