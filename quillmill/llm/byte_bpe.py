@@ -9,14 +9,14 @@ left drop out, until none is left. Decoding joins tokens with their bytes and ag
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import duckdb
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from quillmill.llm.words import pieces
 from quillmill.session import ship
@@ -31,9 +31,6 @@ SPACE_SAFE = (r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\
 """Patterns (fixed values) whose matches end before every space that is followed by no white space."""
 DECODED_AT_ONCE = 256
 """Texts of one decoding query."""
-MAX_VOCABULARY = 16 * 2**20
-"""Bytes of a rank file that may be sent to the executors; larger ones are refused."""
-
 LONG_WORD = 64
 """Bytes above which a word's pairs of lowest rank are contracted all at once, not one a step."""
 
@@ -78,49 +75,61 @@ WITH RECURSIVE state AS (
 SELECT word, id FROM state WHERE whole ORDER BY pos
 """
 _FIRST_ONLY = "AND pos = min(CASE WHEN hit THEN pos END) OVER (PARTITION BY word)"
+# A token's bytes are the characters of the same numbers.
 _DECODE = """
-SELECT text, string_agg(hex, '') AS hex FROM (SELECT text, hex FROM ids JOIN vocabulary USING (id) ORDER BY pos)
+SELECT text, string_agg(bytes, '') AS bytes FROM (SELECT text, bytes FROM ids JOIN vocabulary USING (id) ORDER BY pos)
 GROUP BY text
 """
+Batches = Iterator[pa.RecordBatch]
+
+
+def read_ranks(ranks: bytes) -> dict[bytes, int]:
+    """Tokens of a rank file (base64 token and rank a line)."""
+    return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in ranks.splitlines() if line)}
+
+
+def merge_table(ranks: dict[bytes, int]) -> np.ndarray:
+    """The rows (left, right, merged) of all merges, worked out once for all tasks."""
+    found = [(*parts, rank) for token, rank in ranks.items() if (parts := last_pair(ranks, token))]
+    return np.array(found, np.int32).reshape(-1, 3)
+
+
+def last_pair(ranks: dict[bytes, int], token: bytes) -> tuple[int, int] | None:
+    """The one pair from which merging makes this token (None for bytes, and where it never does).
+
+    Merges run by rank and place, so within the token's bytes they run as they would alone.
+    """
+    parts = [token[i : i + 1] for i in range(len(token))]
+    never = len(ranks) + 2**31
+    while len(parts) > 2:
+        found = [ranks.get(a + b, never) for a, b in zip(parts[:-1], parts[1:], strict=True)]
+        low = min(found)
+        if low == never:
+            return None
+        k = found.index(low)
+        parts[k : k + 2] = [parts[k] + parts[k + 1]]
+    return (ranks[parts[0]], ranks[parts[1]]) if len(parts) == 2 else None
 
 
 class ByteBPE:
-    """A rank file (base64 token and rank a line) and a pattern, as DuckDB tables."""
+    """A rank file and a pattern, as DuckDB tables."""
 
-    def __init__(self, ranks: bytes, pattern: str) -> None:
-        pairs = [line.split() for line in ranks.splitlines() if line]
-        self.ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
+    def __init__(self, ranks: bytes, pattern: str, merges: np.ndarray | None = None) -> None:
+        self.ranks = read_ranks(ranks)
         self.find = regex.compile(pattern).findall
         # the cut at spaces is sound for this family of patterns only; others take whole texts
         self.uneven = regex.compile(r" (?=\s|$)").search if pattern in SPACE_SAFE else bool
         self.known: dict[str, bytes] = {}
         self.spaced: dict[str, bytes] = {}
         self.byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
-        merges = [(*parts, rank) for token, rank in self.ranks.items() if (parts := self._last_pair(token))]
-        left, right, merged = (np.array(column, np.int32) for column in zip(*merges, strict=True))
+        left, right, merged = (merge_table(self.ranks) if merges is None else merges).T
         # Where every merge ranks above its parts, all pairs of a word's lowest rank can go in one
         # step: what they make ranks higher and has to wait for them anyway.
         self.long_query = _CONTRACT_ALL.format(only="" if (np.maximum(left, right) < merged).all() else _FIRST_ONLY)
         self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "600MB"})
         self._put("merges", pair=(left.astype(np.int64) << 32) + right, id=merged, keep=True)
         names = list(self.ranks)
-        self._put("vocabulary", id=np.array([self.ranks[t] for t in names], np.int32), hex=[t.hex() for t in names], keep=True)
-
-    def _last_pair(self, token: bytes) -> tuple[int, int] | None:
-        """The one pair from which merging makes this token (None for bytes, and where it never does).
-
-        Merges run by rank and place, so within the token's bytes they run as they would alone.
-        """
-        parts = [token[i : i + 1] for i in range(len(token))]
-        never = len(self.ranks) + 2**31
-        while len(parts) > 2:
-            found = [self.ranks.get(a + b, never) for a, b in zip(parts[:-1], parts[1:], strict=True)]
-            low = min(found)
-            if low == never:
-                return None
-            k = found.index(low)
-            parts[k : k + 2] = [parts[k] + parts[k + 1]]
-        return (self.ranks[parts[0]], self.ranks[parts[1]]) if len(parts) == 2 else None
+        self._put("vocabulary", id=np.array([self.ranks[t] for t in names], np.int32), bytes=[t.decode("latin-1") for t in names], keep=True)
 
     def _put(self, name: str, keep: bool = False, **columns) -> None:
         table = pa.table(columns)
@@ -199,34 +208,37 @@ class ByteBPE:
         if known != len(ids):
             raise ValueError("an id that the vocabulary lacks")
         out = [b""] * len(encoded)
-        for text, hexed in self.db.sql(_DECODE).fetchall():
-            out[text] = bytes.fromhex(hexed)
+        found = self.db.sql(_DECODE).to_arrow_table()
+        for text, raw in zip(found.column("text").to_pylist(), found.column("bytes").to_pylist(), strict=True):
+            out[text] = raw.encode("latin-1")
         return out
 
 
 @lru_cache(maxsize=2)
-def _coder(ranks: bytes, pattern: str) -> ByteBPE:
-    return ByteBPE(ranks, pattern)
+def _coder(ranks: bytes, pattern: str, merges: bytes) -> ByteBPE:
+    return ByteBPE(ranks, pattern, np.frombuffer(merges, np.int32).reshape(-1, 3))
 
 
-def _rank_file(path: str) -> bytes:
+def _sent(spark: SparkSession, path: str, pattern: str):
+    """The tokenizer for all tasks: one file of ranks, and the merges, which are no more than its tokens."""
     with open(path, "rb") as file:
-        ranks = file.read(MAX_VOCABULARY + 1)
-    if len(ranks) > MAX_VOCABULARY:
-        raise ValueError(f"{path} has more than {MAX_VOCABULARY} bytes")
-    return ranks
+        ranks = file.read()
+    return spark.sparkContext.broadcast((ranks, pattern, merge_table(read_ranks(ranks)).tobytes()))
 
 
-def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, decode: bool = False) -> DataFrame:
+def encode_texts(
+    docs: DataFrame, ranks_path: str, pattern: str, decode: bool = False, then: tuple[Callable[[Batches], Batches], str] | None = None,
+) -> DataFrame:
     """`doc_id, ids` for every row of `docs`: the token ids of its whole text, as array<int>.
 
     The rank file is read on the driver and sent to the executors. No special tokens: their
     strings are ordinary text. A null or empty text has no ids. Equal rows give equal rows;
     other columns are not looked at. With `decode` the ids are decoded again on the way, as
     `decode_ids` does: one more column, `decoded`, and one worker with these tables, not two.
+    `then` is a step over the result's batches in the same worker, and the columns it gives.
     """
     spark = ship(docs.sparkSession)
-    sent = spark.sparkContext.broadcast((_rank_file(ranks_path), pattern))
+    sent = _sent(spark, ranks_path, pattern)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(*sent.value)
@@ -242,6 +254,9 @@ def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, decode: bool =
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded"][: len(columns)])
 
     kind = f"doc_id {dict(docs.dtypes)['doc_id']}, ids array<int>" + ", decoded binary" * decode
+    if then:
+        step, kind = then
+        return docs.select("doc_id", "text").mapInArrow(lambda batches: step(encode(batches)), kind)
     return docs.select("doc_id", "text").mapInArrow(encode, kind)
 
 
@@ -251,7 +266,7 @@ def decode_ids(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     Null or empty ids give empty bytes. Bytes need not be whole characters, so they stay binary.
     """
     spark = ship(encoded.sparkSession)
-    sent = spark.sparkContext.broadcast((_rank_file(ranks_path), pattern))
+    sent = _sent(spark, ranks_path, pattern)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(*sent.value)

@@ -5,8 +5,10 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quillmill.llm.byte_bpe import decode_ids, encode_texts
@@ -65,22 +67,29 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe_digests(encode_texts(_table(spark, sf_dir, "documents"), RANKS, PATTERN, decode=True))
+    docs = _table(spark, sf_dir, "documents")
+    return encode_texts(docs, RANKS, PATTERN, decode=True, then=(digests, DIGESTS.format(dict(docs.dtypes)["doc_id"])))
 
 
-def bpe_digests(decoded: DataFrame) -> DataFrame:
+DIGESTS = "doc_id {}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+
+
+def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Number of ids, and digests of the ids as 32-bit integers and of the decoded bytes."""
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = [one.astype("<u4").tobytes() for one in batch.column("ids").to_numpy(zero_copy_only=False)]
-            yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array([len(one) // 4 for one in ids], pa.int64()),
-                pa.array([hashlib.sha256(one).hexdigest() for one in ids], pa.string()),
-                pa.array([hashlib.sha256(one.as_py()).hexdigest() for one in batch.column("decoded")], pa.string()),
-            ], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    kind = f"doc_id {dict(decoded.dtypes)['doc_id']}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return decoded.mapInArrow(digest, kind)
+    for batch in batches:
+        ids = batch.column("ids")
+        flat, ends = ids.flatten().to_numpy().astype("<u4").tobytes(), np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy())
+        starts = np.append(0, ends[:-1]) if len(ends) else ends
+        yield pa.RecordBatch.from_arrays([
+            batch.column("doc_id"), pa.array(ends - starts, pa.int64()),
+            pa.array([hashlib.sha256(flat[4 * a : 4 * b]).hexdigest() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], pa.string()),
+            pa.array([hashlib.sha256(one.as_buffer()).hexdigest() for one in batch.column("decoded")], pa.string()),
+        ], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+
+def bpe_digests(decoded: DataFrame) -> DataFrame:
+    """The same for a table of ids and decoded bytes."""
+    return decoded.mapInArrow(digests, DIGESTS.format(dict(decoded.dtypes)["doc_id"]))
 
 
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ import tiktoken
 from hypothesis import given, settings, strategies as st
 
 from quillmill.llm import byte_bpe, chat_format, language_id, warc
-from quillmill.llm.queries import PATTERN, RANKS, bpe_digests, held_out
+from quillmill.llm.queries import DIGESTS, PATTERN, RANKS, bpe_digests, digests, held_out
 
 
 def sha(data):
@@ -265,6 +265,8 @@ def test_bpe_tables(docs, texts, nothing, peer):
         want[i, len(ids), sha(np.array(ids, "<u4").tobytes()), sha(text or "")] += 1
     assert Counter(map(tuple, got)) == want
     assert Counter(map(tuple, bpe_digests(byte_bpe.encode_texts(docs, RANKS, PATTERN, decode=True)).collect())) == want
+    then = byte_bpe.encode_texts(docs, RANKS, PATTERN, decode=True, then=(digests, DIGESTS.format("long")))
+    assert Counter(map(tuple, then.collect())) == want
     assert byte_bpe.encode_texts(nothing, RANKS, PATTERN).collect() == []
 
 
