@@ -85,32 +85,57 @@ def _meet(state: Column, unit: Column, seed: int, unit_type: str) -> Column:
     return F.when(held.isNull(), first).otherwise(met)
 
 
-def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: float = LIMIT, seed: int = 1, block: int = BLOCK) -> DataFrame:
+def numbered(sizes: DataFrame) -> DataFrame:
+    """`number`: 0, 1, ... among the rows alike in id, source and size, so that each has a place of its own.
+
+    `part` says where a row was read. Rows are numbered within their part and the counts of earlier parts are added, so
+    no task sees all rows of a group. Tables without such groups, which one count tells, are left as they are.
+    """
+    key = F.to_json(F.struct("doc_id", "source", "size"))
+    keyed = sizes.withColumn("key", key)
+    repeated = keyed.groupBy("key").count().where("count > 1")
+    if repeated.isEmpty():
+        return sizes.withColumn("number", F.lit(0).cast("bigint")).drop("part")
+    before = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = keyed.groupBy("key", "part").count().select(
+        "key", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))
+    local = F.row_number().over(Window.partitionBy("key", "part").orderBy(F.lit(0)))
+    ranked = keyed.withColumn("local", local).join(starts, ["key", "part"])
+    return ranked.withColumn("number", F.col("start") + F.col("local") - 1).drop("key", "part", "start", "local")
+
+
+def mix_sources(
+    docs: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: float = LIMIT, seed: int = 1, block: int = BLOCK, keep: str | None = None,
+) -> DataFrame:
     """`doc_id, size, source_size, target, taken` for every row of `docs`; `copies` is taken / size.
 
     Size is the number of words. A document is taken whole, 0, 1 or more times, never above
     `limit` times rounded up; sources and targets as in `source_targets`, a null source being one of
     its own. Documents without words are taken 0 times (0 words). The outcome depends on ids,
-    sizes, sources and `seed` only, so reruns agree; rows that are equal in these are told
-    apart by nothing and share their chances. An empty table gives an empty result.
+    sizes, sources and `seed` only, so reruns agree; of rows that are equal in these each has its own chance, but
+    which is which is told by nothing. An empty table gives an empty result. `keep` names one more column to hand on.
     """
     ship(docs.sparkSession)
     seen = Observation()
-    told = stage(docs.select("doc_id", "source", count_words(F.col("text")).alias("size"))
-                 .observe(seen, F.count(F.lit(1)).alias("rows")), "sizes")
+    kept = F.col(f"`{keep}`") if keep else F.lit(None).cast("int")
+    told = stage(docs.select(
+        "doc_id", "source", count_words(F.col("text")).alias("size"), kept.alias("kept"), F.spark_partition_id().alias("part"),
+    ).observe(seen, F.count(F.lit(1)).alias("rows")), "sizes")
     sizes = told.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("documents"))
     counts = sizes.select("source", "documents")
     targets = stage(source_targets(sizes.drop("documents"), weights, share, limit).join(
         counts.withColumnRenamed("source", "other"), F.col("source").eqNullSafe(F.col("other"))).drop("other"), "targets")
 
-    row = "struct<doc_id:{},source_size:bigint,target:double>".format(dict(docs.dtypes)["doc_id"])
+    row = "struct<doc_id:{},source_size:bigint,target:double,kept:{}>".format(
+        dict(docs.dtypes)["doc_id"], dict(docs.dtypes)[keep] if keep else "int")
     unit_type = _UNIT.format(row=row)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    named = told.join(targets.withColumnRenamed("source", "its source"), F.col("source").eqNullSafe(F.col("its source"))).drop("its source")
+    named = numbered(told).join(targets.withColumnRenamed("source", "its source"), F.col("source").eqNullSafe(F.col("its source"))).drop("its source")
     unit = F.struct(
-        (-F.col("size")).alias("order"), F.concat_ws(":", F.col("doc_id").cast("string"), F.col("size").cast("string")).alias("id"), "size",
+        (-F.col("size")).alias("order"), F.concat_ws(
+            ":", F.col("doc_id").cast("string"), F.col("size").cast("string"), F.when(F.col("number") > 0, F.col("number").cast("string"))).alias("id"), "size",
         F.floor(rate).cast("bigint").alias("whole"), (rate - F.floor(rate)).alias("part"),
-        F.struct("doc_id", "source_size", "target").alias("row")).cast(unit_type)
+        F.struct("doc_id", "source_size", "target", "kept").alias("row")).cast(unit_type)
     units = named.select("source", "documents", unit.alias("unit"))
     whole = (F.col("unit.part") <= 0) | (F.col("unit.size") == 0)
     results = [units.where(whole).select("unit")]
@@ -137,6 +162,7 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: f
     for more in results[1:]:
         every = every.unionByName(more)
     return every.select(
-        "unit.row.doc_id", "unit.size", "unit.row.source_size", "unit.row.target",
+        "unit.row.doc_id", "unit.size", "unit.row.source_size", "unit.row.target", *([F.col("unit.row.kept").alias(keep)] if keep else []),
         F.when(F.col("unit.size") > 0, F.col("unit.whole")).otherwise(0).cast("bigint").alias("copies"),
-    ).select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+    ).select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", *([f"`{keep}`"] if keep else []))

@@ -69,6 +69,14 @@ def test_mix(spark):
     assert rows_of(pipeline.mix(spark, docs, "")) == want
 
 
+def test_mix_counts_rows_that_share_an_id(spark):
+    rows = [(1 if i % 2 else None, "w " * 10, None, "a", i, "x") for i in range(300)] + [(900, "w " * 3000, None, "b", 1, "x")]
+    got = pipeline.mix(spark, table(spark, rows), "").collect()
+    words = sum(10 for r in got if r.source == "a")
+    want = {r.target for r in mix_sources(table(spark, rows)).collect() if r.doc_id != 900}.pop()
+    assert abs(words - want) <= 10 and {tuple(r) for r in got} <= {tuple(r) for r in rows}
+
+
 def test_run_without_labels(spark, tmp_path):
     rows = some_rows()
     table(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")

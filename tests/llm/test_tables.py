@@ -1,5 +1,6 @@
 import math
 import random
+import time
 import re
 from collections import Counter, defaultdict
 from urllib.parse import urljoin
@@ -179,6 +180,18 @@ def test_chances_are_kept(spark):
     assert all(math.floor(rate[i]) * seeds <= total[i] <= math.ceil(rate[i]) * seeds for i in rate)
 
 
+def test_many_rows_alike(spark):
+    """100,000 rows that nothing tells apart, and one more: each is a unit of its own, and targets are met."""
+    docs = spark.range(100_000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "'one two three' AS text", "'a' AS source").unionByName(
+        spark.createDataFrame([(5, "x", "b")], "doc_id long, text string, source string"))
+    started = time.monotonic()
+    got = mixing.mix_sources(docs).groupBy("doc_id", "copies").count().collect()
+    assert time.monotonic() - started < 60
+    taken = sum(r.copies * r["count"] for r in got if r.doc_id is None)
+    assert sum(r["count"] for r in got if r.doc_id is None) == 100_000
+    assert abs(3 * taken - target_model({"a": 300_000, "b": 1})["a"]) <= 3
+
+
 def test_mix_odd_tables(spark):
     kind = "doc_id long, text string, source string"
     assert mixing.mix_sources(spark.createDataFrame([], kind)).collect() == []
