@@ -26,7 +26,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents whose language cannot be told: null or empty texts, and those without letters.
 
     Languages are learned from the documents' own labels; the label `und` names none. All other rows stay
-    as they are, also where no row has a label.
+    as they are, also where no row has a label. A label that the parse does not bear out is no reason to drop a
+    document: labels are noisy, and clean documents stay.
     """
     samples = [sample for sample in language_samples(docs) if sample[0] != UNKNOWN]
     # Numbered names, so that no column of the documents has a name of the result.
@@ -48,9 +49,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as many times as the mix takes it. Rows that share a doc_id are taken alike."""
-    copies = mix_sources(docs).groupBy(F.col("doc_id").alias("mixed id")).agg(F.max("copies").alias("copies of it"))
-    met = docs.join(copies, docs["doc_id"].eqNullSafe(copies["mixed id"])).where(F.col("copies of it") > 0)
+    """Each row as many times as the mix takes it, rows that share a doc_id or have none as well."""
+    row = "row of the mix"
+    told = stage(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    copies = mix_sources(told, keep=row).select(F.col(f"`{row}`").alias("mixed row"), F.col("copies").alias("copies of it")).where("`copies of it` > 0")
+    met = told.join(copies, told[row] == copies["mixed row"])
     times = F.explode(F.sequence(F.lit(1), F.col("copies of it").cast("int"))).alias("number of the copy")
     return met.select(*map(_quoted, docs.columns), times).drop("number of the copy")
 
