@@ -34,6 +34,10 @@ BANDS = 32
 LEVELS = 3
 BUCKET_LIMIT = 1000
 """Documents in a bucket above which its key is made longer (`LEVELS` times at most)."""
+SETS_AT_ONCE = 256
+"""Sets that get longer keys at a time."""
+LISTED_IDS = 4_000_000
+"""Ids of candidates that are sent to all tasks, to pick their texts; more of them meet the texts in a shuffle."""
 _SURE = 1e-6
 _LANES, _BITS = 192, 4
 _PARITIES = 512
@@ -118,7 +122,7 @@ def _sketches(size: int, bands: int, rows: int):
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id").slice(start, len(texts)),
                     pa.array([len(one) for one in sets], pa.int64()),
-                    pa.array([hashlib.blake2b(one.tobytes(), digest_size=16).digest() if f else None for one, f in zip(sets, full, strict=True)], pa.binary()),
+                    pa.array(map(_named, sets), pa.binary()),
                     pa.array([lanes[w].tolist() if f else None for w, f in zip(where, full, strict=True)], pa.list_(pa.int64())),
                     pa.array([odd[w].tolist() if f else None for w, f in zip(where, full, strict=True)], pa.list_(pa.int64())),
                     pa.array([keys[w] if f else None for w, f in zip(where, full, strict=True)], pa.list_(pa.int64())),
@@ -126,22 +130,30 @@ def _sketches(size: int, bands: int, rows: int):
     return sketch
 
 
+def _named(one: np.ndarray) -> bytes | None:
+    """What equal sets have in common and no others; null for empty ones."""
+    return hashlib.blake2b(one.tobytes(), digest_size=16).digest() if len(one) else None
+
+
 def _sets(size: int):
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, texts in pieces(batch):
-                sets = [one.view(np.int64) for one in shingle_sets(texts, size)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("rep").slice(start, len(texts)), pa.array(sets, pa.list_(pa.int64()))], ["rep", "shingles"])
+            for _, texts in pieces(batch):
+                sets = shingle_sets(texts, size)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(map(_named, sets), pa.binary()), pa.array([one.view(np.int64) for one in sets], pa.list_(pa.int64()))],
+                    ["same", "shingles"])
     return gather
 
 
 def _longer(bands: int, rows: int):
     def longer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [np.array(one, np.int64).view(np.uint64) for one in batch.column("shingles").to_numpy(zero_copy_only=False)]
-            keys = band_keys(one_permutation(sets, bands * rows), bands, rows)
-            yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(list(keys), pa.list_(pa.int64()))], ["rep", "keys"])
+        for whole in batches:
+            for start in range(0, whole.num_rows, SETS_AT_ONCE):
+                batch = whole.slice(start, SETS_AT_ONCE)
+                sets = [np.array(one, np.int64).view(np.uint64) for one in batch.column("shingles").to_numpy(zero_copy_only=False)]
+                keys = band_keys(one_permutation(sets, bands * rows), bands, rows)
+                yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(list(keys), pa.list_(pa.int64()))], ["rep", "keys"])
     return longer
 
 
@@ -190,9 +202,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
 
     Documents are linked if their shingle sets share `percent` of their union or more; a component
     is all that links connect, and its smallest doc_id names it. Words are lower-cased (A-Z).
-    A document without words links with nothing. Equal sets are one class from the start and
-    only their smallest doc_id is compared. A row without doc_id links with nothing, is its own
-    component (null) and is kept; rows that share a doc_id share its links, and each is given.
+    A document without words links with nothing. Equal sets are one class from the start, which
+    is compared once. A row without doc_id links with nothing, is its own component (null) and is
+    kept. Rows with words that share a doc_id are one document: what any of them links with is one
+    component, in whatever order they come, and each row is given.
     Other columns are not looked at; an empty table gives an empty result.
     """
     ship(docs.sparkSession)
@@ -201,16 +214,21 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
     kind = "doc_id long, n_shingles long, same binary, lanes array<long>, odd array<long>, keys array<long>"
     told = stage(read.mapInArrow(_sketches(size, bands, rows), kind), "sketches")
     linked = told.where("doc_id IS NOT NULL AND same IS NOT NULL")
-    classes = stage(linked.groupBy("same").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "classes")
-    reps = linked.join(classes.select("same", F.col("rep").alias("doc_id")), ["same", "doc_id"], "left_semi")
-    reps = reps.dropDuplicates(["doc_id", "same"]).withColumnRenamed("doc_id", "rep")
+    first = [F.first(name).alias(name) for name in ("n_shingles", "lanes", "odd", "keys")]
+    classes = linked.groupBy("same").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), *first)
+    reps = stage(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
+    classes = reps.select("same", "rep", "doc_id", "copies")
 
     members = reps.select("rep", F.explode("keys").alias("bucket"))
     crowded = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"), F.min("rep").alias("centre")).where("members > 1")
     met = stage(salted_join(members, crowded, ["bucket"], F.col("rep"), "inner"), "members")
-    told_reps = stage(reps.join(met.select("rep").distinct(), "rep", "left_semi").select("rep", "same", "n_shingles", "lanes", "odd"), "candidates")
-    texts = read.withColumnRenamed("doc_id", "rep").join(told_reps.select("rep"), "rep", "left_semi").dropDuplicates(["rep"])
-    sets = stage(texts.mapInArrow(_sets(size), "rep long, shingles array<long>"), "sets")
+    told_reps, number = stage_counted(reps.join(met.select("rep").distinct(), "rep", "left_semi").select(
+        "rep", "doc_id", "same", "n_shingles", "lanes", "odd"), "candidates")
+    ids = told_reps.select("doc_id").distinct()
+    texts = read.join(F.broadcast(ids) if number <= LISTED_IDS else ids, "doc_id", "left_semi").select("text")
+    # Texts that share a candidate's id have another set, so they find no class.
+    sets = texts.mapInArrow(_sets(size), "same binary, shingles array<long>").join(told_reps.select("same", "rep"), "same")
+    sets = stage(sets.groupBy("rep").agg(F.first("shingles").alias("shingles")), "sets")
 
     parts = [met.where(F.col("members") <= bucket_limit)]
     large, level = met.where(F.col("members") > bucket_limit), 1
@@ -231,12 +249,14 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
     stars = salted_join(pairs, _side(told_reps, "a"), ["a"], F.col("b"), "inner").join(_side(told_reps, "b"), "b")
     links = stage(_confirmed(stars.where(_plausible(percent)).select("a", "b", "n_a", "n_b"), sets, percent), "links")
     named = connected_components(links)
-    apart = buckets.select("bucket", "rep").join(named.withColumnRenamed("node", "rep"), "rep", "left").join(told_reps.drop("same"), "rep")
-    apart = stage(apart.select("bucket", "rep", F.coalesce("component", "rep").alias("component"), "n_shingles", "lanes", "odd"), "apart")
+    apart = buckets.select("bucket", "rep").join(named.withColumnRenamed("node", "rep"), "rep", "left")
+    apart = stage(apart.select("bucket", "rep", F.coalesce("component", "rep").alias("component")), "apart")
     counted = apart.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
     largest = counted.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("most"), F.count(F.lit(1)).alias("k")).where("k > 1")
     largest = largest.select("bucket", F.col("most.component").alias("largest"))
-    open_ = stage(salted_join(apart, largest, ["bucket"], F.col("rep"), "inner"), "open")
+    # Sketches are wide, so they join only where a bucket has several components.
+    open_ = salted_join(apart, largest, ["bucket"], F.col("rep"), "inner")
+    open_ = stage(open_.join(told_reps.select("rep", "n_shingles", "lanes", "odd"), "rep"), "open")
     outside = open_.where("component != largest").select(
         "bucket", F.col("rep").alias("a"), F.col("n_shingles").alias("n_a"), F.col("lanes").alias("lanes_a"),
         F.col("odd").alias("odd_a"), F.col("component").alias("mine"))
@@ -253,8 +273,18 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
     known = named.select(F.col("node").alias("a"), F.col("component").alias("b"))  # stars already: few rounds are left
     named = connected_components(known.unionByName(more))
 
-    by_class = classes.join(named.withColumnRenamed("node", "rep"), "rep", "left").where("copies > 1 OR component IS NOT NULL")
-    by_class = by_class.select("same", F.coalesce("component", "rep").alias("component_id"))
+    twice = linked.groupBy("doc_id").agg(F.min("same").alias("least"), F.max("same").alias("most")).where("least <> most")
+    twice, shared = stage_counted(twice.select("doc_id"), "shared_ids")
+    if shared:  # rows of one id are one document, whatever their texts
+        held = linked.join(twice, "doc_id", "left_semi").select("doc_id", "same").distinct().join(classes.select("same", "rep"), "same")
+        star = held.groupBy("doc_id").agg(F.min("rep").alias("b"))
+        one = held.join(star, "doc_id").select(F.col("rep").alias("a"), "b")
+        named = connected_components(named.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(one))
+
+    placed = classes.join(named.withColumnRenamed("node", "rep"), "rep", "left").where("copies > 1 OR component IS NOT NULL")
+    placed = stage(placed.select("same", F.coalesce("component", "rep").alias("component"), "doc_id"), "placed")
+    least = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    by_class = salted_join(placed.select("same", "component"), least, ["component"], F.col("same"), "inner").select("same", "component_id")
     result = salted_join(told.select("doc_id", "n_shingles", "same"), by_class, ["same"], F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return result.select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))

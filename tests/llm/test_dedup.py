@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -125,6 +126,35 @@ def test_near_family_whose_centre_is_unlike_the_others(spark):
     assert Counter(map(tuple, near_dedup.near_duplicates(docs).collect())) == near_model(rows, 85)
 
 
+@pytest.mark.parametrize("order", range(4))
+def test_near_rows_of_one_id_are_one_document(spark, order):
+    one, two = [f"a{i}" for i in range(60)], [f"b{i}" for i in range(60)]
+    rows = [(5, " ".join(one)), (5, " ".join(two)), (7, " ".join([*one[:-1], "x"])), (9, " ".join([*two[:-1], "x"])), (8, "other words here"), (5, None),
+            (11, " ".join(one)), (12, "lone text"), (12, "another lone text")]
+    random.Random(order).shuffle(rows)
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(5, 5), (7, 5), (9, 5), (11, 5), (8, 8), (12, 12)}
+    assert len(got) == len(rows) and all(r.kept == (r.doc_id == r.component_id) for r in got)
+
+
+def test_near_links_at_the_limit_are_found(spark):
+    """A few thousand documents, of which links lie between 80 and 90 %: none is lost or made up."""
+    pick = random.Random(12)
+    rows = []
+    for family in range(300):
+        base = [f"f{family}w{pick.randrange(10**6)}" for _ in range(pick.randint(40, 160))]
+        for copy in range(8):
+            words = list(base)
+            for _ in range(pick.randint(0, max(1, len(words) // 60))):
+                words[pick.randrange(len(words))] = f"e{pick.randrange(10**6)}"
+            rows.append((len(rows), " ".join(words)))
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).collect()
+    want = Counter()
+    for family in range(300):
+        want += near_model(rows[8 * family : 8 * family + 8], 85)
+    assert Counter(map(tuple, got)) == want
+
+
 def test_near_odd_tables(nothing, null_ids):
     assert near_dedup.near_duplicates(nothing).collect() == []
     got = sorted(map(tuple, near_dedup.near_duplicates(null_ids).collect()), key=repr)
