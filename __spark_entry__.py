@@ -27,7 +27,7 @@ from quillmill.session import ship
 from quillmill.sources.discovery import FEED_NAMES, bare_path, discover_feeds, read_settings, with_base_url
 from quillmill.sources.feeds import read_feeds, with_entry_index
 from quillmill.sources.fingerprint import CHUNK_BYTES, compare_fingerprints, fingerprints
-from quillmill.sources.sinks import export_files
+from quillmill.sources.sinks import clear_scratch, export_files, write_issues
 from quillmill.staging import stage, stage_counted, staging_path
 
 HERE = os.path.dirname(os.path.abspath(__file__))
@@ -151,7 +151,8 @@ def write_files(files: DataFrame, root: str) -> None:
     rows = files.select(
         F.lit(FEED).alias("feed_path"), F.lit(0).cast("bigint").alias("entry_index"), nothing.alias("id"), nothing.alias("title"),
         place, F.col("text").alias("document"))
-    failed = export_files(rows).where("error IS NOT NULL").first()
+    failed = stage(export_files(rows, root), "exported").where("error IS NOT NULL").first()
+    clear_scratch(root)
     if failed:
         raise OSError(failed.error)
 
@@ -376,6 +377,23 @@ def q_name_families(spark: SparkSession, sf_dir: str) -> DataFrame:
     return file_names(spark.sql(NAME_FAMILIES), width=32, family_rows=2).select("feed_path", "entry_index", "file_name")
 
 
+def q_document_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file a page, written twice as if a task had been lost, and read again; some have places that cannot be written to."""
+    _pages(spark, sf_dir)
+    root = written_files(spark, "SELECT 'blocked' AS name, CAST(count(*) AS STRING) AS text FROM pages")
+    rows = spark.sql(f"""
+        SELECT '{FEED}' AS feed_path, page_id AS entry_index, CAST(page_id AS STRING) AS id, 'T' AS title, html AS document,
+          concat('{root}/', CASE WHEN page_id % 50 = 7 THEN 'blocked/' ELSE 'posts [é]/' END, page_id, '.md') AS file_path FROM pages""")
+    for _ in range(2):
+        failed = stage(write_issues(export_files(rows, root)), "failed")
+    clear_scratch(root)
+    files = spark.read.option("recursiveFileLookup", True).text(f"{root}/", wholetext=True).select(
+        F.regexp_extract("_metadata.file_path", r"/([0-9]+)\.md$", 1).alias("name"), "value").where("name <> ''")
+    written = files.select(F.col("name").cast("bigint").alias("page_id"), F.lit("written").alias("state"), F.col("value").alias("document"))
+    return written.unionByName(failed.select(
+        F.col("entry_index").alias("page_id"), F.col("issue_type").alias("state"), F.lit(None).cast("string").alias("document")))
+
+
 def q_frontmatter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed_entries(spark, sf_dir).select("entry_index", docs.frontmatter_text().alias("frontmatter"))
 
@@ -504,7 +522,7 @@ FROM pages
 """
 POSTPROCESS_TEXT = """
 SELECT page_id, concat('  \n\n', CAST(page_id AS STRING), ' &amp;amp; &lt;b&gt; &copy;', chr(160), 'x   \r\n   \t \r\n\n\n\n',
-  replace(regexp_extract(html, '<title>(.*?)</title>', 1), '&', ''), '  ', chr(10), 'end &#65;&nbsp;', chr(13), 'z  ') AS source
+  replace(regexp_extract(html, '<title>(.*?)</title>', 1), '&', ''), '  ', chr(10), 'end &#65;&nbsp;', chr(13), 'z  ', chr(10), '```sql', chr(10), 'a &lt; b', chr(10), '```', chr(10), 'last &lt;', chr(10), '```', chr(10), '&copy;') AS source
 FROM pages
 """
 KNOWN_HTML = """
@@ -597,6 +615,7 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "frontmatter": q_frontmatter,
         "frontmatter_extra": q_frontmatter_extra,
         "documents": q_documents,
+        "document_export": q_document_export,
         "converted": q_converted,
         "issues": q_issues,
         "summary_counts": q_summary_counts,
@@ -958,8 +977,8 @@ def _oracle_sql() -> dict[str, str]:
             '| A | B |', '| --- | --- |', '| ' || page_id || ' | x |', '', 'H<sub>2</sub>O'], chr(10)) AS markdown,
             CAST(NULL AS VARCHAR) AS error FROM k""",
         "md_postprocess": f"WITH s AS ({POSTPROCESS_TEXT})" + r""" SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(
-            replace(replace(replace(replace(replace(replace(replace(source, '&lt;', '<'), '&gt;', '>'), '&copy;', chr(169)),
-              '&#65;', 'A'), '&nbsp;', ' '), '&amp;', '&'), chr(160), ' '),
+            replace(replace(replace(replace(replace(replace(replace(replace(replace(source, 'a &lt; b', 'a @lt; b'), '&lt;', '<'), '&gt;', '>'), '&copy;', chr(169)),
+              '&#65;', 'A'), '&nbsp;', ' '), '&amp;', '&'), '@lt;', '&lt;'), chr(160), ' '),
             '\r\n?', chr(10), 'g'), '(?m)[ \t]+$', '', 'g'), '\n{3,}', chr(10) || chr(10), 'g'), chr(10) || ' ') AS markdown FROM s""",
         "dedup_chains": f"""WITH RECURSIVE p AS ({CHAINED_POSTS}),
             line AS (SELECT *, row_number() OVER (ORDER BY entry_index) AS rn FROM p),
@@ -970,6 +989,8 @@ def _oracle_sql() -> dict[str, str]:
             SELECT feed_path, entry_index, id, nullif(url, '') AS url FROM line JOIN walk USING (rn) WHERE stays""",
         "name_families": f"""WITH RECURSIVE p AS ({NAME_FAMILIES}), given AS (SELECT entry_index AS g, right(feed_path, 1) AS feed, base FROM p),{_walk_names('named', 'given')}
             SELECT feed_path, entry_index, file_name FROM p JOIN named ON named.g = p.entry_index""",
+        "document_export": """SELECT page_id, CASE WHEN page_id % 50 = 7 THEN 'file_write_error' ELSE 'written' END AS state,
+            CASE WHEN page_id % 50 <> 7 THEN html END AS document FROM pages""",
         "frontmatter": _CTES + "SELECT entry_index, " + _FRONT.format(kind='"personal_analysis"', type=_PLAIN)
             + " || chr(10) || '---' || chr(10) AS frontmatter FROM e",
         "frontmatter_extra": _CTES + "SELECT entry_index, " + _FRONT.format(kind='"notes"', type="to_json(kind)")

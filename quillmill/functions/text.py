@@ -75,8 +75,12 @@ def _decompose(titles: pa.Array) -> pa.Array:
 
 
 def slug(c: Column, max_length: int = 60) -> Column:
-    """File-name-safe form of a title: ASCII letters, digits, ``_`` and single dashes."""
-    ascii_only = F.regexp_replace(_decompose(c), r"[^\x00-\x7F]", "")
+    """File-name-safe form of a title: ASCII letters, digits, ``_`` and single dashes.
+
+    Decomposition changes other characters only, so plain titles stay in the JVM.
+    """
+    decomposed = F.coalesce(_decompose(F.when(c.rlike(r"[^\x00-\x7F]"), c)), c)
+    ascii_only = F.regexp_replace(decomposed, r"[^\x00-\x7F]", "")
     words = F.lower(strip(F.regexp_replace(ascii_only, rf"[^\w{SPACE}-]", "")))
     dashed = F.regexp_replace(words, rf"[-{SPACE}]+", "-")
 

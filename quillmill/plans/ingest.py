@@ -27,7 +27,7 @@ from quillmill.sources.discovery import (
     FEED_NAMES, bare_path, discover_feeds, list_files, read_settings, read_settings_at, with_base_url)
 from quillmill.sources.feeds import read_feeds, with_entry_index
 from quillmill.sources.fingerprint import compare_fingerprints, fingerprints, mutation_issues
-from quillmill.sources.sinks import export_files, write_documents, write_issues, write_lines
+from quillmill.sources.sinks import clear_scratch, export_files, write_documents, write_issues, write_lines
 from quillmill.staging import size_shuffles, stage, stage_counted
 
 ROW = ["feed_path", "entry_index"]
@@ -134,7 +134,8 @@ def ingest(
 
     failed = None
     if one_file_per_post and not dry_run:
-        failed = stage(write_issues(export_files(documents)), "write_issues")
+        failed = stage(write_issues(export_files(documents, output_dir)), "write_issues")
+        clear_scratch(output_dir)
     written = documents.join(failed.select(ROW), ROW, "left_anti") if failed is not None else documents
     compared = compare_fingerprints(before, stage(fingerprints(spark, source, found, names), "after"))
 

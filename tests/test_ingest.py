@@ -150,3 +150,23 @@ def test_breakdown_of_nothing_is_empty(spark):
     rows = spark.createDataFrame([], "feed_path string, route string, kind string")
     made = report.summary(feeds, rows, rows, rows, rows, report.skipped_breakdown(rows), output_dir="out")
     assert made.select("skipped_breakdown").collect() == [({},)]
+
+
+def test_files_are_whole_or_absent(spark, tmp_path):
+    from quillmill.sources.sinks import SCRATCH, clear_scratch, export_files, write_issues
+
+    root = tmp_path / "out"
+    (root / SCRATCH).mkdir(parents=True)
+    (root / SCRATCH / "half a file of a lost task").write_text("ha")
+    (root / "blocked").write_text("a file")
+    (root / "old.md").write_text("longer text that was there before")
+    rows = [("f", 1, "a", "A", f"{root}/posts [1]/a.md", "é\n"), ("f", 2, "b", "B", f"{root}/blocked/b.md", "x"), ("f", 3, "c", "C", f"{root}/old.md", "new")]
+    documents = spark.createDataFrame(rows, "feed_path STRING, entry_index BIGINT, id STRING, title STRING, file_path STRING, document STRING")
+    for _ in range(2):
+        failed = write_issues(export_files(documents, str(root))).collect()
+    clear_scratch(str(root))
+    clear_scratch(str(root))
+    assert [(i.post_id, i.issue_type, i.severity) for i in failed] == [("b", "file_write_error", "error")]
+    found = {str(p.relative_to(root)): p.read_text() for p in root.rglob("*") if p.is_file() and p.suffix != ".crc"}
+    assert found == {"posts [1]/a.md": "é\n", "blocked": "a file", "old.md": "new"}
+    assert not (root / SCRATCH).exists()
