@@ -1,8 +1,9 @@
 """Conversations from reply trees: root-to-leaf paths by self-joins, written in a chat template.
 
-Paths are found by doubling: each round joins a table of (message, ancestor 2^k steps up) with
-itself and with the (leaf, message) pairs found so far, so a thread of any depth takes as
-many rounds as its length has binary digits. Only ids travel; texts join once, at the end.
+Paths are found by doubling: each round joins the table of (message, ancestor 2^k steps up) with itself, so a thread of
+any depth takes as many rounds as its length has binary digits. Then the leaves go the longest steps first: every
+message found on a path adds the one 2^k steps above it, from the last table back to the first, and each path is whole.
+Only ids travel; texts join once, at the end. Joins are plain ones, whose skewed partitions Spark splits.
 """
 
 from __future__ import annotations
@@ -14,12 +15,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window, functions as F
 
-from quillmill.llm.common import salted_join
 from quillmill.session import ship
 from quillmill.staging import stage, stage_counted
 
 OPEN, CLOSE = "### ", " </turn>\n"
-MAX_ROUNDS = 62
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 _ESCAPE = regex.compile(r"\\|#(?=#)|(?<=<)/(?=turn>)")
@@ -74,23 +73,19 @@ def root_to_leaf_paths(nodes: DataFrame) -> DataFrame:
     up = ids.where("p IS NOT NULL").join(there, ["t", "p"], "left_semi").select("t", "n", F.col("p").alias("a"))
     inner = up.select("t", F.col("a").alias("n")).distinct()
     leaves = ids.select("t", "n").join(inner, ["t", "n"], "left_anti")
-    # both kinds of rows take the same step: `leaf` is null for a message's own pointer
-    state = up.select("t", F.lit(None).cast(dict(ids.dtypes)["n"]).alias("leaf"), "n", "a", F.lit(1).cast("long").alias("far")).unionByName(
-        leaves.select("t", F.col("n").alias("leaf"), "n", F.col("n").alias("a"), F.lit(0).cast("long").alias("far")))
-    pointers, left = stage_counted(state, "paths")
-    rows, step = pointers, 1
-    for _ in range(MAX_ROUNDS):
-        jump = rows.where("leaf IS NULL").select("t", F.col("n").alias("a"), F.col("a").alias("next"))
-        moved = salted_join(rows, jump, ["t", "a"], F.coalesce("leaf", "n"), "inner").select(
-            "t", "leaf", "n", F.col("next").alias("a"), (F.col("far") + F.lit(step)).alias("far"))
-        kept = rows.where("leaf IS NOT NULL")
-        rows, _ = stage_counted(kept.unionByName(moved), "paths")
-        step *= 2
-        if rows.where("leaf IS NULL").isEmpty():
-            break
-        if step > left:
+    pointers, left = stage_counted(up.select("t", "n", "a"), "pointers")
+    levels, most = [], left
+    while left:
+        if 2 ** len(levels) > most:
             raise ValueError("a message is its own ancestor")
-    return rows.where("leaf IS NOT NULL").select(F.col("t.tree").alias("tree"), "leaf", F.col("a").alias("node"), F.col("far").alias("up"))
+        levels.append(pointers)
+        above = pointers.select("t", F.col("n").alias("a"), F.col("a").alias("next"))
+        pointers, left = stage_counted(pointers.join(above, ["t", "a"]).select("t", "n", F.col("next").alias("a")), "pointers")
+    rows = leaves.select("t", F.col("n").alias("leaf"), "n", F.lit(0).cast("long").alias("up"))
+    for k, level in reversed(list(enumerate(levels))):
+        rows = stage(rows, "paths")
+        rows = rows.unionByName(rows.join(level, ["t", "n"]).select("t", "leaf", F.col("a").alias("n"), (F.col("up") + F.lit(2**k)).alias("up")))
+    return rows.select(F.col("t.tree").alias("tree"), "leaf", F.col("n").alias("node"), "up")
 
 
 def format_trees(messages: DataFrame, best: int | None = None, trained: str = "assistant") -> DataFrame:
@@ -112,7 +107,7 @@ def format_trees(messages: DataFrame, best: int | None = None, trained: str = "a
         chosen = chosen.select(F.struct("tree").alias("t"), "leaf")
         paths = paths.withColumn("t", F.struct("tree")).join(chosen, ["t", "leaf"], "left_semi").drop("t")
     texts = messages.select(F.struct("tree").alias("t"), "node", "turns")
-    met = salted_join(paths.withColumn("t", F.struct("tree")), texts, ["t", "node"], F.col("leaf"), "inner")
+    met = paths.withColumn("t", F.struct("tree")).join(texts, ["t", "node"])
     whole = met.groupBy("tree", "leaf").agg(F.array_sort(F.collect_list(F.struct((-F.col("up")).alias("place"), "turns"))).alias("turns"))
     turns = F.flatten(F.transform("turns", lambda x: x["turns"]))
     kinds = dict(whole.dtypes)
@@ -133,15 +128,17 @@ def as_threads(conversations: DataFrame) -> DataFrame:
     """Conversations in rows by turn (conv_id, turn, role, text) as trees without branches.
 
     Rows of the same turn are one message; they come in order of role and text, and a repeated row
-    is repeated. Null turns come first. A conversation becomes one output cell, so listing its
+    is repeated. Null turns come first. Rows without conv_id are one conversation together. A message scores by the
+    characters of its texts. A conversation becomes one output cell, so listing its
     turn numbers in one place is no more than what it ends as.
     """
     said = F.struct(F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     turns = F.array_sort(F.collect_list(said))
     turn = F.coalesce(F.col("turn").cast("long"), F.lit(-(2**63)))
     nodes = conversations.groupBy(F.col("conv_id").alias("tree"), turn.alias("node")).agg(turns.alias("turns"))
+    score = F.aggregate("turns", F.lit(0.0), lambda total, one: total + F.length(one["text"]))
     before = F.lag("node").over(Window.partitionBy("tree").orderBy("node"))
-    return nodes.select("tree", "node", before.alias("parent"), "turns", F.lit(0.0).alias("score"))
+    return nodes.select("tree", "node", before.alias("parent"), "turns", score.alias("score"))
 
 
 def read_back(formatted: DataFrame) -> DataFrame:

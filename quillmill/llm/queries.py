@@ -43,7 +43,7 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     odd = spark.range(2).select(
         F.lit(-7).alias("conv_id"), F.col("id").alias("turn"),
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(ODD_TURN).alias("text"))
-    return read_back(format_trees(as_threads(given.unionByName(odd)))).withColumnRenamed("tree", "conv_id")
+    return read_back(format_trees(as_threads(given.unionByName(odd)), best=1)).withColumnRenamed("tree", "conv_id")
 
 
 def held_out(doc_id) -> F.Column:
