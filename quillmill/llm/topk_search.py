@@ -4,7 +4,9 @@ For vectors q and x, 2 q.x = |q|^2 + |x|^2 - |q - x|^2, and for every pivot p th
 |q - x| >= | |q - p| - |x - p| |. The largest of these bounds over all pivots bounds the score from above. Candidates
 are evaluated in the order of their bounds, until the next bound is below the k-th best score.
 
-Queries and candidates are dealt into blocks; every pair of blocks meets once, by an equi-join.
+Queries and candidates are dealt into blocks; every pair of blocks meets once, by an equi-join. Blocks of candidates
+come in waves, the first ones small: the k-th best score that a query has found in one wave is where it stops in the
+next, so pivots rule out by what all earlier blocks hold.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from quillmill.session import ship
-from quillmill.staging import stage_counted
+from quillmill.staging import stage, stage_counted
 
 PIVOTS = 24
 BLOCK = 4096
@@ -25,6 +27,8 @@ BLOCK = 4096
 STEP = 64
 """Candidates that a query evaluates first."""
 SCALE = 256
+WAVES = 3
+"""Waves of candidate blocks; each has eight times as many as the one before, the last one all that are left."""
 
 
 def quantise(batch: pa.RecordBatch) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -44,11 +48,12 @@ def distances(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(((vectors[:, None, :].astype(np.float64) - pivots[None].astype(np.float64)) ** 2).sum(2))
 
 
-def search_block(q_ids, q, q_far, ids, x, x_far, k: int) -> list[tuple[int, int, int]]:
+def search_block(q_ids, q, q_far, ids, x, x_far, k: int, floors: dict[int, int] | None = None) -> list[tuple[int, int, int]]:
     """(query, candidate, score) of each query's k best in the block, ties to the smaller id.
 
     A candidate with the query's own id is not one. Bounds get a margin for rounding. Each step
-    evaluates twice as many candidates as the last.
+    evaluates twice as many candidates as the last. `floors` are scores of which a query has k elsewhere;
+    candidates below them are left out.
     """
     out = []
     q_real, x_real = q.astype(np.float64), x.astype(np.float64)
@@ -63,10 +68,16 @@ def search_block(q_ids, q, q_far, ids, x, x_far, k: int) -> list[tuple[int, int,
         order = np.argsort(-bound, kind="stable")[: len(ids) - np.count_nonzero(own)]
         best_ids, best = np.zeros(0, np.int64), np.zeros(0, np.int64)
         start, step = 0, STEP
+        floor = (floors or {}).get(int(q_ids[i]))
         while start < len(order) and not (len(best) == k and bound[order[start]] < best[-1]):
+            if floor is not None and bound[order[start]] < floor:
+                break
             some = order[start : start + step]
             scores = (x_real[some] @ q_real[i]).astype(np.int64) if exact else x[some] @ q[i]
             start, step = start + step, 2 * step
+            if floor is not None:
+                well = scores >= floor
+                some, scores = some[well], scores[well]
             if len(best) == k:
                 well = scores >= best[-1]
                 some, scores = some[well], scores[well]
@@ -107,10 +118,13 @@ def _search(k: int):
                 x = np.frombuffer(row["vectors"], np.int64).reshape(len(ids), size)
                 q_far = np.frombuffer(row["q_far"], np.float64).reshape(len(q_ids), -1)
                 x_far = np.frombuffer(row["far"], np.float64).reshape(len(ids), -1)
-                found = search_block(q_ids, q, q_far, ids, x, x_far, k)
+                floors = {floor["query_id"]: floor["score"] for floor in row["floors"] or ()}
+                found = search_block(q_ids, q, q_far, ids, x, x_far, k, floors)
                 if found:
+                    columns = [pa.array(c, pa.int64()) for c in zip(*found, strict=True)]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["query_id", "vec_id", "score"])
+                        [pa.array([row["q_block"]] * len(found), pa.int32()), pa.array([size] * len(found), pa.int32()), *columns],
+                        ["q_block", "size", "query_id", "vec_id", "score"])
     return search
 
 
@@ -146,11 +160,26 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, pivots: int = PIVOTS,
         place = F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(n)).cast("int")
         return df.withColumn("block", place).groupBy("block").applyInArrow(_packed(sent), kind)
 
-    theirs = blocks_of(told, n_blocks).withColumn("q_block", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
+    theirs = stage(blocks_of(told, n_blocks), "blocks")
     asked = blocks_of(told.where(F.col("vec_id") % every == 0), q_blocks)
-    asked = asked.select("size", F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"), F.col("far").alias("q_far"))
-    asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    met = asked.join(theirs, ["size", "block", "q_block"])
-    found = met.mapInArrow(_search(k), "query_id long, vec_id long, score long")
+    asked = stage(asked.select("size", F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"), F.col("far").alias("q_far")), "queries")
+    # The query's own block and size, since rows that share an id may be in several.
+    own, kinds = ["q_block", "size", "query_id"], "q_block int, size int, query_id long, vec_id long, score long"
+    best, start = None, 0
+    for wave in range(WAVES):
+        stop = n_blocks if wave == WAVES - 1 else min(n_blocks, start + max(1, n_blocks * 8**wave // 8 ** (WAVES - 1)))
+        if start == stop:
+            break
+        some = theirs.where(F.col("block").between(start, stop - 1)).withColumn("q_block", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
+        with_floors = asked.withColumn("floors", F.lit(None).cast("array<struct<query_id: long, score: long>>"))
+        if best is not None:
+            reached = best.where(F.col("place") == k).groupBy("q_block", "size").agg(F.collect_list(F.struct("query_id", "score")).alias("floors"))
+            with_floors = asked.join(reached, ["q_block", "size"], "left")
+        blocks = F.explode(F.sequence(F.lit(start), F.lit(stop - 1)))
+        met = with_floors.withColumn("block", blocks).join(some, ["size", "block", "q_block"])
+        found = met.mapInArrow(_search(k), kinds)
+        found = found if best is None else found.unionByName(best.drop("place"))
+        place = F.row_number().over(Window.partitionBy(*own).orderBy(F.desc("score"), "vec_id"))
+        best, start = stage(found.withColumn("place", place).where(F.col("place") <= k), "best"), stop
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
