@@ -188,9 +188,9 @@ def feed_number(path: str) -> Column:
     return F.regexp_extract(path, "/feed=([0-9]+)/", 1).cast("bigint")
 
 
-def decided_entries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, job.Decided]:
+def decided_entries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, job.Decided, int]:
     entries, total = stage_counted(parsed_entries(spark, sf_dir), "entries")
-    return entries, job.decide(entries, total)
+    return entries, job.decide(entries, total), total
 
 
 def extracted(name: str, *columns: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -444,7 +444,12 @@ def q_embeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _report_parts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    entries, decided = decided_entries(spark, sf_dir)
+    return _counted_report_parts(spark, sf_dir)[0]
+
+
+def _counted_report_parts(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], int]:
+    """The tables of the report, and the number of entries."""
+    entries, decided, total = decided_entries(spark, sf_dir)
     duplicates = stage(decided.duplicates, "duplicates")
     skipped = ops.skipped(entries)
     breakdown = report.skipped_breakdown(skipped)
@@ -455,7 +460,7 @@ def _report_parts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     summary = report.summary(
         feeds, entries, converted, duplicates, issues, breakdown, output_dir="output/posts", duration_seconds=0.0)
     return dict(summary=summary, breakdown=breakdown, duplicates=duplicates, issues=issues,
-                converted=converted, skipped=skipped)
+                converted=converted, skipped=skipped), total
 
 
 def q_converted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -479,9 +484,8 @@ def q_report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_json_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = _report_parts(spark, sf_dir)
-    total = feed_entries(spark, sf_dir).count() * 6
-    return report.json_lines(**parts, total=total).select("section", "sort", "entry_index", "seq", "line")
+    parts, total = _counted_report_parts(spark, sf_dir)
+    return report.json_lines(**parts, total=total * 6).select("section", "sort", "entry_index", "seq", "line")
 
 
 def _ingested(spark: SparkSession, sf_dir: str) -> job.Ingested:
