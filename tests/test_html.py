@@ -1,8 +1,10 @@
 """Markdown goldens, and the node extractors against the same snippets."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from quillmill.functions import text
 from quillmill.functions.markup import read_nodes
 from quillmill.operators import nodes
 from quillmill.operators.markdown import conversion_issues, html_to_markdown
@@ -144,3 +146,28 @@ def test_embeds(spark):
     df = nodes.with_nodes(spark.createDataFrame([(1, "<p><video><source src=a></video>")], "id INT, html STRING"))
     assert [tuple(r) for r in nodes.embeds(df, ["id"]).collect()] == [
         (1, 0, "video", '<video><source src="a"/></video>')]
+
+
+def test_a_batch_is_read_in_portions():
+    documents = ["<p>" + "é" * size for size in (text.PORTION_BYTES, 1, 2)] + [None, "<b>x" * 3] + ["y" * 1000] * 3000
+    portions = list(nodes.parsed_html.func(iter([pa.array(documents[:4]), pa.array([], pa.string()), pa.array(documents[4:])])))
+    assert [len(portion) for portion in portions] == [1, 3, 0, 1049, 1048, 904]
+    found = [document for portion in portions for document in portion.to_pylist()]
+    assert [[n["text"] for n in document["nodes"]] for document in found] == [read_nodes(html or "")["text"] for html in documents]
+    assert [dict(found[4]["nodes"][n])["parent"] for n in (2, 4)] == [0, 2]
+
+
+def test_references_are_resolved_in_portions():
+    texts = ["&amp;" * 200_000, None, "a", "&lt;" + "b" * text.PORTION_BYTES]
+    portions = list(text._decode.func(iter([pa.array(texts)])))
+    assert [portion.to_pylist() for portion in portions] == [["&" * 200_000, None, "a"], ["<" + "b" * text.PORTION_BYTES]]
+
+
+def test_portions_across_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 700)
+    try:
+        df = spark.range(3000).selectExpr("id", "concat(repeat('x', 1500), '<i>', id, '</i>') AS html").coalesce(1)
+        found = nodes.with_nodes(df).select("id", F.col("nodes")[2]["text"].alias("text")).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted((row.id, row.text) for row in found) == [(n, str(n)) for n in range(3000)]
