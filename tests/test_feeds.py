@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from feeds import LEGACY, SETTINGS, TAKEOUT
 from quillmill.operators.entries import parse_entries
-from quillmill.sources.discovery import discover_feeds, read_settings, with_base_url
+from quillmill.sources.discovery import discover_feeds, list_files, read_settings, with_base_url
+from quillmill.sources import feeds as reader
 from quillmill.sources.feeds import read_feeds, with_entry_index
 from quillmill.sources.fingerprint import compare_fingerprints, fingerprints, mutation_issues
 from quillmill.staging import stage
@@ -282,3 +283,58 @@ def test_large_files_are_hashed_too(spark, tmp_path):
     os.utime(large, ns=(times.st_atime_ns, times.st_mtime_ns))
     compared = compare_fingerprints(before, stage(fingerprints(spark, str(tmp_path)), "after"))
     assert sorted((r.feed_path[-9:], r.unmodified) for r in compared.collect()) == [("one%20.xml"[-9:], False), ("small.xml", True)]
+
+
+ODD_FEEDS = {
+    "mark.atom": b"\xef\xbb\xbf<?xml version='1.0'?><feed><entry><id>a</id></entry>\n<entry><id>b</id></entry></feed>",
+    "empty.atom": b"", "cut.atom": b"<feed><entry><id>a</id></entry>", "bytes.atom": b"<entry><id>\xff\xc3</id></entry><x></</entry>",
+    "hidden.atom": b"<!-- </entry> --><entry><id>a</id><!-- </entry><entry> --></entry><entry><id>b</id></entry>",
+    "inner.atom": b"<entry><id>a</id><x><entry a='1'/></x></entry> <entry><id>b <entry><id>c</id></entry></id></entry>",
+    "x%20+[y]{z}.atom": "<feed><entry><id>\u00e9</id></entry></feed>".encode(),
+}
+
+
+@pytest.mark.parametrize("small", [0, 60, 1 << 20])
+def test_listed_feeds_are_opened_by_their_names(spark, tmp_path, monkeypatch, small):
+    for name, data in ODD_FEEDS.items():
+        (tmp_path / name).write_bytes(data)
+    monkeypatch.setattr(reader, "SMALL_BYTES", small)
+    listed = stage(list_files(spark, str(tmp_path)).withColumnRenamed("path", "feed_path").where("feed_path NOT LIKE '%/mark.atom'"), "listed")
+
+    def entries(feeds):
+        rows = read_feeds(spark, str(tmp_path), feeds).orderBy("feed_path", "block", "piece", "sub").collect()
+        return [(row.feed_path, row.id, row.tags) for row in rows]
+
+    assert entries(listed) == entries(listed.select("feed_path"))
+    assert {path.rpartition("/")[2] for path, *_ in entries(listed)} == set(ODD_FEEDS) - {"mark.atom", "empty.atom"}
+
+
+def test_pieces_are_those_of_the_text_source(spark, tmp_path):
+    for name, data in ODD_FEEDS.items():
+        path = tmp_path / name.replace("[y]{z}", "")
+        path.write_bytes(data)
+        rows = spark.read.text(str(path), lineSep=reader.CUT).selectExpr("CAST(value AS BINARY) AS value").collect()
+        assert [bytes(row.value) for row in rows] == reader.cut_bytes(data)
+
+
+def test_files_that_are_not_listed_are_not_read(spark, tmp_path):
+    (tmp_path / "a.atom").write_text("<entry><id>a</id></entry>")
+    (tmp_path / "b.gz").write_bytes(b"not packed")
+    feeds = stage(list_files(spark, str(tmp_path)).withColumnRenamed("path", "feed_path").where("feed_path LIKE '%.atom'"), "listed")
+    assert [row.id for row in read_feeds(spark, str(tmp_path), feeds).collect()] == [["a"]]
+
+
+def test_many_folders_are_listed_in_few_tasks(spark, tmp_path):
+    for n in range(200):
+        (tmp_path / f"b{n}").mkdir()
+        (tmp_path / f"b{n}" / "feed.atom").write_text("<feed/>")
+    before = spark.conf.get(reader.LISTING_TASKS)
+    spark.sparkContext.setJobGroup("listing", "")
+    try:
+        assert discover_feeds(spark, str(tmp_path), 1).select("size").distinct().collect() == [(7,)]
+        tracker = spark.sparkContext.statusTracker()
+        stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert max(info.numTasks for info in stages if info) <= 64 == reader.TASKS_PER_CORE * 8
+    assert spark.conf.get(reader.LISTING_TASKS) == before
