@@ -1,12 +1,13 @@
 """Dedup and naming against plain sequential models."""
 
+import os
 import random
 
 import pytest
 
 from quillmill.operators.dedup import duplicate_posts, kept_posts
 from quillmill.operators.names import file_names
-from quillmill.operators.skew import keyed_join, running_total
+from quillmill.operators.skew import keyed_join, running_total, spread_rows
 
 POSTS = "feed_path STRING, entry_index BIGINT, id STRING, title STRING, url STRING"
 
@@ -112,3 +113,12 @@ def test_running_total(spark):
         sums[key] += value
         want[key, at] = sums[key]
     assert {(g.k, g.at): g.total for g in got.collect()} == want
+
+
+def test_small_groups_are_spread_over_tasks(spark):
+    rows = spark.createDataFrame([(f"f{n % 40}", f"b{n % 3}") for n in range(400)], "feed_path STRING, family STRING")
+    count = lambda group: group[:1].assign(task=os.getpid(), rows=len(group))
+    found = spread_rows(rows, "feed_path", "family").groupBy("feed_path", "family").applyInPandas(
+        count, "feed_path STRING, family STRING, task LONG, rows LONG")
+    assert found.rdd.getNumPartitions() >= 8
+    assert found.count() == 120 and sum(row.rows for row in found.collect()) == 400
