@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from feeds import LEGACY, SETTINGS, TAKEOUT
 from quillmill.operators.entries import parse_entries
-from quillmill.sources.discovery import discover_feeds, list_files, read_settings, with_base_url
+from quillmill.sources.discovery import (
+    READ_BUFFER, READ_COLUMNS, SETTINGS_COLUMNS, discover_feeds, list_files, read_settings, with_base_url)
 from quillmill.sources import feeds as reader
 from quillmill.sources.feeds import read_feeds, with_entry_index
 from quillmill.sources.fingerprint import compare_fingerprints, fingerprints, mutation_issues
@@ -242,6 +243,48 @@ def test_settings_of_one_file(spark, tmp_path, content, expected):
     assert found == ([f"https://{expected}.blogspot.com"] if expected else [None]) or (not content.strip() and found == [])
 
 
+def wide_settings(columns, at, eol="\r\n", value='"near"'):
+    names = [f'"n,{n}"' if n % 10 == 3 else f"n{n}" for n in range(columns)]
+    values = [f'"a ""b"", {n}{eol}c"' if n % 7 == 2 else "" if n % 5 == 1 else f"v{n}" for n in range(columns)]
+    names[at], values[at] = "blog_subdomain", value
+    return f"{eol}{','.join(names)}{eol}{eol}{','.join(values)}{eol}other{eol}".encode()
+
+
+@pytest.mark.parametrize("eol", ["\n", "\r\n", "\r"])
+@pytest.mark.parametrize("columns, at", [(n, at) for n in (READ_COLUMNS - 1, READ_COLUMNS, READ_COLUMNS + 1, 200) for at in (0, n - 1)])
+def test_settings_of_many_columns(spark, tmp_path, columns, at, eol):
+    (tmp_path / "settings.csv").write_bytes(wide_settings(columns, at, eol))
+    assert [r.base_url for r in read_settings(spark, str(tmp_path)).collect()] == ["https://near.blogspot.com"]
+
+
+def test_settings_with_cells_larger_than_what_is_read_at_once(spark, tmp_path):
+    long = '"' + "w, \"\"" * int(READ_BUFFER) + '"'
+    for name, columns in (("few", 3), ("many", READ_COLUMNS + 10)):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "settings.csv").write_text(wide_settings(columns, columns - 1, "\n").decode().replace("v0", long))
+    assert [r.base_url for r in read_settings(spark, str(tmp_path)).collect()] == ["https://near.blogspot.com"] * 2
+
+
+def test_settings_files_are_opened_once(spark, tmp_path):
+    for n in range(3):
+        (tmp_path / "Blogs" / f"b{n}").mkdir(parents=True)
+        (tmp_path / "Blogs" / f"b{n}" / "settings.csv").write_text(f"blog_subdomain\nb{n}\n")
+    feeds = spark.createDataFrame([(f"{tmp_path}/Blogs/b{n}/feed.atom",) for n in range(3)], "feed_path STRING")
+    before = spark.conf.get(reader.OPEN_COST)
+    # Counting hot keys and either side of the join would else read all files again.
+    found = with_base_url(feeds, read_settings(spark, str(tmp_path)), 10**9)
+    assert not [path for path in found.inputFiles() if path.endswith("settings.csv")]
+    assert spark.conf.get(reader.OPEN_COST) == before
+    assert sorted(r.base_url for r in found.collect()) == [f"https://b{n}.blogspot.com" for n in range(3)]
+
+
+def test_settings_are_read_with_few_columns(spark, tmp_path):
+    # The CSV reader is set up anew for each file, in a time that grows with the square of the columns.
+    (tmp_path / "settings.csv").write_text("blog_subdomain\nx\n")
+    scanned = read_settings(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().collectLeaves().head().output().size()
+    assert scanned <= READ_COLUMNS + 3 < SETTINGS_COLUMNS
+
+
 def test_fingerprints(spark, tmp_path):
     for name in ("a", "b", "c"):
         (tmp_path / name).write_text(name)
