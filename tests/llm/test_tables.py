@@ -230,6 +230,51 @@ def test_top_k(spark, block, pivots):
     assert topk_search.top_k(df.limit(0)).collect() == []
 
 
+def test_copies_of_blocks_never_go_through_the_driver(spark, monkeypatch):
+    """Each block of queries is copied for each of candidates, which Spark's size of a plan does not tell."""
+    rng = np.random.default_rng(3)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(0, 1, (400, 5)))]
+    plans = []
+    real = topk_search.stage
+
+    def staged(df, name):
+        out = real(df, name)
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(topk_search, "stage", staged)
+    got = topk_search.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), 5, 2, 4, 20)
+    assert Counter(map(tuple, got.collect())) == search_model(rows, 5, 2)
+    assert sum("Join" in plan for plan in plans) == topk_search.WAVES
+    assert not [plan for plan in plans if "BroadcastExchange" in plan]
+
+
+def test_blocks_travel_in_narrow_integers():
+    for top, width in ((2**15 - 1, 2), (2**15, 4), (2**31, 8)):
+        x = np.array([[top, -5], [0, -top]], np.int64)
+        data = topk_search.narrow(x).tobytes()
+        assert len(data) == 4 * width
+        assert topk_search.widened(data, 2, 2).tolist() == x.tolist()
+    assert topk_search.widened(topk_search.narrow(np.zeros((3, 0), np.int64)).tobytes(), 3, 0).shape == (3, 0)
+
+
+@pytest.mark.parametrize("spread", [1, 2000])
+def test_floors_leave_out_only_what_is_below(spread):
+    """Both where bounds rule out little (one cloud) and where they rule out most (clouds far apart)."""
+    rng = np.random.default_rng(2)
+    x = (rng.integers(0, 9, (1500, 1)) * spread + rng.integers(-9, 10, (1500, 6))).astype(np.int64)
+    far = topk_search.distances(x, x[:8])
+    ids = np.arange(1500) // 2
+    scores = x[:40] @ x.T
+    floors = {i: int(np.sort(scores[2 * i])[-9]) for i in range(0, 20, 2)}
+    got = topk_search.search_block(ids[:40:2], x[:40:2], far[:40:2], ids, x, far, 5, floors)
+    want = []
+    for i in range(20):
+        order = [j for j in np.lexsort((ids, -scores[2 * i])) if ids[j] != i and scores[2 * i, j] >= floors.get(i, -np.inf)][:5]
+        want += [(i, int(ids[j]), int(scores[2 * i, j])) for j in order]
+    assert got == want
+
+
 def test_bounds_stop_the_search(monkeypatch):
     """Near vectors come first, so most candidates are never evaluated; the result stays exact."""
     rng = np.random.default_rng(1)
