@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from feeds import LEGACY, SETTINGS, TAKEOUT
 from quillmill.operators.entries import parse_entries
+from quillmill.sources import discovery
 from quillmill.sources.discovery import (
     READ_BUFFER, READ_COLUMNS, SETTINGS_COLUMNS, discover_feeds, list_files, read_settings, with_base_url)
 from quillmill.sources import feeds as reader
@@ -367,6 +368,49 @@ def test_files_that_are_not_listed_are_not_read(spark, tmp_path):
     assert [row.id for row in read_feeds(spark, str(tmp_path), feeds).collect()] == [["a"]]
 
 
+@pytest.mark.parametrize("folders", [1, 3, 1000])
+def test_files_are_listed_in_tasks_as_by_spark(spark, tmp_path, monkeypatch, folders):
+    root = tmp_path / "a b%20[c]{d,e}*"
+    for name in ("feed.atom", "x/feed.atom", "x/y/z/é.atom", "x/y/z/w/q.xml", ".h/feed.atom", "_h/feed.atom", "_k=1/feed.atom", "x/_feed.atom",
+                 "x/.a.atom", "x/a.atom._COPYING_", "_metadata.xml", "b:c/feed.atom", "s/settings.csv", "s/t.txt", "s/xml", "s/feed.atom.xml/feed.atom"):
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_text("x" * len(name))
+    (root / "empty").mkdir()
+    (root / "s" / "e.xml").write_text("")
+    (root / "s" / "gone.xml").symlink_to(root / "nowhere")
+    (root / "linked").symlink_to(root / "x")
+    monkeypatch.setattr(discovery, "FOLDERS", folders)
+    for pattern in ("*", discovery.FEED_NAMES, "settings.csv"):
+        found = list_files(spark, str(root), pattern)
+        # The driver knows staged tables only.
+        assert not [path for path in found.inputFiles() if not path.endswith(".parquet")]
+        with monkeypatch.context() as patch:
+            patch.setattr(discovery, "_local_folder", lambda spark, root: None)
+            by_spark = list_files(spark, str(root), pattern)
+        assert set(found.collect()) ^ set(by_spark.collect()) == set()
+        assert found.count() == by_spark.count() > 0
+
+
+def test_settings_are_read_in_portions(spark, tmp_path, monkeypatch):
+    names = [f"b{n} [x]{{y}}*%20" for n in range(11)]
+    for n, name in enumerate(names):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "settings.csv").write_text(f"blog_name,blog_subdomain\n\"a,\nb\",b{n}\n")
+    cached, cost = spark.conf.get(reader.FILE_CACHE), spark.conf.get(reader.OPEN_COST)
+    read, real = [], discovery._settings
+    monkeypatch.setattr(discovery, "_settings", lambda spark, paths, **options: (
+        read.append((len(paths), spark.conf.get(reader.FILE_CACHE))), real(spark, paths, **options))[1])
+    monkeypatch.setattr(discovery, "PORTION", 4)
+    found = read_settings(spark, str(tmp_path))
+    assert not [path for path in found.inputFiles() if not path.endswith(".parquet")]
+    assert sorted(map(tuple, found.collect())) == sorted((f"{tmp_path}/{name}", f"https://b{n}.blogspot.com") for n, name in enumerate(names))
+    assert len(read) == 3 and sum(number for number, _ in read) == 11 and {cache for _, cache in read} == {"0"}
+    assert (spark.conf.get(reader.FILE_CACHE), spark.conf.get(reader.OPEN_COST)) == (cached, cost)
+    empty = tmp_path / names[0] / "empty"
+    empty.mkdir()
+    assert read_settings(spark, str(empty)).collect() == []
+
+
 @pytest.mark.parametrize("name", ["feed.atom", "settings.csv"])
 def test_many_folders_are_listed_in_few_tasks(spark, tmp_path, name):
     for n in range(200):
